@@ -42,7 +42,7 @@ from pagelake.functions.schema import DatasetSpec
 from pagelake.session import shared_dir
 
 PAGE, STATUS, BODY = "page", "status", "body"
-RECORDS, BAD, EMPTY, PROBLEM = "records", "bad", "empty", "problem"
+RECORDS, BAD, EMPTY, PROBLEM, N_RECORDS = "records", "bad", "empty", "problem", "n_records"
 PAGE_SCHEMA = T.StructType(
     [T.StructField(PAGE, T.LongType()), T.StructField(STATUS, T.IntegerType()), T.StructField(BODY, T.StringType())]
 )
@@ -129,6 +129,7 @@ def parse_pages(pages: DataFrame, spec: DatasetSpec) -> DataFrame:
         PAGE,
         STATUS,
         F.when(~bad & ~empty, arr).alias(RECORDS),
+        F.when(~bad & ~empty, F.size(arr)).otherwise(F.lit(0)).alias(N_RECORDS),
         bad.alias(BAD),
         empty.alias(EMPTY),
         F.when(bad, problem).alias(PROBLEM),
@@ -142,7 +143,7 @@ def parse_pages(pages: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 def _check_frame(parsed: DataFrame, paged: bool) -> DataFrame:
     """One row: ``_stop`` (first empty page or null), first bad page before it, counts."""
-    flags = parsed.select(PAGE, BAD, EMPTY, PROBLEM)
+    flags = parsed.select(PAGE, BAD, EMPTY, PROBLEM, N_RECORDS)
     if paged:
         stop = flags.agg(F.min(F.when(F.col(EMPTY), F.col(PAGE))).alias(_STOP))
         kept = flags.crossJoin(F.broadcast(stop)).where(F.col(_STOP).isNull() | (F.col(PAGE) < F.col(_STOP)))
@@ -154,6 +155,7 @@ def _check_frame(parsed: DataFrame, paged: bool) -> DataFrame:
         F.count_distinct(F.col(PAGE)).alias("n_distinct"),
         F.min(PAGE).alias("lo"),
         F.max(PAGE).alias("hi"),
+        F.coalesce(F.sum(N_RECORDS), F.lit(0)).alias("records"),
         F.min(F.when(F.col(BAD), F.struct(F.col(PAGE), F.col(PROBLEM)))).alias("first_bad"),
     )
     return stop.crossJoin(summary)
@@ -163,12 +165,13 @@ def _check_frame(parsed: DataFrame, paged: bool) -> DataFrame:
 class PageCheck:
     stop: int | None
     pages: int
+    records: int
 
 
 def check_pages(parsed: DataFrame, spec: DatasetSpec) -> PageCheck:
     """Run one small aggregate over the flag columns; raise :class:`PageError` on a failure.
 
-    Returns the end page (``None``: no empty page) and the number of pages kept.
+    Returns the end page (``None``: no empty page) and the number of pages and records kept.
     """
     paged = spec.paging.enabled
     row = _check_frame(parsed, paged).first()
@@ -179,7 +182,7 @@ def check_pages(parsed: DataFrame, spec: DatasetSpec) -> PageCheck:
         raise PageError(f"{spec.qualified_name}: repeated page numbers before the end of data")
     if paged and n and (row["lo"] != 1 or row["hi"] != n):
         raise PageError(f"{spec.qualified_name}: page numbers before the end of data are not 1..{n} without gaps")
-    return PageCheck(stop=row[_STOP], pages=n)
+    return PageCheck(stop=row[_STOP], pages=n, records=row["records"])
 
 
 def page_records(parsed: DataFrame, stop: int | None = None, with_page: bool = False) -> DataFrame:
