@@ -29,8 +29,12 @@ HASH_BITS = 256
 _FLAT = (T.StringType, T.NumericType, T.BooleanType, T.DatetimeType, T.BinaryType)
 
 
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _hash_input(df: DataFrame, name: str) -> Column:
-    col = df[name]
+    col = _quoted(name)
     dtype = df.schema[name].dataType
     if isinstance(dtype, _FLAT):
         return col
