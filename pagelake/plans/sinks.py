@@ -39,10 +39,18 @@ def run_sql(spark: SparkSession, sql: str, *params) -> None:
 
 @dataclass(frozen=True)
 class CatalogTarget:
-    """Tables of a Spark catalog: the session catalog (``catalog=None``) or a named one."""
+    """Tables of a Spark catalog: the session catalog (``catalog=None``) or a named one.
+
+    In the session catalog the table is written at an explicit location, the
+    folder a managed table would get (``<namespace location>/<table>``).  A
+    catalog that forgets tables between sessions (the in-memory one) leaves such
+    folders behind; an overwrite then replaces the folder instead of failing.
+    Named catalogs (v2, e.g. a JDBC catalog) use ``createOrReplace``.
+    """
 
     catalog: str | None = None
     format: str | None = None
+    pin_location: bool = True
 
     def qualified(self, layer: str, table: str) -> str:
         return _quote(*([self.catalog] if self.catalog else []), layer, table)
@@ -51,12 +59,17 @@ class CatalogTarget:
         ns = _quote(*([self.catalog] if self.catalog else []), layer)
         run_sql(spark, f"CREATE NAMESPACE IF NOT EXISTS {ns}")
 
+    def location(self, spark: SparkSession, layer: str, table: str) -> str:
+        return spark.catalog.getDatabase(layer).locationUri.rstrip("/") + "/" + table
+
     def overwrite(self, df: DataFrame, layer: str, table: str) -> str:
         name = self.qualified(layer, table)
         if self.catalog is None:
             writer = df.write.mode("overwrite")
             if self.format:
                 writer = writer.format(self.format)
+            if self.pin_location:
+                writer = writer.option("path", self.location(df.sparkSession, layer, table))
             writer.saveAsTable(name)
         else:
             writer = df.writeTo(name)
