@@ -82,57 +82,78 @@ def cap_pages(pages: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def parse_pages(pages: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """One row per response: ``page, status, records ARRAY<record>, bad, empty, problem``.
+    """One row per response: ``page, status, records ARRAY<record>, n_records, bad, empty, problem``.
 
     The body is parsed once with the declared record schema (PERMISSIVE, corrupt
     column).  Only corrupt bodies are parsed a second time, into a VARIANT, to
-    tell a falsy value (end of data) from a malformed one.
+    tell a falsy value (end of data) from a malformed one.  Each step is its own
+    projection so the parsed values are computed once and referenced by name.
     """
     key = spec.response_path
+    paged = spec.paging.enabled
     corrupt = _corrupt_name(key)
     envelope = T.StructType(
         [T.StructField(key, T.ArrayType(spec.schema)), T.StructField(corrupt, T.StringType())]
     )
+    probe_schema = T.StructType([T.StructField(key, T.VariantType())])
+    c = F.col
     parsed = pages.select(
-        F.col(PAGE).cast("long").alias(PAGE),
-        F.col(STATUS).cast("int").alias(STATUS),
+        c(PAGE).cast("long").alias(PAGE),
+        c(STATUS).cast("int").alias(STATUS),
         BODY,
         F.from_json(BODY, envelope, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias(_JSON),
     )
-    j = F.col(_JSON)
-    arr = j.getField(key)
-    is_corrupt = j.getField(corrupt).isNotNull()
-    probe = F.from_json(BODY, T.StructType([T.StructField(key, T.VariantType())])).getField(key)
-    corrupt_falsy = F.when(is_corrupt, F.coalesce(_falsy(probe), F.lit(False))).otherwise(F.lit(False))
-    http_error = F.coalesce(F.col(STATUS), F.lit(200)) >= 400
-    not_json = j.isNull() | F.coalesce(F.when(is_corrupt, F.try_parse_json(BODY).isNull()), F.lit(False))
-    unreadable = j.isNull() | (is_corrupt & ~corrupt_falsy) if spec.paging.enabled else j.isNull() | is_corrupt
-    null_record = F.coalesce(F.exists(arr, lambda r: r.isNull()), F.lit(False))
-    missing = F.lit(False) if spec.paging.enabled else arr.isNull() & ~is_corrupt & j.isNotNull()
-    bad = http_error | unreadable | null_record | missing
-    if spec.paging.enabled:
-        empty = ~bad & (arr.isNull() | (F.size(arr) == 0) | corrupt_falsy)
+    parsed = parsed.select(
+        PAGE, STATUS, BODY,
+        c(_JSON).getField(key).alias("_arr"),
+        c(_JSON).isNull().alias("_unparsed"),
+        c(_JSON).getField(corrupt).isNotNull().alias("_corrupt"),
+    )
+    parsed = parsed.select(
+        "*", F.when(c("_corrupt"), F.from_json(BODY, probe_schema).getField(key)).alias("_probe"))
+    parsed = parsed.select("*", F.coalesce(_falsy(c("_probe")), F.lit(False)).alias("_falsy"))
+    http_error = F.coalesce(c(STATUS), F.lit(200)) >= 400
+    if paged:
+        unreadable = c("_unparsed") | (c("_corrupt") & ~c("_falsy"))
+        missing = F.lit(False)
+    else:
+        unreadable = c("_unparsed") | c("_corrupt")
+        missing = c("_arr").isNull() & ~c("_unparsed") & ~c("_corrupt")
+    null_record = F.coalesce(F.exists(c("_arr"), lambda r: r.isNull()), F.lit(False))
+    parsed = parsed.select(
+        PAGE, STATUS, BODY, "_arr", "_corrupt", "_falsy",
+        http_error.alias("_http"), unreadable.alias("_unreadable"), null_record.alias("_null_record"),
+        missing.alias("_missing"),
+    )
+    bad = c("_http") | c("_unreadable") | c("_null_record") | c("_missing")
+    parsed = parsed.select("*", bad.alias(BAD))
+    if paged:
+        empty = ~c(BAD) & (c("_arr").isNull() | (F.size(c("_arr")) == 0) | (c("_corrupt") & c("_falsy")))
     else:
         empty = F.lit(False)
+    parsed = parsed.select("*", empty.alias(EMPTY))
     snippet = F.coalesce(F.substring(BODY, 1, _SNIPPET), F.lit(""))
-    page_s = F.col(PAGE).cast("string")
+    page_s = c(PAGE).cast("string")
+    not_json = F.when(c("_corrupt"), F.try_parse_json(BODY).isNull()).otherwise(F.lit(True))
     problem = (
-        F.when(http_error, F.concat(F.lit("Request failed on page "), page_s, F.lit(" with status code "),
-                                    F.col(STATUS).cast("string"), F.lit(": "), snippet))
-        .when(not_json, F.concat(F.lit("Failed to decode JSON on page "), page_s, F.lit(". Response text: "), snippet))
-        .when(unreadable, F.concat(F.lit(f"Value under '{key}' on page "), page_s,
-                                   F.lit(" does not match the declared schema: "), snippet))
-        .when(null_record, F.concat(F.lit("Null record on page "), page_s))
-        .when(missing, F.concat(F.lit(f"No '{key}' array in response "), page_s, F.lit(": "), snippet))
+        F.when(c("_http"), F.concat(F.lit("Request failed on page "), page_s, F.lit(" with status code "),
+                                    c(STATUS).cast("string"), F.lit(": "), snippet))
+        .when(c("_unreadable") & not_json,
+              F.concat(F.lit("Failed to decode JSON on page "), page_s, F.lit(". Response text: "), snippet))
+        .when(c("_unreadable"), F.concat(F.lit(f"Value under '{key}' on page "), page_s,
+                                         F.lit(" does not match the declared schema: "), snippet))
+        .when(c("_null_record"), F.concat(F.lit("Null record on page "), page_s))
+        .when(c("_missing"), F.concat(F.lit(f"No '{key}' array in response "), page_s, F.lit(": "), snippet))
     )
+    keep = ~c(BAD) & ~c(EMPTY)
     return parsed.select(
         PAGE,
         STATUS,
-        F.when(~bad & ~empty, arr).alias(RECORDS),
-        F.when(~bad & ~empty, F.size(arr)).otherwise(F.lit(0)).alias(N_RECORDS),
-        bad.alias(BAD),
-        empty.alias(EMPTY),
-        F.when(bad, problem).alias(PROBLEM),
+        F.when(keep, c("_arr")).alias(RECORDS),
+        F.when(keep, F.size(c("_arr"))).otherwise(F.lit(0)).alias(N_RECORDS),
+        BAD,
+        EMPTY,
+        F.when(c(BAD), problem).alias(PROBLEM),
     )
 
 

@@ -40,8 +40,8 @@ from pagelake.sources.paged_json import endpoint_url, register
 
 log = logging.getLogger(__name__)
 
-FIRST_WAVE = 16
-MAX_WAVE = 4096
+FIRST_WAVE = 64
+MAX_WAVE = 8192
 
 
 @dataclass(frozen=True)
@@ -74,7 +74,14 @@ def api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, first:
     return spark.read.format("paged_json").options(**options).load()
 
 
-def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, pages_per_partition: int = 1,
+def _per_task(spark: SparkSession, pages: int, pages_per_partition: int | None) -> int:
+    """Pages per fetch task: given, or enough to give every core about two tasks."""
+    if pages_per_partition:
+        return pages_per_partition
+    return max(1, -(-pages // (2 * spark.sparkContext.defaultParallelism)))
+
+
+def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, pages_per_partition: int | None = None,
                     first_wave: int = FIRST_WAVE, max_wave: int = MAX_WAVE) -> DataFrame:
     """Fetch and stage a dataset's pages.
 
@@ -82,14 +89,17 @@ def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec,
     pages are requested in waves that double in size (up to ``max_wave``); each
     wave is parsed and appended to the staging folder, and the next wave is
     requested only when the last one had neither an empty nor a bad page.
+    Over-fetch is below one wave.
     """
     path = staging_path(spark, spec)
     if not spec.paging.enabled or spec.paging.max_pages is not None:
         last = None if not spec.paging.enabled else int(spec.paging.max_pages)
-        return stage_pages(api_pages(spark, source, spec, 1, last, pages_per_partition), spec, path=path)
+        per_task = _per_task(spark, last or 1, pages_per_partition)
+        return stage_pages(api_pages(spark, source, spec, 1, last, per_task), spec, path=path)
     start, size = 1, first_wave
     while True:
-        wave = api_pages(spark, source, spec, start, start + size - 1, pages_per_partition)
+        per_task = _per_task(spark, size, pages_per_partition)
+        wave = api_pages(spark, source, spec, start, start + size - 1, per_task)
         staged = stage_pages(wave, spec, path=path, mode="append")
         ended = staged.where((F.col(PAGE) >= start) & (F.col(EMPTY) | F.col(BAD))).limit(1).count() > 0
         if ended:

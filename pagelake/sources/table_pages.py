@@ -50,7 +50,10 @@ def records_as_pages(
     else:
         idx = F.col(index) if isinstance(index, str) else index
     rec = record if record is not None else F.struct(*[_json_ready(df, c) for c in df.columns if c != _IDX])
-    rows = df.select(F.floor(idx / F.lit(page_size)).cast("long").alias(PAGE), idx.cast("long").alias(_IDX), rec.alias(_REC))
+    # Shuffle plain rows by page first: records are built, collected, sorted and
+    # serialised after the exchange, in parallel, with no map-side list buffers.
+    keyed = df.withColumn(_IDX, idx.cast("long")).withColumn(PAGE, F.expr(f"`{_IDX}` div {int(page_size)}"))
+    rows = keyed.repartition(PAGE).select(PAGE, _IDX, rec.alias(_REC))
     pages = rows.groupBy(PAGE).agg(F.sort_array(F.collect_list(F.struct(_IDX, _REC))).alias(_REC))
     ordered = F.transform(F.col(_REC), lambda x: x[_REC])
     return pages.select(
