@@ -177,7 +177,7 @@ def _check_frame(parsed: DataFrame, paged: bool) -> DataFrame:
         F.min(PAGE).alias("lo"),
         F.max(PAGE).alias("hi"),
         F.coalesce(F.sum(N_RECORDS), F.lit(0)).alias("records"),
-        F.min(F.when(F.col(BAD), F.struct(F.col(PAGE), F.col(PROBLEM)))).alias("first_bad"),
+        F.min(F.when(F.col(BAD), F.col(PAGE))).alias("first_bad"),
     )
     return stop.crossJoin(summary)
 
@@ -197,7 +197,8 @@ def check_pages(parsed: DataFrame, spec: DatasetSpec) -> PageCheck:
     paged = spec.paging.enabled
     row = _check_frame(parsed, paged).first()
     if row["first_bad"] is not None:
-        raise PageError(f"{spec.qualified_name}: {row['first_bad']['problem']}")
+        problem = parsed.where(F.col(BAD) & (F.col(PAGE) == F.lit(row["first_bad"]))).select(PROBLEM).first()[0]
+        raise PageError(f"{spec.qualified_name}: {problem}")
     n = row["n"]
     if row["n_distinct"] != n:
         raise PageError(f"{spec.qualified_name}: repeated page numbers before the end of data")
@@ -253,7 +254,11 @@ def checked_records(pages: DataFrame, spec: DatasetSpec, with_page: bool = False
     )
     joined = parsed.crossJoin(F.broadcast(check))
     keep = F.col(_STOP).isNull() | (F.col(PAGE) < F.col(_STOP))
-    first_bad_msg = F.concat(F.lit(f"{spec.qualified_name}: "), F.col("first_bad").getField(PROBLEM))
+    first_bad_msg = F.concat(
+        F.lit(f"{spec.qualified_name}: "),
+        F.when(F.col(PAGE) == F.col("first_bad"), F.col(PROBLEM)).otherwise(
+            F.concat(F.lit("page "), F.col("first_bad").cast("string"), F.lit(" before the end of data failed"))),
+    )
     records = (
         F.when(keep & F.col("first_bad").isNotNull(), F.raise_error(first_bad_msg))
         .when(keep & ~F.col(_OK), F.raise_error(F.lit(f"{spec.qualified_name}: page numbers before the end of data "

@@ -1,21 +1,35 @@
 """Landed response files: one file per page, read back as ``page, status, body`` rows.
 
-Pages fetched by another process (or by :func:`land_pages`) sit in a folder,
-one JSON file per page.  The page number comes from a ``page=<n>`` folder, else
-from the last run of digits in the file name (``page-17.json``, ``00017.json``).  Files
-are read whole (one row per file, one file per task split), entirely in the
-JVM.  A landed file is a successful response: status 200.
+Pages fetched by another process (or landed by :func:`land_pages`) sit in a
+folder, one JSON file per page.  The page number comes from a ``page=<n>``
+folder, else from the last run of digits in the file name (``page-17.json``,
+``00017.json``).  Files are read whole (one row per file, small files packed
+into splits), entirely in the JVM.  A landed file is a successful response:
+status 200.
+
+:func:`land_pages` writes such a folder with the ``page_files`` sink: each
+executor task writes its own pages straight to the target filesystem (any URI
+pyarrow resolves), through a temporary name and a move, so a retried task
+rewrites the same files.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
-from pagelake.operators.pages import BODY, PAGE, STATUS
+from pagelake.operators.pages import BODY, PAGE, PAGE_SCHEMA, STATUS
 
 _PAGE_DIR = r"page=(\d+)/[^/]*$"
 _LAST_NUMBER = r"(\d+)\D*$"
+# --- Fixed value: file name of one landed page (shared with the folder transport) ---
+PAGE_FILE = "page-{}.json"
 
 
 def read_landed_pages(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -32,8 +46,71 @@ def read_landed_pages(spark: SparkSession, path: str, glob: str | None = None) -
     )
 
 
+def _filesystem(path: str):
+    import os
+
+    from pyarrow import fs as pafs
+
+    uri = path if "://" in path else "file://" + os.path.abspath(path)
+    filesystem, root = pafs.FileSystem.from_uri(uri)
+    return filesystem, root.rstrip("/")
+
+
+@dataclass
+class _Written(WriterCommitMessage):
+    pages: int
+
+
+class PageFilesWriter(DataSourceWriter):
+    def __init__(self, path: str, overwrite: bool):
+        self.path = path
+        if overwrite:
+            from pyarrow import fs as pafs
+
+            filesystem, root = _filesystem(path)
+            if filesystem.get_file_info(root).type == pafs.FileType.Directory:
+                for info in filesystem.get_file_info(pafs.FileSelector(root)):
+                    if info.type == pafs.FileType.File and info.base_name.startswith("page-"):
+                        filesystem.delete_file(info.path)
+
+    def write(self, iterator: Iterator) -> _Written:
+        filesystem, root = _filesystem(self.path)
+        filesystem.create_dir(root, recursive=True)
+        n = 0
+        for row in iterator:
+            if row[STATUS] is not None and row[STATUS] >= 400:
+                continue
+            final = f"{root}/{PAGE_FILE.format(row[PAGE])}"
+            temp = f"{root}/.{uuid.uuid4().hex}.tmp"
+            with filesystem.open_output_stream(temp) as out:
+                out.write((row[BODY] or "").encode("utf-8"))
+            filesystem.move(temp, final)
+            n += 1
+        return _Written(n)
+
+    def commit(self, messages) -> None:
+        pass
+
+    def abort(self, messages) -> None:
+        pass
+
+
+class PageFilesDataSource(DataSource):
+    """Sink: ``df.write.format("page_files").mode("overwrite").save(folder)``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "page_files"
+
+    def schema(self) -> StructType:
+        return PAGE_SCHEMA
+
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
+        return PageFilesWriter(self.options["path"], overwrite)
+
+
 def land_pages(pages: DataFrame, path: str) -> str:
-    """Write each page's body as a text file under ``<path>/page=<n>/``."""
-    # one row per page, so every page folder gets exactly one file
-    pages.where(F.col(STATUS) < 400).select(PAGE, BODY).write.mode("overwrite").partitionBy(PAGE).text(path)
+    """Write each successful page's body to ``<path>/page-<n>.json``."""
+    pages.sparkSession.dataSource.register(PageFilesDataSource)
+    pages.select(PAGE, STATUS, BODY).write.format("page_files").mode("overwrite").save(path)
     return path

@@ -39,7 +39,7 @@ from pagelake.operators.pages import PAGE_SCHEMA
 API_KEY_PLACEHOLDER = "{api_key}"
 DEFAULT_TIMEOUT = 30
 PAGE_PARAM = "page"
-FILE_PAGE = "page-{}.json"
+FILE_PAGE = "page-{}.json"  # same name the page_files sink writes
 FILE_SINGLE = "response.json"
 # --- end of fixed values ---
 
