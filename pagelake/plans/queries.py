@@ -17,14 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelake.functions.audit import PROCESSED_TIMESTAMP, ROW_HASH, with_audit_columns, with_row_hash
-from pagelake.functions.schema import DatasetSpec, Paging, dataset_spec
+from pagelake.functions.schema import DatasetSpec, dataset_spec
 from pagelake.operators.pages import BODY, PAGE, STATUS, checked_records, read_records
 from pagelake.plans.ingest import ingest, run
 from pagelake.plans.registry import SourceSpec
 from pagelake.plans.sinks import CatalogTarget
 from pagelake.session import shared_dir
 from pagelake.sources.landed import land_pages, read_landed_pages
-from pagelake.sources.paged_json import endpoint_url
 from pagelake.sources.table_pages import records_as_pages
 
 PAGE_SIZE = 100
@@ -192,6 +191,16 @@ def pages_landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(pages, spec("events_landed", EVENTS))
 
 
+def stream_landed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed page files parsed by a streaming query (available-now), then checked and written."""
+    from pagelake.streaming.landing import ingest_landed
+
+    folder = _landed_events(spark, sf_dir)
+    root = f"{shared_dir(spark)}/pagelake-stream/events-{uuid.uuid4().hex}"
+    result = ingest_landed(spark, folder, spec("events_stream", EVENTS), layer=LAYER, root=root)
+    return _audited_view(spark.table(result.table))
+
+
 def pages_data_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages requested by the ``paged_json`` data source (folder transport), in doubling waves."""
     folder = _landed_events(spark, sf_dir)
@@ -268,6 +277,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_replace_in_place": audit_replace_in_place,
     "pages_landed_files": pages_landed_files,
     "pages_data_source": pages_data_source,
+    "stream_landed_ingest": stream_landed_ingest,
     "ingest_end_to_end": ingest_end_to_end,
     "sink_overwrite": sink_overwrite,
     "multi_dataset_run": multi_dataset_run,
@@ -335,6 +345,7 @@ ORACLES: dict[str, str] = {
     ),
     "pages_landed_files": f"SELECT {_EVENTS_TYPED} FROM events",
     "pages_data_source": f"SELECT {_EVENTS_TYPED}, {_EVENTS_HASH} AS _rowHash, true AS has_ts FROM events",
+    "stream_landed_ingest": f"SELECT {_EVENTS_TYPED}, {_EVENTS_HASH} AS _rowHash, true AS has_ts FROM events",
     "ingest_end_to_end": f"SELECT {_EVENTS_TYPED}, {_EVENTS_HASH} AS _rowHash, true AS has_ts FROM events",
     "sink_overwrite": f"SELECT {_ORDERS_PARTIAL}, {_ORDERS_PARTIAL_HASH} AS _rowHash, true AS has_ts FROM orders",
     "multi_dataset_run": (
