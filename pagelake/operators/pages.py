@@ -48,7 +48,8 @@ PAGE_SCHEMA = T.StructType(
 )
 _JSON = "_json"
 _SNIPPET = 500
-_STOP, _OK = "_stop", "_contiguous"
+_STOP = "_stop"
+_NO_STOP = 2**63 - 1
 
 
 class PageError(ValueError):
@@ -163,13 +164,17 @@ def parse_pages(pages: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def _check_frame(parsed: DataFrame, paged: bool) -> DataFrame:
-    """One row: ``_stop`` (first empty page or null), first bad page before it, counts."""
-    flags = parsed.select(PAGE, BAD, EMPTY, PROBLEM, N_RECORDS)
+    """One row: ``_stop`` (first empty page or null), first bad page before it, counts.
+
+    The end page is a scalar subquery (one small aggregate); pages before it are
+    then summarised by a second aggregate.  Both read only the flag columns.
+    """
+    flags = parsed.select(PAGE, BAD, EMPTY, N_RECORDS)
     if paged:
-        stop = flags.agg(F.min(F.when(F.col(EMPTY), F.col(PAGE))).alias(_STOP))
-        kept = flags.crossJoin(F.broadcast(stop)).where(F.col(_STOP).isNull() | (F.col(PAGE) < F.col(_STOP)))
+        stop = flags.agg(F.min(F.when(F.col(EMPTY), F.col(PAGE)))).scalar()
+        kept = flags.where(F.col(PAGE) < F.coalesce(stop, F.lit(_NO_STOP)))
     else:
-        stop = flags.sparkSession.range(1).select(F.lit(None).cast("long").alias(_STOP))
+        stop = F.lit(None).cast("long")
         kept = flags
     summary = kept.agg(
         F.count(F.lit(1)).alias("n"),
@@ -179,7 +184,7 @@ def _check_frame(parsed: DataFrame, paged: bool) -> DataFrame:
         F.coalesce(F.sum(N_RECORDS), F.lit(0)).alias("records"),
         F.min(F.when(F.col(BAD), F.col(PAGE))).alias("first_bad"),
     )
-    return stop.crossJoin(summary)
+    return summary.select(stop.alias(_STOP), "*")
 
 
 @dataclass(frozen=True)
@@ -241,29 +246,33 @@ def read_records(pages: DataFrame, spec: DatasetSpec, with_page: bool = False, p
 def checked_records(pages: DataFrame, spec: DatasetSpec, with_page: bool = False) -> DataFrame:
     """Lazy variant of :func:`read_records`: a single plan that raises at execution time.
 
-    The body is parsed by each of the three branches (end page, summary, records);
-    prefer :func:`read_records` for large inputs.
+    The check is one struct-valued scalar subquery (planned once).  The raise
+    sits in the same expression as the ``page < stop`` guard, so wherever
+    Catalyst evaluates it (filters inferred from ``inline`` are pushed down), it
+    fires only for pages before the end.  The body is parsed by each of the
+    branches (end page, summary, records); prefer :func:`read_records` for
+    large inputs.
     """
     parsed = parse_pages(cap_pages(pages, spec), spec)
+    ok = ((F.col("n_distinct") == F.col("n"))
+          & ((F.col("n") == 0) | F.lit(not spec.paging.enabled) | ((F.col("lo") == 1) & (F.col("hi") == F.col("n")))))
     check = _check_frame(parsed, spec.paging.enabled).select(
-        _STOP,
-        F.col("first_bad"),
-        ((F.col("n_distinct") == F.col("n"))
-         & ((F.col("n") == 0) | F.lit(not spec.paging.enabled) | ((F.col("lo") == 1) & (F.col("hi") == F.col("n"))))
-         ).alias(_OK),
-    )
-    joined = parsed.crossJoin(F.broadcast(check))
-    keep = F.col(_STOP).isNull() | (F.col(PAGE) < F.col(_STOP))
+        F.struct(F.col(_STOP).alias("stop"), F.col("first_bad").alias("first_bad"), ok.alias("ok")).alias("c")
+    ).scalar()
+    parsed = parsed.select("*", check.alias("_check"))
+    c = F.col("_check")
+    stop, first_bad = c.getField("stop"), c.getField("first_bad")
+    keep = stop.isNull() | (F.col(PAGE) < stop)
     first_bad_msg = F.concat(
         F.lit(f"{spec.qualified_name}: "),
-        F.when(F.col(PAGE) == F.col("first_bad"), F.col(PROBLEM)).otherwise(
-            F.concat(F.lit("page "), F.col("first_bad").cast("string"), F.lit(" before the end of data failed"))),
+        F.when(F.col(PAGE) == first_bad, F.col(PROBLEM)).otherwise(
+            F.concat(F.lit("page "), first_bad.cast("string"), F.lit(" before the end of data failed"))),
     )
     records = (
-        F.when(keep & F.col("first_bad").isNotNull(), F.raise_error(first_bad_msg))
-        .when(keep & ~F.col(_OK), F.raise_error(F.lit(f"{spec.qualified_name}: page numbers before the end of data "
-                                                      "are repeated or not contiguous from 1")))
+        F.when(keep & first_bad.isNotNull(), F.raise_error(first_bad_msg))
+        .when(keep & ~c.getField("ok"), F.raise_error(F.lit(f"{spec.qualified_name}: page numbers before the "
+                                                               "end of data are repeated or not contiguous from 1")))
         .when(keep, F.col(RECORDS))
     )
-    out = joined.select(PAGE, records.alias(RECORDS))
+    out = parsed.select(PAGE, records.alias(RECORDS))
     return out.selectExpr(PAGE, "inline(records)") if with_page else out.selectExpr("inline(records)")

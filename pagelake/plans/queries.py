@@ -71,16 +71,20 @@ def _audited_view(df: DataFrame) -> DataFrame:
                      F.col(PROCESSED_TIMESTAMP).isNotNull().alias("has_ts"))
 
 
+def _middle_page(pages: DataFrame):
+    """The middle page number, as a scalar subquery over the pages."""
+    return pages.agg(F.floor(F.max(PAGE) / 2) + 1).scalar()
+
+
 def _with_middle_stop(pages: DataFrame) -> DataFrame:
     """Empty the middle page; break the two pages after it (status 500, truncated JSON)."""
-    stop = pages.agg((F.floor(F.max(PAGE) / 2) + 1).alias("_stop"))
-    p = pages.crossJoin(F.broadcast(stop))
-    return p.select(
+    stop = _middle_page(pages)
+    return pages.select(
         PAGE,
-        F.when(p[PAGE] == p["_stop"] + 1, F.lit(500)).otherwise(p[STATUS]).alias(STATUS),
-        F.when(p[PAGE] == p["_stop"], F.lit('{"body":[]}'))
-        .when(p[PAGE] == p["_stop"] + 2, F.substring(p[BODY], 1, 20))
-        .otherwise(p[BODY]).alias(BODY),
+        F.when(F.col(PAGE) == stop + 1, F.lit(500)).otherwise(F.col(STATUS)).alias(STATUS),
+        F.when(F.col(PAGE) == stop, F.lit('{"body":[]}'))
+        .when(F.col(PAGE) == stop + 2, F.substring(F.col(BODY), 1, 20))
+        .otherwise(F.col(BODY)).alias(BODY),
     )
 
 
@@ -131,9 +135,9 @@ def pages_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def single_request_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page is a separate single-request response; an empty one is an empty result, not the end."""
     pages = event_pages(spark, sf_dir)
-    stop = pages.agg((F.floor(F.max(PAGE) / 2) + 1).alias("_stop"))
-    pages = pages.crossJoin(F.broadcast(stop)).select(
-        PAGE, STATUS, F.when(F.col(PAGE) == F.col("_stop"), F.lit('{"body":[]}')).otherwise(F.col(BODY)).alias(BODY))
+    middle = _middle_page(pages)
+    pages = pages.select(PAGE, STATUS, F.when(F.col(PAGE) == middle, F.lit('{"body":[]}')).otherwise(F.col(BODY))
+                         .alias(BODY))
     return read_records(pages, spec("events_single", EVENTS, paged=False))
 
 
