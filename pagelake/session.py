@@ -39,3 +39,46 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by Python workers, once per application.
+
+    Python data sources and sinks run in Python workers on the executors, which
+    import their classes by name.  As ``--py-files`` would, the package is zipped
+    (named by content hash) into the shared checkpoint folder and added with
+    ``SparkContext.addPyFile``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import hashlib
+    import io
+    import os
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+    data = buf.getvalue()
+    from pyarrow import fs as pafs
+
+    base = shared_dir(spark)
+    uri = base if "://" in base else "file://" + os.path.abspath(base)
+    filesystem, path = pafs.FileSystem.from_uri(uri)
+    name = f"pagelake-{hashlib.sha256(data).hexdigest()[:16]}.zip"
+    filesystem.create_dir(f"{path}/pagelake-code", recursive=True)
+    target = f"{path}/pagelake-code/{name}"
+    if filesystem.get_file_info(target).type == pafs.FileType.NotFound:
+        with filesystem.open_output_stream(target) as out:
+            out.write(data)
+    sc.addPyFile(f"{base}/pagelake-code/{name}")
+    _SHIPPED.add(sc.applicationId)

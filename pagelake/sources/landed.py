@@ -111,6 +111,9 @@ class PageFilesDataSource(DataSource):
 
 def land_pages(pages: DataFrame, path: str) -> str:
     """Write each successful page's body to ``<path>/page-<n>.json``."""
+    from pagelake.session import ship_package
+
+    ship_package(pages.sparkSession)
     pages.sparkSession.dataSource.register(PageFilesDataSource)
     pages.select(PAGE, STATUS, BODY).write.format("page_files").mode("overwrite").save(path)
     return path

@@ -158,4 +158,7 @@ class PagedJsonDataSource(DataSource):
 
 
 def register(spark) -> None:
+    from pagelake.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(PagedJsonDataSource)
