@@ -36,6 +36,7 @@ from pagelake.operators.pages import (
 )
 from pagelake.plans.registry import SourceSpec, select_datasets
 from pagelake.plans.sinks import DEFAULT_LAYER, CatalogTarget, table_name
+from pagelake.session import remove_folder
 from pagelake.sources.paged_json import endpoint_url, register
 
 log = logging.getLogger(__name__)
@@ -82,7 +83,7 @@ def _per_task(spark: SparkSession, pages: int, pages_per_partition: int | None)
 
 
 def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, pages_per_partition: int | None = None,
-                    first_wave: int = FIRST_WAVE, max_wave: int = MAX_WAVE) -> DataFrame:
+                    first_wave: int = FIRST_WAVE, max_wave: int = MAX_WAVE, path: str | None = None) -> DataFrame:
     """Fetch and stage a dataset's pages.
 
     With ``maxPages`` all pages are requested at once, in parallel.  Without it,
@@ -91,7 +92,7 @@ def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec,
     requested only when the last one had neither an empty nor a bad page.
     Over-fetch is below one wave.
     """
-    path = staging_path(spark, spec)
+    path = path or staging_path(spark, spec)
     if not spec.paging.enabled or spec.paging.max_pages is not None:
         last = None if not spec.paging.enabled else int(spec.paging.max_pages)
         per_task = _per_task(spark, last or 1, pages_per_partition)
@@ -122,15 +123,17 @@ def ingest(
     """
     target = target or CatalogTarget()
     target.ensure_namespace(spark, layer)
+    path = staging_path(spark, spec)
     if pages is not None:
-        staged = stage_pages(pages, spec)
+        staged = stage_pages(pages, spec, path=path)
     elif source is not None:
-        staged = stage_api_pages(spark, source, spec)
+        staged = stage_api_pages(spark, source, spec, path=path)
     else:
         raise ValueError("ingest needs pages or a source to request them from")
     check = check_pages(staged, spec)
     rows = with_audit_columns(page_records(staged, check.stop))
     name = target.overwrite(rows, layer, table_name(spec.source, spec.name))
+    remove_folder(path)  # staged pages are scratch once the target holds the rows; kept after a failure
     log.info("Ingested %s into %s: %d pages, %d records", spec.qualified_name, name, check.pages, check.records)
     return IngestResult(spec.qualified_name, name, check.pages, check.records, check.stop)
 

@@ -22,7 +22,7 @@ from pagelake.operators.pages import BODY, PAGE, STATUS, checked_records, read_r
 from pagelake.plans.ingest import ingest, run
 from pagelake.plans.registry import SourceSpec
 from pagelake.plans.sinks import CatalogTarget
-from pagelake.session import shared_dir
+from pagelake.session import remove_folder, shared_dir
 from pagelake.sources.landed import land_pages, read_landed_pages
 from pagelake.sources.table_pages import records_as_pages
 
@@ -202,6 +202,8 @@ def stream_landed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _landed_events(spark, sf_dir)
     root = f"{shared_dir(spark)}/pagelake-stream/events-{uuid.uuid4().hex}"
     result = ingest_landed(spark, folder, spec("events_stream", EVENTS), layer=LAYER, root=root)
+    remove_folder(folder)
+    remove_folder(root)
     return _audited_view(spark.table(result.table))
 
 
@@ -211,6 +213,7 @@ def pages_data_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = SourceSpec(name=SOURCE, base_url=folder)
     ds = spec("events_api", EVENTS)
     result = ingest(spark, ds, source=src, target=CatalogTarget(), layer=LAYER)
+    remove_folder(folder)
     return _audited_view(spark.table(result.table))
 
 
@@ -219,8 +222,8 @@ def pages_data_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def ingest_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = ingest(spark, spec("events", EVENTS), pages=event_pages(spark, sf_dir), layer=LAYER)
+def ingest_end_to_end(spark: SparkSession, sf_dir: str, dataset: str = "events") -> DataFrame:
+    result = ingest(spark, spec(dataset, EVENTS), pages=event_pages(spark, sf_dir), layer=LAYER)
     return _audited_view(spark.table(result.table))
 
 

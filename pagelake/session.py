@@ -82,3 +82,15 @@ def ship_package(spark: SparkSession) -> None:
             out.write(data)
     sc.addPyFile(f"{base}/pagelake-code/{name}")
     _SHIPPED.add(sc.applicationId)
+
+
+def remove_folder(path: str) -> None:
+    """Delete a job's scratch folder (any filesystem URI pyarrow resolves); missing is fine."""
+    import os
+
+    from pyarrow import fs as pafs
+
+    uri = path if "://" in path else "file://" + os.path.abspath(path)
+    filesystem, root = pafs.FileSystem.from_uri(uri)
+    if filesystem.get_file_info(root).type != pafs.FileType.NotFound:
+        filesystem.delete_dir(root)
