@@ -34,7 +34,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -224,15 +224,25 @@ def staging_path(spark, spec: DatasetSpec) -> str:
     return f"{shared_dir(spark)}/pagelake-staging/{spec.source}_{spec.name}/{uuid.uuid4().hex}"
 
 
-def stage_pages(pages: DataFrame, spec: DatasetSpec, path: str | None = None, mode: str = "overwrite") -> DataFrame:
+def stage_pages(pages: DataFrame, spec: DatasetSpec, path: str | None = None, mode: str = "overwrite",
+                observation: Observation | None = None) -> DataFrame:
     """Parse (once) and write the pages as Parquet; return the staged pages read back.
 
     Sorted by page inside each file so the later ``page < stop`` filter skips row groups.
     ``mode="append"`` lets paged readers land one wave of pages at a time.
+    ``observation`` collects, during the same write, ``ended`` (1 when a staged
+    page is empty or bad) and ``pages``.
     """
     spark = pages.sparkSession
     path = path or staging_path(spark, spec)
-    parse_pages(cap_pages(pages, spec), spec).sortWithinPartitions(PAGE).write.mode(mode).parquet(path)
+    parsed = parse_pages(cap_pages(pages, spec), spec)
+    if observation is not None:
+        parsed = parsed.observe(
+            observation,
+            F.coalesce(F.max(F.when(F.col(EMPTY) | F.col(BAD), 1).otherwise(0)), F.lit(0)).alias("ended"),
+            F.count(F.lit(1)).alias("pages"),
+        )
+    parsed.sortWithinPartitions(PAGE).write.mode(mode).parquet(path)
     return spark.read.parquet(path)
 
 

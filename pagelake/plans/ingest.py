@@ -19,15 +19,11 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from pagelake.functions.audit import with_audit_columns
 from pagelake.functions.schema import DatasetSpec
 from pagelake.operators.pages import (
-    BAD,
-    EMPTY,
-    PAGE,
     PAGE_SCHEMA,
     check_pages,
     page_records,
@@ -101,9 +97,9 @@ def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec,
     while True:
         per_task = _per_task(spark, size, pages_per_partition)
         wave = api_pages(spark, source, spec, start, start + size - 1, per_task)
-        staged = stage_pages(wave, spec, path=path, mode="append")
-        ended = staged.where((F.col(PAGE) >= start) & (F.col(EMPTY) | F.col(BAD))).limit(1).count() > 0
-        if ended:
+        seen = Observation(f"wave_{start}")
+        staged = stage_pages(wave, spec, path=path, mode="append", observation=seen)
+        if seen.get["ended"]:
             return staged
         start, size = start + size, min(size * 2, max_wave)
 
