@@ -117,6 +117,8 @@ def dataset_spec(
     pagination = d.get("pagination")
     if pagination is None:
         raise ValueError("Missing 'pagination' in schema YAML.")
+    if not isinstance(pagination, Mapping) or "enabled" not in pagination:
+        raise ValueError("Missing 'enabled' under 'pagination' in schema YAML.")
     max_pages = pagination.get("maxPages")
     return DatasetSpec(
         source=source,

@@ -195,8 +195,11 @@ class PageCheck:
 
 
 def check_pages(parsed: DataFrame, spec: DatasetSpec) -> PageCheck:
-    """Run one small aggregate over the flag columns; raise :class:`PageError` on a failure.
+    """Decide on the flag columns; raise :class:`PageError` on a failure.
 
+    Two small aggregates (end page, then a summary of the pages before it) read
+    only ``page, empty, bad, n_records``; one row comes back to the driver.  The
+    problem text of a failed page is fetched only when there is one.
     Returns the end page (``None``: no empty page) and the number of pages and records kept.
     """
     paged = spec.paging.enabled
@@ -247,7 +250,11 @@ def stage_pages(pages: DataFrame, spec: DatasetSpec, path: str | None = None, mo
 
 
 def read_records(pages: DataFrame, spec: DatasetSpec, with_page: bool = False, path: str | None = None) -> DataFrame:
-    """Stage, check, and return the typed records (raises :class:`PageError` before returning)."""
+    """Stage, check, and return the typed records (raises :class:`PageError` before returning).
+
+    The returned DataFrame reads the staged folder (``path``, default a fresh
+    one under the shared checkpoint folder); remove it once the result is consumed.
+    """
     staged = stage_pages(pages, spec, path=path)
     result = check_pages(staged, spec)
     return page_records(staged, result.stop, with_page=with_page)

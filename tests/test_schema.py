@@ -63,3 +63,5 @@ def test_required_keys():
         dataset_spec({"pagination": {"enabled": True}}, source="s", name="d")
     with pytest.raises(ValueError, match="pagination"):
         dataset_spec({"responsePath": "body"}, source="s", name="d")
+    with pytest.raises(ValueError, match="enabled"):
+        dataset_spec({"responsePath": "body", "pagination": {"maxPages": 2}}, source="s", name="d")
