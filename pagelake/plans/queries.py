@@ -191,8 +191,10 @@ def _landed_events(spark: SparkSession, sf_dir: str) -> str:
 
 
 def pages_landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read_landed_pages(spark, _landed_events(spark, sf_dir))
-    return read_records(pages, spec("events_landed", EVENTS))
+    folder = _landed_events(spark, sf_dir)
+    records = read_records(read_landed_pages(spark, folder), spec("events_landed", EVENTS))
+    remove_folder(folder)  # the result reads the staged pages only
+    return records
 
 
 def stream_landed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
