@@ -128,3 +128,18 @@ def test_postgres_target_from_env():
     assert t.write_options == {"batchsize": "5000"}
     assert postgres_target({"POSTGRES_HOST": "h", "POSTGRES_PORT": "6543", "POSTGRES_DB": "d"}).url == \
         "jdbc:postgresql://h:6543/d"
+
+
+def test_jdbc_target_prepares_rows_and_catalog(spark):
+    from pagelake.plans.sinks import JdbcTarget, _jdbc_ready
+
+    df = spark.sql("select 1 as i, named_struct('x', 2) as st, array(named_struct('y', 'q')) as arr, 'a' as `s.t`")
+    ready = _jdbc_ready(df)
+    assert [f.dataType.simpleString() for f in ready.schema.fields] == ["int", "string", "string", "string"]
+    assert ready.first()["st"] == '{"x":2}' and ready.columns == ["i", "st", "arr", "s.t"]
+    t = JdbcTarget("jdbc:postgresql://db:5432/w", {"user": "u", "password": None, "driver": "org.postgresql.Driver"})
+    name = t.register_catalog(spark)
+    assert spark.conf.get(f"spark.sql.catalog.{name}.url") == "jdbc:postgresql://db:5432/w"
+    assert spark.conf.get(f"spark.sql.catalog.{name}.user") == "u"
+    assert spark.conf.get(f"spark.sql.catalog.{name}") .endswith("JDBCTableCatalog")
+    assert t.qualified("bronze", "src_ds") == "bronze.src_ds"
