@@ -26,7 +26,7 @@ def body(*ids):
 
 
 def test_target_naming():
-    assert target_table("bronze", "rapid", "tickers") == "bronze.rapid_tickers"
+    assert target_table("bronze", "market", "tickers") == "bronze.market_tickers"
     assert CatalogTarget().qualified("bronze", "x_y") == "`bronze`.`x_y`"
 
 
@@ -109,10 +109,10 @@ def test_run_sequential_and_stops_at_first_failure(spark):
 
 
 def test_source_config_and_api_key_env():
-    doc = {"name": "rapid", "variables": {"base_url": "https://api.example/", "timeout": 10},
+    doc = {"name": "market", "variables": {"base_url": "https://api.example/", "timeout": 10},
            "headers": {"grp": {"x-key": "{api_key}", "x-host": "h"}}}
     src = source_spec(doc, headers_group="grp")
-    assert src.base_url == "https://api.example/" and src.timeout == 10 and src.key_env == "RAPID_KEY"
+    assert src.base_url == "https://api.example/" and src.timeout == 10 and src.key_env == "MARKET_KEY"
     with pytest.raises(ValueError, match="Missing headers"):
         source_spec({"name": "n", "headers": {}}, headers_group="grp")
     full = load_source(doc, {"t": {"responsePath": "body", "pagination": {"enabled": False}, "columns": []}},
