@@ -47,6 +47,8 @@ CUSTOMER_FALLBACK = _cols(("c_custkey", "long"), ("c_name", "string"), ("c_natio
                           ("c_acctbal", "double"), ("c_mktsegment", "varchar"))
 ORDERS_PARTIAL = _cols(("o_orderkey", "integer"), ("o_custkey", "integer"), ("o_orderstatus", "string"),
                        ("o_totalprice", "double"), ("o_orderdate", "timestamp"), ("o_clerk", "string"))
+DOCUMENTS = _cols(("doc_id", "integer"), ("text", "string"), ("lang", "string"), ("source", "string"),
+                 ("n_chars", "integer"))
 CUSTOMER_AUDITED = _cols(("c_custkey", "integer"), ("c_name", "string"), ("_rowHash", "string"),
                          ("_processedTimestamp", "timestamp"), ("c_nationkey", "integer"), ("c_acctbal", "float"),
                          ("c_mktsegment", "string"))
@@ -229,6 +231,13 @@ def ingest_end_to_end(spark: SparkSession, sf_dir: str, dataset: str = "events")
     return _audited_view(spark.table(result.table))
 
 
+def ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents (up to 20,000 words each) through pages, typing, hashing and the sink."""
+    pages = records_as_pages(table(spark, sf_dir, "documents"), KEY, PAGE_SIZE, index="doc_id")
+    result = ingest(spark, spec("documents", DOCUMENTS), pages=pages, layer=LAYER)
+    return _audited_view(spark.table(result.table))
+
+
 def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load ``replay.accounts`` from customer, then again from orders: the table holds the orders load only."""
     first = records_as_pages(table(spark, sf_dir, "customer"), KEY, PAGE_SIZE, index="c_custkey")
@@ -274,6 +283,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_hash_orders": _row_hash_query("orders"),
     "row_hash_lineitem": _row_hash_query("lineitem"),
     "row_hash_events": _row_hash_query("events"),
+    "row_hash_documents": _row_hash_query("documents"),
     "row_hash_null_skip": row_hash_null_skip,
     "pages_parse_events": pages_parse_events,
     "pages_stop_at_empty": pages_stop_at_empty,
@@ -288,6 +298,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pages_data_source": pages_data_source,
     "stream_landed_ingest": stream_landed_ingest,
     "ingest_end_to_end": ingest_end_to_end,
+    "ingest_documents": ingest_documents,
     "sink_overwrite": sink_overwrite,
     "multi_dataset_run": multi_dataset_run,
 }
@@ -324,6 +335,7 @@ ORACLES: dict[str, str] = {
                                                "l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, "
                                                "l_shipdate"),
     "row_hash_events": _hash_all("events", "event_id, ts, user_id, event_type, value, props"),
+    "row_hash_documents": _hash_all("documents", "doc_id, text, lang, source, n_chars"),
     "row_hash_null_skip": (
         "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, "
         "sha256(concat_ws('||', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment)) AS _rowHash FROM ("
@@ -356,6 +368,11 @@ ORACLES: dict[str, str] = {
     "pages_data_source": f"SELECT {_EVENTS_TYPED}, {_EVENTS_HASH} AS _rowHash, true AS has_ts FROM events",
     "stream_landed_ingest": f"SELECT {_EVENTS_TYPED}, {_EVENTS_HASH} AS _rowHash, true AS has_ts FROM events",
     "ingest_end_to_end": f"SELECT {_EVENTS_TYPED}, {_EVENTS_HASH} AS _rowHash, true AS has_ts FROM events",
+    "ingest_documents": (
+        "SELECT CAST(doc_id AS INTEGER) AS doc_id, text, lang, source, CAST(n_chars AS INTEGER) AS n_chars, "
+        "sha256(concat_ws('||', CAST(doc_id AS INTEGER), text, lang, source, CAST(n_chars AS INTEGER))) AS _rowHash, "
+        "true AS has_ts FROM documents"
+    ),
     "sink_overwrite": f"SELECT {_ORDERS_PARTIAL}, {_ORDERS_PARTIAL_HASH} AS _rowHash, true AS has_ts FROM orders",
     "multi_dataset_run": (
         f"SELECT 'replay.run_customers' AS dataset, {_CUSTOMER_FALLBACK_HASH} AS _rowHash FROM customer "
