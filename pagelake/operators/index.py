@@ -2,8 +2,9 @@
 
 ``row_number()`` over an unpartitioned window moves every row into one task.
 Instead, number rows inside each input partition and add the number of rows
-in all earlier partitions (a one-row-per-partition table, broadcast when the
-partition count is within a proven bound).
+in all earlier partitions: a one-row-per-partition table, hinted for broadcast
+when the partition count is within a proven bound, otherwise joined the way the
+optimizer's size checks choose.
 
 The numbering follows the input's partition order, so the input must be
 deterministic on recomputation (a file scan or a written table, not the

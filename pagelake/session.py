@@ -72,15 +72,21 @@ def ship_package(spark: SparkSession) -> None:
     from pyarrow import fs as pafs
 
     base = shared_dir(spark)
-    uri = base if "://" in base else "file://" + os.path.abspath(base)
-    filesystem, path = pafs.FileSystem.from_uri(uri)
     name = f"pagelake-{hashlib.sha256(data).hexdigest()[:16]}.zip"
-    filesystem.create_dir(f"{path}/pagelake-code", recursive=True)
-    target = f"{path}/pagelake-code/{name}"
-    if filesystem.get_file_info(target).type == pafs.FileType.NotFound:
-        with filesystem.open_output_stream(target) as out:
-            out.write(data)
-    sc.addPyFile(f"{base}/pagelake-code/{name}")
+    try:
+        uri = base if "://" in base else "file://" + os.path.abspath(base)
+        filesystem, path = pafs.FileSystem.from_uri(uri)
+        filesystem.create_dir(f"{path}/pagelake-code", recursive=True)
+        target = f"{path}/pagelake-code/{name}"
+        if filesystem.get_file_info(target).type == pafs.FileType.NotFound:
+            with filesystem.open_output_stream(target) as out:
+                out.write(data)
+        sc.addPyFile(f"{base}/pagelake-code/{name}")
+    except (OSError, ValueError) as exc:  # e.g. a filesystem pyarrow cannot reach from the driver
+        import logging
+
+        logging.getLogger(__name__).warning(
+            "Could not ship pagelake to Python workers (%s); it must be installed on the executors.", exc)
     _SHIPPED.add(sc.applicationId)
 
 

@@ -134,3 +134,12 @@ def test_pages_roundtrip_property(spark, n, size, parts):
     df = spark.range(0, n, 1, parts).select(F.col("id").cast("int").alias("id"))
     pages = records_as_pages(df, "data", size)
     assert sorted(r.id for r in read_records(pages, spec()).collect()) == list(range(n))
+
+
+def test_row_index_shuffle_join_path(spark, monkeypatch):
+    import pagelake.operators.index as index
+
+    monkeypatch.setattr(index, "BROADCAST_PARTITION_LIMIT", 0)
+    df = spark.range(0, 500, 1, 4).select((F.col("id") + 7).alias("v"))
+    out = index.with_row_index(df, "i")  # no hint: the optimizer picks the join by its size estimate
+    assert sorted(r.i for r in out.collect()) == list(range(500))
