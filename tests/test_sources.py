@@ -143,3 +143,17 @@ def test_row_index_shuffle_join_path(spark, monkeypatch):
     df = spark.range(0, 500, 1, 4).select((F.col("id") + 7).alias("v"))
     out = index.with_row_index(df, "i")  # no hint: the optimizer picks the join by its size estimate
     assert sorted(r.i for r in out.collect()) == list(range(500))
+
+
+def test_single_request_through_data_source(spark):
+    from pagelake.operators.pages import PageError, check_pages, page_records
+
+    single = dataset_spec({"responsePath": "data", "pagination": {"enabled": False}, "columns": COLS},
+                          source="api", name="one")
+    d = folder_with_pages(0, extra={"response.json": json.dumps({"data": [{"id": 1}, {"id": 2}]})})
+    staged = stage_api_pages(spark, SourceSpec("api", base_url=d), single)
+    chk = check_pages(staged, single)
+    assert sorted(r.id for r in page_records(staged, chk.stop).collect()) == [1, 2]
+    missing = stage_api_pages(spark, SourceSpec("api", base_url=tempfile.mkdtemp()), single)
+    with pytest.raises(PageError, match="status code 404"):
+        check_pages(missing, single)
