@@ -157,3 +157,9 @@ def test_single_request_through_data_source(spark):
     missing = stage_api_pages(spark, SourceSpec("api", base_url=tempfile.mkdtemp()), single)
     with pytest.raises(PageError, match="status code 404"):
         check_pages(missing, single)
+
+
+def test_repeated_index_is_refused(spark):
+    df = spark.range(0, 300, 1, 3).select((F.col("id") % 2).alias("k"))
+    with pytest.raises(ValueError, match="not unique"):
+        records_as_pages(df, "data", 100, index="k")
