@@ -33,7 +33,7 @@ from pagelake.operators.pages import (
 from pagelake.plans.registry import SourceSpec, select_datasets
 from pagelake.plans.sinks import DEFAULT_LAYER, CatalogTarget, table_name
 from pagelake.session import remove_folder
-from pagelake.sources.paged_json import endpoint_url, register
+from pagelake.sources.paged_json import endpoint_url, pushdown_enabled, register
 
 log = logging.getLogger(__name__)
 
@@ -68,6 +68,8 @@ def api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, first:
     }
     if source.key_env:
         options["apiKeyEnv"] = source.key_env
+    if pushdown_enabled(spark):
+        options["prunePages"] = "true"
     return spark.read.format("paged_json").options(**options).load()
 
 

@@ -16,6 +16,9 @@ Options:
 * ``paginate`` - ``true``: add ``page=<n>`` for n in ``firstPage..lastPage``;
   ``false``: one request, no page parameter.
 * ``timeout`` - seconds per request (default 30).
+* ``prunePages`` - ``true`` when the session enables
+  ``spark.sql.python.filterPushdown.enabled``: comparisons on ``page`` in the
+  query narrow the pages that are requested at all.
 
 A request that raises (timeout, connection error) yields ``status = -1`` and the
 error text as body: a page past the end of data may fail without failing the
@@ -30,7 +33,17 @@ import json
 import os
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    EqualTo,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    LessThan,
+    LessThanOrEqual,
+)
 from pyspark.sql.types import StructType
 
 from pagelake.operators.pages import PAGE_SCHEMA
@@ -145,6 +158,39 @@ class PagedJsonReader(DataSourceReader):
             yield (1 if page is None else page, status, text)
 
 
+class PagePruningReader(PagedJsonReader):
+    """Reader that narrows the requested pages by pushed ``page`` comparisons.
+
+    Used when the session enables ``spark.sql.python.filterPushdown.enabled``.
+    Every filter is also handed back, so Spark still applies it after the scan.
+    """
+
+    def pushFilters(self, filters):
+        wanted: set[int] | None = None
+        for f in filters:
+            if self.paginate and tuple(f.attribute) == (PAGE_PARAM,):
+                if isinstance(f, (LessThan, LessThanOrEqual)):
+                    self.last = min(self.last, int(f.value) - (1 if isinstance(f, LessThan) else 0))
+                elif isinstance(f, (GreaterThan, GreaterThanOrEqual)):
+                    self.first = max(self.first, int(f.value) + (1 if isinstance(f, GreaterThan) else 0))
+                elif isinstance(f, EqualTo):
+                    wanted = {int(f.value)} if wanted is None else wanted & {int(f.value)}
+                elif isinstance(f, In):
+                    values = {int(v) for v in f.value if v is not None}
+                    wanted = values if wanted is None else wanted & values
+            yield f
+        self.only = wanted
+
+    def partitions(self) -> list[InputPartition]:
+        if not self.paginate:
+            return [PageRange([None])]
+        only = getattr(self, "only", None)
+        numbers = [p for p in range(self.first, self.last + 1) if only is None or p in only]
+        if not numbers:
+            return [PageRange([])]
+        return [PageRange(numbers[i:i + self.per_partition]) for i in range(0, len(numbers), self.per_partition)]
+
+
 class PagedJsonDataSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -154,9 +200,18 @@ class PagedJsonDataSource(DataSource):
         return PAGE_SCHEMA
 
     def reader(self, schema: StructType) -> DataSourceReader:
+        if str(self.options.get("prunePages", "false")).lower() == "true":
+            return PagePruningReader(self.options)
         return PagedJsonReader(self.options)
 
 
+PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
+
+
+def pushdown_enabled(spark) -> bool:
+    return str(spark.conf.get(PUSHDOWN_CONF, "false")).lower() == "true"
+
+
 def register(spark) -> None:
     from pagelake.session import ship_package
 

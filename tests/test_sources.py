@@ -163,3 +163,22 @@ def test_repeated_index_is_refused(spark):
     df = spark.range(0, 300, 1, 3).select((F.col("id") % 2).alias("k"))
     with pytest.raises(ValueError, match="not unique"):
         records_as_pages(df, "data", 100, index="k")
+
+
+def test_page_predicates_prune_requests(spark):
+    from pagelake.sources.paged_json import PUSHDOWN_CONF
+
+    d = folder_with_pages(12)
+    src = SourceSpec("api", base_url=d)
+    spark.conf.set(PUSHDOWN_CONF, "true")
+    try:
+        df = api_pages(spark, src, spec(), first=1, last=12, pages_per_partition=1)
+        narrowed = df.where((F.col("page") >= 3) & (F.col("page") < 6))
+        assert narrowed.rdd.getNumPartitions() == 3
+        assert sorted(r.page for r in narrowed.collect()) == [3, 4, 5]
+        picked = df.where(F.col("page").isin(2, 11, 40))
+        assert picked.rdd.getNumPartitions() == 2
+        assert sorted(r.page for r in picked.collect()) == [2, 11]
+    finally:
+        spark.conf.unset(PUSHDOWN_CONF)
+    assert api_pages(spark, src, spec(), 1, 12, 1).where(F.col("page") < 3).rdd.getNumPartitions() == 12
