@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import make_pages
 from pagelake.functions.schema import dataset_spec
