@@ -163,20 +163,18 @@ def parse_pages(pages: DataFrame, spec: DatasetSpec) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _check_frame(parsed: DataFrame, paged: bool) -> DataFrame:
-    """One row: ``_stop`` (first empty page or null), first bad page before it, counts.
+def _flags(parsed: DataFrame) -> DataFrame:
+    return parsed.select(PAGE, BAD, EMPTY, N_RECORDS)
 
-    The end page is a scalar subquery (one small aggregate); pages before it are
-    then summarised by a second aggregate.  Both read only the flag columns.
-    """
-    flags = parsed.select(PAGE, BAD, EMPTY, N_RECORDS)
-    if paged:
-        stop = flags.agg(F.min(F.when(F.col(EMPTY), F.col(PAGE)))).scalar()
-        kept = flags.where(F.col(PAGE) < F.coalesce(stop, F.lit(_NO_STOP)))
-    else:
-        stop = F.lit(None).cast("long")
-        kept = flags
-    summary = kept.agg(
+
+def _end_page(flags: DataFrame) -> DataFrame:
+    """One row, one column: the first empty page (null when there is none)."""
+    return flags.agg(F.min(F.when(F.col(EMPTY), F.col(PAGE))).alias(_STOP))
+
+
+def _summary(kept: DataFrame) -> DataFrame:
+    """One row over the pages before the end: counts, page range, records, first bad page."""
+    return kept.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct(F.col(PAGE)).alias("n_distinct"),
         F.min(PAGE).alias("lo"),
@@ -184,7 +182,18 @@ def _check_frame(parsed: DataFrame, paged: bool) -> DataFrame:
         F.coalesce(F.sum(N_RECORDS), F.lit(0)).alias("records"),
         F.min(F.when(F.col(BAD), F.col(PAGE))).alias("first_bad"),
     )
-    return summary.select(stop.alias(_STOP), "*")
+
+
+def _check_frame(parsed: DataFrame, paged: bool) -> DataFrame:
+    """The whole check as one lazy row (for :func:`checked_records`): end page as a scalar subquery."""
+    flags = _flags(parsed)
+    if paged:
+        stop = _end_page(flags).scalar()
+        kept = flags.where(F.col(PAGE) < F.coalesce(stop, F.lit(_NO_STOP)))
+    else:
+        stop = F.lit(None).cast("long")
+        kept = flags
+    return _summary(kept).select(stop.alias(_STOP), "*")
 
 
 @dataclass(frozen=True)
@@ -197,13 +206,16 @@ class PageCheck:
 def check_pages(parsed: DataFrame, spec: DatasetSpec) -> PageCheck:
     """Decide on the flag columns; raise :class:`PageError` on a failure.
 
-    Two small aggregates (end page, then a summary of the pages before it) read
-    only ``page, empty, bad, n_records``; one row comes back to the driver.  The
-    problem text of a failed page is fetched only when there is one.
+    Two small aggregates read only ``page, empty, bad, n_records``: the end page,
+    then a summary of the pages before it (``page < stop`` is a literal, pushed
+    into the Parquet scan).  One row comes back from each.  The problem text of
+    a failed page is fetched only when there is one.
     Returns the end page (``None``: no empty page) and the number of pages and records kept.
     """
     paged = spec.paging.enabled
-    row = _check_frame(parsed, paged).first()
+    flags = _flags(parsed)
+    stop = _end_page(flags).first()[0] if paged else None
+    row = _summary(flags if stop is None else flags.where(F.col(PAGE) < F.lit(stop))).first()
     if row["first_bad"] is not None:
         problem = parsed.where(F.col(BAD) & (F.col(PAGE) == F.lit(row["first_bad"]))).select(PROBLEM).first()[0]
         raise PageError(f"{spec.qualified_name}: {problem}")
@@ -212,7 +224,7 @@ def check_pages(parsed: DataFrame, spec: DatasetSpec) -> PageCheck:
         raise PageError(f"{spec.qualified_name}: repeated page numbers before the end of data")
     if paged and n and (row["lo"] != 1 or row["hi"] != n):
         raise PageError(f"{spec.qualified_name}: page numbers before the end of data are not 1..{n} without gaps")
-    return PageCheck(stop=row[_STOP], pages=n, records=row["records"])
+    return PageCheck(stop=stop, pages=n, records=row["records"])
 
 
 def page_records(parsed: DataFrame, stop: int | None = None, with_page: bool = False) -> DataFrame:
@@ -246,7 +258,7 @@ def stage_pages(pages: DataFrame, spec: DatasetSpec, path: str | None = None, mo
             F.count(F.lit(1)).alias("pages"),
         )
     parsed.sortWithinPartitions(PAGE).write.mode(mode).parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(parsed.schema).parquet(path)  # known schema: no footer inference
 
 
 def read_records(pages: DataFrame, spec: DatasetSpec, with_page: bool = False, path: str | None = None) -> DataFrame:
