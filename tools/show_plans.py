@@ -13,9 +13,19 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from pagelake.functions.audit import with_audit_columns  # noqa: E402
 from pagelake.operators.index import with_row_index  # noqa: E402
-from pagelake.operators.pages import _check_frame, check_pages, page_records, parse_pages, stage_pages  # noqa: E402
+from pagelake.operators.pages import (  # noqa: E402
+    _end_page,
+    _flags,
+    _summary,
+    check_pages,
+    page_records,
+    parse_pages,
+    stage_pages,
+)
 from pagelake.plans import queries as q  # noqa: E402
 from pagelake.session import local_session  # noqa: E402
 from pagelake.sources.landed import read_landed_pages  # noqa: E402
@@ -47,10 +57,13 @@ def main(argv):
             "projections. No exchange.", parse_pages(landed, spec), "simple")
     # pages with an empty middle page (and broken pages after it), so an end page exists
     staged = stage_pages(q._with_middle_stop(q.event_pages(spark, sf_dir)), spec)
-    section("2. End page and summary over staged pages",
-            "Both aggregates read only the flag columns (`ReadSchema`); the end page is a scalar subquery.",
-            _check_frame(staged, True))
     result = check_pages(staged, spec)
+    flags = _flags(staged)
+    section("2a. End page over staged pages",
+            "Reads only `page, empty` (`ReadSchema`); one row.", _end_page(flags))
+    section("2b. Summary of the pages before the end page",
+            f"`page < {result.stop}` is a literal pushed into the Parquet scan; reads only the flag columns.",
+            _summary(flags.where(F.col("page") < F.lit(result.stop))))
     section("3. Records of the pages before the end page, with audit columns (what the target receives)",
             f"End page {result.stop}: `page < stop` is a pushed Parquet filter; `inline`, `sha2`/`concat_ws` "
             "and the timestamp stay in one codegen stage.",
