@@ -1,5 +1,15 @@
-"""Page sources: table replay, landed page files, and the paged JSON data source."""
+"""Page sources: the paged JSON data source, landed page files, table replay."""
 
+from pagelake.sources.landed import PageFilesDataSource, land_pages, read_landed_pages
+from pagelake.sources.paged_json import PagedJsonDataSource, endpoint_url, register
 from pagelake.sources.table_pages import records_as_pages
 
-__all__ = ["records_as_pages"]
+__all__ = [
+    "PageFilesDataSource",
+    "PagedJsonDataSource",
+    "endpoint_url",
+    "land_pages",
+    "read_landed_pages",
+    "records_as_pages",
+    "register",
+]
