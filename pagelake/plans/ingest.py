@@ -61,6 +61,7 @@ def api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, first:
         "params": json.dumps(dict(spec.params)),
         "headers": json.dumps(dict(source.headers)),
         "timeout": str(source.timeout),
+        "retries": str(source.retries),
         "paginate": str(spec.paging.enabled).lower(),
         "firstPage": str(first),
         "lastPage": str(first if last is None else last),

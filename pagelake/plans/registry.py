@@ -35,6 +35,7 @@ class SourceSpec:
     headers: Mapping[str, str] = field(default_factory=dict)
     timeout: float = DEFAULT_TIMEOUT
     datasets: tuple[DatasetSpec, ...] = ()
+    retries: int = 0
 
     @property
     def key_env(self) -> str | None:
@@ -58,7 +59,7 @@ def source_spec(
     datasets: Iterable[DatasetSpec] = (),
     headers_group: str | None = None,
 ) -> SourceSpec:
-    """Source from its config document (``name``, ``variables.base_url``, ``variables.timeout``, ``headers``).
+    """Source from its config document (``name``, ``variables.base_url/timeout/retry_attempts``, ``headers``).
 
     ``headers_group``: take the headers from ``headers.<group>`` (configs that keep
     several header sets); a source that declares headers but none under the
@@ -77,6 +78,7 @@ def source_spec(
         headers=dict(headers),
         timeout=float(variables.get("timeout", DEFAULT_TIMEOUT)),
         datasets=tuple(datasets),
+        retries=int(variables.get("retry_attempts", 0) or 0),
     )
 
 

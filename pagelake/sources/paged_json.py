@@ -16,6 +16,8 @@ Options:
 * ``paginate`` - ``true``: add ``page=<n>`` for n in ``firstPage..lastPage``;
   ``false``: one request, no page parameter.
 * ``timeout`` - seconds per request (default 30).
+* ``retries`` - extra attempts for transient failures (connection errors,
+  timeouts, 429, 502-504), with exponential backoff (default 0).
 * ``prunePages`` - ``true`` when the session enables
   ``spark.sql.python.filterPushdown.enabled``: comparisons on ``page`` in the
   query narrow the pages that are requested at all.
@@ -55,6 +57,9 @@ PAGE_PARAM = "page"
 FILE_PAGE = "page-{}.json"  # same name the page_files sink writes
 FILE_SINGLE = "response.json"
 # --- end of fixed values ---
+TRANSIENT_STATUS = frozenset({429, 502, 503, 504})
+BACKOFF_SECONDS = 0.5
+MAX_BACKOFF_SECONDS = 30.0
 
 
 def endpoint_url(base_url: str, endpoint: str) -> str:
@@ -106,20 +111,34 @@ def _read_folder_page(url: str, page: int | None) -> tuple[int, str]:
 
 
 def fetch(url: str, params: Mapping[str, str], headers: Mapping[str, str], timeout: float,
-          page: int | None) -> tuple[int, str]:
-    """One GET; returns ``(status, text)``.  ``page=None``: no page parameter."""
+          page: int | None, retries: int = 0, backoff: float = BACKOFF_SECONDS) -> tuple[int, str]:
+    """One GET; returns ``(status, text)``.  ``page=None``: no page parameter.
+
+    Transient failures (connection errors, timeouts, 429, 502-504) are retried
+    ``retries`` times with exponential backoff; the last outcome is returned.
+    """
     if not url.startswith(("http://", "https://")):
         return _read_folder_page(url, page)
+    import time
+
     import requests
 
     query = dict(params)
     if page is not None:
         query[PAGE_PARAM] = str(page)
-    try:
-        response = requests.get(url, headers=dict(headers), params=query, timeout=timeout)
-    except requests.RequestException as exc:
-        return -1, f"{type(exc).__name__}: {exc}"
-    return response.status_code, response.text
+    outcome = (-1, "not requested")
+    for attempt in range(max(0, retries) + 1):
+        if attempt:
+            time.sleep(min(backoff * 2 ** (attempt - 1), MAX_BACKOFF_SECONDS))
+        try:
+            response = requests.get(url, headers=dict(headers), params=query, timeout=timeout)
+        except requests.RequestException as exc:
+            outcome = (-1, f"{type(exc).__name__}: {exc}")
+            continue
+        outcome = (response.status_code, response.text)
+        if response.status_code not in TRANSIENT_STATUS:
+            break
+    return outcome
 
 
 class PageRange(InputPartition):
@@ -141,6 +160,7 @@ class PagedJsonReader(DataSourceReader):
             headers = resolve_placeholders(headers, key)
         self.headers = headers
         self.timeout = float(options.get("timeout") or DEFAULT_TIMEOUT)
+        self.retries = int(options.get("retries") or 0)
         self.paginate = str(options.get("paginate", "true")).lower() == "true"
         self.first = int(options.get("firstPage") or 1)
         self.last = int(options.get("lastPage") or self.first)
@@ -154,7 +174,7 @@ class PagedJsonReader(DataSourceReader):
 
     def read(self, partition: PageRange) -> Iterator[tuple]:
         for page in partition.pages:
-            status, text = fetch(self.url, self.params, self.headers, self.timeout, page)
+            status, text = fetch(self.url, self.params, self.headers, self.timeout, page, self.retries)
             yield (1 if page is None else page, status, text)
 
 

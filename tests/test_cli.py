@@ -39,7 +39,7 @@ def test_example_sources_discovered():
     assert (src.name, ds.name, ds.endpoint, dict(ds.params)) == ("market_api", "tickers", "v2/markets/tickers",
                                                                  {"type": "STOCKS"})
     assert ds.paging.max_pages == 2 and ds.schema["netchange"].dataType.simpleString() == "string"
-    assert src.key_env == "MARKET_API_KEY"
+    assert src.key_env == "MARKET_API_KEY" and src.retries == 3
 
 
 def test_cli_ingest_from_folder_source(spark):

@@ -182,3 +182,31 @@ def test_page_predicates_prune_requests(spark):
     finally:
         spark.conf.unset(PUSHDOWN_CONF)
     assert api_pages(spark, src, spec(), 1, 12, 1).where(F.col("page") < 3).rdd.getNumPartitions() == 12
+
+
+def test_http_fetch_retries_transient_failures(monkeypatch):
+    import requests
+
+    calls = []
+
+    class Reply:
+        def __init__(self, status, text):
+            self.status_code, self.text = status, text
+
+    script = [requests.ConnectionError("reset"), Reply(503, "busy"), Reply(200, '{"data":[]}')]
+
+    def fake_get(url, headers, params, timeout):
+        calls.append(dict(params))
+        step = script[len(calls) - 1]
+        if isinstance(step, Exception):
+            raise step
+        return step
+
+    monkeypatch.setattr(requests, "get", fake_get)
+    assert fetch("https://api.example/x", {"type": "S"}, {}, 1, 7, retries=2, backoff=0) == (200, '{"data":[]}')
+    assert calls == [{"type": "S", "page": "7"}] * 3
+    calls.clear()
+    assert fetch("https://api.example/x", {}, {}, 1, None, retries=0, backoff=0)[0] == -1
+    calls.clear()
+    script[:] = [Reply(404, "nope"), Reply(200, "late")]
+    assert fetch("https://api.example/x", {}, {}, 1, 1, retries=3, backoff=0) == (404, "nope")
