@@ -25,8 +25,10 @@ taken only after the end page is known.  Two ways to take it:
   write the parsed pages next to the other shared job data, decide on the
   narrow flag columns, then read records of pages ``< stop`` (a pushed-down
   Parquet filter).
-* :func:`checked_records`: one lazy plan; the raise sits in an expression that
-  depends on the stop page so Catalyst cannot move it below the cut.
+* :func:`checked_records`: one lazy plan.  The raise and its ``page < stop``
+  guard are one expression, so wherever Catalyst evaluates it (filters
+  inferred from ``inline`` are pushed down to the scan) it can fire only for
+  pages before the end.
 """
 
 from __future__ import annotations
