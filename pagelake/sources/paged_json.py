@@ -142,11 +142,17 @@ def fetch(url: str, params: Mapping[str, str], headers: Mapping[str, str], timeo
 
 
 class PageRange(InputPartition):
-    def __init__(self, pages: list[int | None]):
+    """Pages of one fetch task: a ``range`` (compact however many pages), or an explicit list."""
+
+    def __init__(self, pages: range | list[int | None]):
         super().__init__(pages)
         self.pages = pages
 
 
+def _chunks(first: int, last: int, size: int) -> list[PageRange]:
+    return [PageRange(range(start, min(start + size, last + 1))) for start in range(first, last + 1, size)]
+
+
 class PagedJsonReader(DataSourceReader):
     def __init__(self, options: Mapping[str, str]):
         self.url = options["url"]
@@ -169,8 +175,7 @@ class PagedJsonReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         if not self.paginate:
             return [PageRange([None])]
-        numbers = list(range(self.first, self.last + 1))
-        return [PageRange(numbers[i:i + self.per_partition]) for i in range(0, len(numbers), self.per_partition)]
+        return _chunks(self.first, self.last, self.per_partition) or [PageRange([])]
 
     def read(self, partition: PageRange) -> Iterator[tuple]:
         for page in partition.pages:
@@ -205,7 +210,9 @@ class PagePruningReader(PagedJsonReader):
         if not self.paginate:
             return [PageRange([None])]
         only = getattr(self, "only", None)
-        numbers = [p for p in range(self.first, self.last + 1) if only is None or p in only]
+        if only is None:
+            return _chunks(self.first, self.last, self.per_partition) or [PageRange([])]
+        numbers = sorted(p for p in only if self.first <= p <= self.last)
         if not numbers:
             return [PageRange([])]
         return [PageRange(numbers[i:i + self.per_partition]) for i in range(0, len(numbers), self.per_partition)]

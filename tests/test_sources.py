@@ -92,7 +92,10 @@ def test_api_key_from_environment(spark, monkeypatch):
     reader = PagedJsonReader({"url": d, "headers": json.dumps(dict(src.headers)), "apiKeyEnv": "KEYED_KEY",
                               "firstPage": "1", "lastPage": "3", "pagesPerPartition": "2"})
     assert reader.headers == {"x-key": "secret"}
-    assert [p.pages for p in reader.partitions()] == [[1, 2], [3]]
+    assert [list(p.pages) for p in reader.partitions()] == [[1, 2], [3]]
+    huge = PagedJsonReader({"url": d, "firstPage": "1", "lastPage": str(10**9), "pagesPerPartition": str(10**7)})
+    parts = huge.partitions()
+    assert len(parts) == 100 and parts[-1].pages == range(990_000_001, 10**9 + 1)
     assert [(page, status) for page, status, _ in reader.read(reader.partitions()[0])] == [(1, 200), (2, 200)]
 
 
