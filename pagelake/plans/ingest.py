@@ -85,26 +85,29 @@ def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec,
                     first_wave: int = FIRST_WAVE, max_wave: int = MAX_WAVE, path: str | None = None) -> DataFrame:
     """Fetch and stage a dataset's pages.
 
-    With ``maxPages`` all pages are requested at once, in parallel.  Without it,
-    pages are requested in waves that double in size (up to ``max_wave``); each
-    wave is parsed and appended to the staging folder, and the next wave is
-    requested only when the last one had neither an empty nor a bad page.
-    Over-fetch is below one wave.
+    Pages are requested in waves that double in size (up to ``max_wave``) and
+    never pass ``maxPages``.  Each wave is fetched in parallel, parsed and
+    appended to the staging folder; the next wave is requested only when the
+    last one had neither an empty nor a bad page.  Over-fetch stays below one
+    wave, so a dataset that ends early costs few requests whatever its cap.
+    A single-request dataset is one request.
     """
     path = path or staging_path(spark, spec)
-    if not spec.paging.enabled or spec.paging.max_pages is not None:
-        last = None if not spec.paging.enabled else int(spec.paging.max_pages)
-        per_task = _per_task(spark, last or 1, pages_per_partition)
-        return stage_pages(api_pages(spark, source, spec, 1, last, per_task), spec, path=path)
+    if not spec.paging.enabled:
+        return stage_pages(api_pages(spark, source, spec, 1, None, 1), spec, path=path)
+    cap = spec.paging.max_pages
+    if cap == 0:
+        return stage_pages(api_pages(spark, source, spec, 1, 0, 1), spec, path=path)
     start, size = 1, first_wave
     while True:
-        per_task = _per_task(spark, size, pages_per_partition)
-        wave = api_pages(spark, source, spec, start, start + size - 1, per_task)
+        last = start + size - 1 if cap is None else min(start + size - 1, cap)
+        per_task = _per_task(spark, last - start + 1, pages_per_partition)
+        wave = api_pages(spark, source, spec, start, last, per_task)
         seen = Observation(f"wave_{start}")
         staged = stage_pages(wave, spec, path=path, mode="append", observation=seen)
-        if seen.get["ended"]:
+        if seen.get["ended"] or (cap is not None and last >= cap):
             return staged
-        start, size = start + size, min(size * 2, max_wave)
+        start, size = last + 1, min(size * 2, max_wave)
 
 
 def ingest(

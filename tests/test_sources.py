@@ -213,3 +213,13 @@ def test_http_fetch_retries_transient_failures(monkeypatch):
     calls.clear()
     script[:] = [Reply(404, "nope"), Reply(200, "late")]
     assert fetch("https://api.example/x", {}, {}, 1, 1, retries=3, backoff=0) == (404, "nope")
+
+
+def test_large_cap_does_not_overfetch(spark):
+    d = folder_with_pages(5)
+    staged = stage_api_pages(spark, SourceSpec("api", base_url=d), spec(maxPages=100_000), first_wave=8)
+    # one wave of 8 pages holds the end (page 6): nothing beyond it is requested
+    assert staged.count() == 8
+    from pagelake.operators.pages import check_pages
+
+    assert check_pages(staged, spec(maxPages=100_000)).stop == 6
