@@ -82,17 +82,19 @@ def _per_task(spark: SparkSession, pages: int, pages_per_partition: int | None)
 
 
 def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, pages_per_partition: int | None = None,
-                    first_wave: int = FIRST_WAVE, max_wave: int = MAX_WAVE, path: str | None = None) -> DataFrame:
+                    first_wave: int = FIRST_WAVE, max_wave: int | None = None, path: str | None = None) -> DataFrame:
     """Fetch and stage a dataset's pages.
 
-    Pages are requested in waves that double in size (up to ``max_wave``) and
-    never pass ``maxPages``.  Each wave is fetched in parallel, parsed and
+    Pages are requested in waves that double in size (up to ``max_wave``,
+    default the larger of 8192 and 64 pages per core) and never pass ``maxPages``.  Each wave is fetched in parallel, parsed and
     appended to the staging folder; the next wave is requested only when the
     last one had neither an empty nor a bad page.  Over-fetch stays below one
     wave, so a dataset that ends early costs few requests whatever its cap.
     A single-request dataset is one request.
     """
     path = path or staging_path(spark, spec)
+    if max_wave is None:
+        max_wave = max(MAX_WAVE, 64 * spark.sparkContext.defaultParallelism)
     if not spec.paging.enabled:
         return stage_pages(api_pages(spark, source, spec, 1, None, 1), spec, path=path)
     cap = spec.paging.max_pages
