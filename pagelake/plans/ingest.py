@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import logging
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from typing import Any
@@ -86,9 +87,10 @@ def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec,
     """Fetch and stage a dataset's pages.
 
     Pages are requested in waves that double in size (up to ``max_wave``,
-    default the larger of 8192 and 64 pages per core) and never pass ``maxPages``.  Each wave is fetched in parallel, parsed and
-    appended to the staging folder; the next wave is requested only when the
-    last one had neither an empty nor a bad page.  Over-fetch stays below one
+    default the larger of 8192 and 64 pages per core) and never pass
+    ``maxPages``.  Each wave is fetched in parallel, parsed and appended to the
+    staging folder; the next wave is requested only when the last one had
+    neither an empty nor a bad page.  Over-fetch stays below one
     wave, so a dataset that ends early costs few requests whatever its cap.
     A single-request dataset is one request.
     """
@@ -105,7 +107,7 @@ def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec,
         last = start + size - 1 if cap is None else min(start + size - 1, cap)
         per_task = _per_task(spark, last - start + 1, pages_per_partition)
         wave = api_pages(spark, source, spec, start, last, per_task)
-        seen = Observation(f"wave_{start}")
+        seen = Observation(f"pagelake_wave_{uuid.uuid4().hex}")  # unique: runs may share a session
         staged = stage_pages(wave, spec, path=path, mode="append", observation=seen)
         if seen.get["ended"] or (cap is not None and last >= cap):
             return staged
