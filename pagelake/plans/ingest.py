@@ -121,11 +121,14 @@ def ingest(
     target=None,
     layer: str = DEFAULT_LAYER,
     source: SourceSpec | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> IngestResult:
     """Ingest one dataset into ``<layer>.<source>_<dataset>`` of ``target``.
 
     ``pages``: responses as ``page, status, body`` rows (any page source).  When
-    absent, pages are requested from ``source``.
+    absent, pages are requested from ``source``.  ``transform``: a DataFrame ->
+    DataFrame step applied to the typed records before the audit columns (the
+    extension point for dataset-specific processing; the hash covers its output).
     """
     target = target or CatalogTarget()
     target.ensure_namespace(spark, layer)
@@ -137,7 +140,8 @@ def ingest(
     else:
         raise ValueError("ingest needs pages or a source to request them from")
     check = check_pages(staged, spec)
-    rows = with_audit_columns(page_records(staged, check.stop))
+    records = page_records(staged, check.stop)
+    rows = with_audit_columns(transform(records) if transform else records)
     name = target.overwrite(rows, layer, table_name(spec.source, spec.name))
     remove_folder(path)  # staged pages are scratch once the target holds the rows; kept after a failure
     log.info("Ingested %s into %s: %d pages, %d records", spec.qualified_name, name, check.pages, check.records)
@@ -152,11 +156,13 @@ def run(
     target=None,
     layer: str = DEFAULT_LAYER,
     pages_for: Callable[[SourceSpec, DatasetSpec], DataFrame] | None = None,
+    transforms: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
 ) -> list[IngestResult]:
     """Ingest every selected dataset, one after another; the first failure stops the run.
 
     Datasets finished before a failure stay written.  ``pages_for`` supplies the
     responses of a dataset (default: request them from the source's API).
+    ``transforms`` maps ``"<source>.<dataset>"`` to its records step (see :func:`ingest`).
     """
     selected = select_datasets(sources, run_config, selector)
     if not selected:
@@ -167,5 +173,6 @@ def run(
         for spec in src.datasets:
             log.info("Ingesting %s", spec.qualified_name)
             pages = pages_for(src, spec) if pages_for else None
-            results.append(ingest(spark, spec, pages=pages, target=target, layer=layer, source=src))
+            step = (transforms or {}).get(spec.qualified_name)
+            results.append(ingest(spark, spec, pages=pages, target=target, layer=layer, source=src, transform=step))
     return results

@@ -14,6 +14,8 @@ pages, so it stays a batch step over the staged flag columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -67,8 +69,13 @@ def start_landing(spark: SparkSession, folder: str, spec: DatasetSpec, root: str
 
 
 def ingest_landed(spark: SparkSession, folder: str, spec: DatasetSpec, target=None, layer: str = DEFAULT_LAYER,
-                  root: str | None = None, timeout: float | None = None) -> IngestResult:
-    """Land new files of ``folder`` (stream, available-now), then check and replace the target."""
+                  root: str | None = None, timeout: float | None = None,
+                  transform: Callable[[DataFrame], DataFrame] | None = None) -> IngestResult:
+    """Land new files of ``folder`` (stream, available-now), then check and replace the target.
+
+    ``transform`` is applied to the typed records before the audit columns, as in
+    :func:`pagelake.plans.ingest.ingest`.
+    """
     target = target or CatalogTarget()
     target.ensure_namespace(spark, layer)
     query = start_landing(spark, folder, spec, root=root)
@@ -81,6 +88,7 @@ def ingest_landed(spark: SparkSession, folder: str, spec: DatasetSpec, target=No
     staged_path, _ = stream_locations(spark, spec, root)
     staged = spark.read.parquet(staged_path)
     check = check_pages(staged, spec)
-    rows = with_audit_columns(page_records(staged, check.stop))
+    records = page_records(staged, check.stop)
+    rows = with_audit_columns(transform(records) if transform else records)
     name = target.overwrite(rows, layer, table_name(spec.source, spec.name))
     return IngestResult(spec.qualified_name, name, check.pages, check.records, check.stop)

@@ -142,3 +142,22 @@ def test_jdbc_target_prepares_rows_and_catalog(spark):
     assert spark.conf.get(f"spark.sql.catalog.{name}.user") == "u"
     assert spark.conf.get(f"spark.sql.catalog.{name}") .endswith("JDBCTableCatalog")
     assert t.qualified("bronze", "src_ds") == "bronze.src_ds"
+
+
+def test_transform_hook_runs_before_audit_columns(spark):
+    from pyspark.sql import functions as F
+
+    pages = make_pages(spark, [(1, 200, body(1, 2, 3))])
+    ingest(spark, spec("shaped"), pages=pages, layer="bronze_t",
+           transform=lambda df: df.where(F.col("id") != 2).withColumn("s", F.upper("s")))
+    rows = spark.table("bronze_t.src_shaped").orderBy("id").collect()
+    assert [(r.id, r.s) for r in rows] == [(1, "R1"), (3, "R3")]
+    want = spark.sql("select sha2(concat_ws('||', 1, 'R1'), 256)").first()[0]
+    assert rows[0]["_rowHash"] == want
+
+    def pages_for(src, ds):
+        return make_pages(spark, [(1, 200, body(7))])
+
+    done = run(spark, SOURCES, RUN, selector="c.one", layer="run_t", pages_for=pages_for,
+               transforms={"c.one": lambda df: df.withColumn("s", F.lit("x"))})
+    assert [r.s for r in spark.table(done[0].table).collect()] == ["x"]
