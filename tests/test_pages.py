@@ -173,3 +173,15 @@ def test_page_order_in_output(spark):
     out = read_records(make_pages(spark, pages), spec(), with_page=True)
     assert [(r["page"], r["id"]) for r in out.orderBy("page", "id").collect()] == [(1, 1), (1, 2), (2, 3), (2, 4)]
     assert out.where(F.col("page") == 2).count() == 2
+
+
+@pytest.mark.parametrize("mode", MODES)
+@pytest.mark.parametrize("broken", ["[]", "[{\"body\":[]}]", "42", "\"text\""])
+def test_non_object_roots_fail(spark, mode, broken):
+    fails(spark, [(1, 200, body(1)), (2, 200, broken), (3, 200, '{"body":[]}')], spec(), mode)
+
+
+@pytest.mark.parametrize("mode", MODES)
+def test_whitespace_around_body(spark, mode):
+    pages = [(1, 200, "  \n" + body(1, 2) + "\n  "), (2, 200, ' { "body" : [ ] } ')]
+    assert run(spark, pages, spec(), mode) == [1, 2]
