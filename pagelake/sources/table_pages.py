@@ -23,10 +23,10 @@ _IDX, _REC = "_tp_idx", "_tp_rec"
 
 
 def _json_ready(df: DataFrame, name: str) -> Column:
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return df[name].cast("string").alias(name)
-    return df[name]
+    col = F.col("`" + name.replace("`", "``") + "`")
+    if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return col.cast("string").alias(name)
+    return col.alias(name)
 
 
 def _check_page_bound(df: DataFrame, idx: Column, page_size: int) -> None:

@@ -223,3 +223,11 @@ def test_large_cap_does_not_overfetch(spark):
     from pagelake.operators.pages import check_pages
 
     assert check_pages(staged, spec(maxPages=100_000)).stop == 6
+
+
+def test_replay_dotted_column_names(spark):
+    df = spark.sql("select id, cast(id as string) as `a.b` from range(5)")
+    cols = [{"name": "id", "type": "integer"}, {"name": "a.b", "type": "string"}]
+    sp = dataset_spec({"responsePath": "data", "pagination": {"enabled": True}, "columns": cols}, source="s", name="d")
+    out = read_records(records_as_pages(df, "data", 2, index="id"), sp)
+    assert sorted((r["id"], r["a.b"]) for r in out.collect()) == [(i, str(i)) for i in range(5)]
