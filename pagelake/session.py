@@ -17,13 +17,11 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    fallback = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    spark.sparkContext.setCheckpointDir(fallback)
-    spark.conf.set(CHECKPOINT_CONF, fallback)
-    return fallback
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        # the conf cannot change at runtime; the context's checkpoint folder can
+        sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pagelake") -> SparkSession:
@@ -44,6 +42,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 _SHIPPED: set[str] = set()
 
 
+def filesystem_uri(path: str) -> str:
+    """A URI pyarrow resolves for a Spark/Hadoop path (``/x``, ``file:/x``, ``hdfs://nn/x``, ``s3a://b/x``)."""
+    import os
+    import re
+
+    if "://" in path:
+        scheme, rest = path.split("://", 1)
+        return ("s3://" + rest) if scheme in ("s3a", "s3n") else path  # Hadoop S3 connectors -> pyarrow S3
+    m = re.match(r"^([A-Za-z][A-Za-z0-9+.-]*):(/.*)$", path)
+    if m:
+        return filesystem_uri(f"{m.group(1)}://{m.group(2)}")
+    return "file://" + os.path.abspath(path)
+
+
+def resolve_filesystem(path: str):
+    """(pyarrow filesystem, path inside it) for a Spark/Hadoop path."""
+    from pyarrow import fs as pafs
+
+    filesystem, inner = pafs.FileSystem.from_uri(filesystem_uri(path))
+    return filesystem, inner.rstrip("/")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable by Python workers, once per application.
 
@@ -74,8 +94,7 @@ def ship_package(spark: SparkSession) -> None:
     base = shared_dir(spark)
     name = f"pagelake-{hashlib.sha256(data).hexdigest()[:16]}.zip"
     try:
-        uri = base if "://" in base else "file://" + os.path.abspath(base)
-        filesystem, path = pafs.FileSystem.from_uri(uri)
+        filesystem, path = resolve_filesystem(base)
         filesystem.create_dir(f"{path}/pagelake-code", recursive=True)
         target = f"{path}/pagelake-code/{name}"
         if filesystem.get_file_info(target).type == pafs.FileType.NotFound:
@@ -92,11 +111,8 @@ def ship_package(spark: SparkSession) -> None:
 
 def remove_folder(path: str) -> None:
     """Delete a job's scratch folder (any filesystem URI pyarrow resolves); missing is fine."""
-    import os
-
     from pyarrow import fs as pafs
 
-    uri = path if "://" in path else "file://" + os.path.abspath(path)
-    filesystem, root = pafs.FileSystem.from_uri(uri)
+    filesystem, root = resolve_filesystem(path)
     if filesystem.get_file_info(root).type != pafs.FileType.NotFound:
         filesystem.delete_dir(root)

@@ -47,13 +47,9 @@ def read_landed_pages(spark: SparkSession, path: str, glob: str | None = None) -
 
 
 def _filesystem(path: str):
-    import os
+    from pagelake.session import resolve_filesystem
 
-    from pyarrow import fs as pafs
-
-    uri = path if "://" in path else "file://" + os.path.abspath(path)
-    filesystem, root = pafs.FileSystem.from_uri(uri)
-    return filesystem, root.rstrip("/")
+    return resolve_filesystem(path)
 
 
 @dataclass

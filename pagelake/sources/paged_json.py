@@ -92,8 +92,9 @@ def _read_folder_page(url: str, page: int | None) -> tuple[int, str]:
     """
     from pyarrow import fs as pafs
 
-    filesystem, root = pafs.FileSystem.from_uri(url if "://" in url else "file://" + os.path.abspath(url))
-    root = root.rstrip("/")
+    from pagelake.session import resolve_filesystem
+
+    filesystem, root = resolve_filesystem(url)
     if page is None:
         candidates = [f"{root}/{FILE_SINGLE}"]
     else:

@@ -22,8 +22,8 @@ def spark():
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pagelake-ckpt-"))
+    if not session.conf.get("spark.checkpoint.dir", None) and not session.sparkContext.getCheckpointDir():
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagelake-ckpt-"))
     yield session
     session.stop()
 

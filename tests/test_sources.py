@@ -231,3 +231,13 @@ def test_replay_dotted_column_names(spark):
     sp = dataset_spec({"responsePath": "data", "pagination": {"enabled": True}, "columns": cols}, source="s", name="d")
     out = read_records(records_as_pages(df, "data", 2, index="id"), sp)
     assert sorted((r["id"], r["a.b"]) for r in out.collect()) == [(i, str(i)) for i in range(5)]
+
+
+def test_filesystem_uris():
+    from pagelake.session import filesystem_uri
+
+    assert filesystem_uri("/tmp/x") == "file:///tmp/x"
+    assert filesystem_uri("file:/tmp/x") == "file:///tmp/x"
+    assert filesystem_uri("file:///tmp/x") == "file:///tmp/x"
+    assert filesystem_uri("hdfs://nn:8020/a") == "hdfs://nn:8020/a"
+    assert filesystem_uri("s3a://bucket/key") == "s3://bucket/key"
