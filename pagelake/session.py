@@ -24,6 +24,34 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(Hadoop FileSystem, Path) of a path, resolved as Spark's own readers and writers resolve it."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme (a path without one belongs to ``fs.defaultFS``, as in Spark)."""
+    fs, where = hadoop_path(spark, path)
+    return fs.makeQualified(where).toString()
+
+
+def scratch_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder for a job's written tables, under the shared folder.
+
+    It is registered with the Hadoop FileSystem to be deleted when the
+    application ends; :func:`remove_folder` deletes it sooner.
+    """
+    import uuid
+
+    folder = f"{shared_dir(spark)}/pagelake/{purpose}-{uuid.uuid4().hex}"
+    fs, where = hadoop_path(spark, folder)
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+    return qualified(spark, folder)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pagelake") -> SparkSession:
     """A local session configured like the tests and the bench (UTC, AQE on, no UI)."""
     return (
