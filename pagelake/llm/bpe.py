@@ -336,7 +336,7 @@ def publish_model(docs: DataFrame, vocabulary: str, text_col: str = "text") -> s
     spark = docs.sparkSession
     on_workers(spark)
     model = build_model(spark, vocabulary, frequent_words(docs, text_col))
-    return shared_file(spark, "bpe-model", model, f"bpe-{hashlib.sha256(model).hexdigest()[:24]}.bin")
+    return shared_file(spark, "bpe-model", model, "words.bin")
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",

@@ -37,7 +37,9 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 
 def shared_file(spark: SparkSession, purpose: str, data: bytes, name: str) -> str:
     """Bytes as a file that Spark gives to every executor; the name to ask ``SparkFiles`` for."""
-    target = f"{scratch_folder(spark, purpose)}/{name}"
+    folder = scratch_folder(spark, purpose)
+    name = f"{folder.rsplit('-', 1)[-1]}-{name}"  # Spark knows such files by name, so each gets its own
+    target = f"{folder}/{name}"
     fs, where = hadoop_path(spark, target)
     out = fs.create(where)
     try:
