@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import bpe, pii, quality_rules, secrets, toxicity
+from pagelake.llm import bpe, pii, quality_rules, secrets, simhash, toxicity
 from pagelake.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"), digests=True)
 
@@ -44,6 +48,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
+    "op4_simhash": op4_simhash,
     "op5_secrets": op5_secrets,
     "op6_quality_rules": op6_quality_rules,
     "op9_pii": op9_pii,
