@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import bpe, pii, quality_rules, secrets, simhash, toxicity
+from pagelake.llm import bpe, pii, quality_rules, secrets, simhash, toxicity, warc
 from pagelake.llm.common import table
 
 
@@ -38,6 +38,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_stats(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"), digests=True)
 
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_secrets": op5_secrets,
     "op6_quality_rules": op6_quality_rules,
+    "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
 }
@@ -110,5 +116,12 @@ FROM counted"""
 
 
 ORACLES: dict[str, str] = {
+    "op8_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha256(coalesce(html, '')) AS d FROM pages),
+led AS (SELECT *, CASE WHEN octet_length(b) >= 100 THEN min(page_id) OVER (PARTITION BY d) END AS lead FROM p)
+SELECT page_id, octet_length(b) AS payload_bytes, d AS payload_digest,
+       CASE WHEN lead IS NULL OR lead IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN lead IS NOT NULL AND lead IS DISTINCT FROM page_id THEN lead END AS refers_to
+FROM led""",
     "op6_quality_rules": _quality_rules_sql(),
 }
