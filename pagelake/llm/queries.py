@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import bpe, pii, quality_rules, secrets, simhash, toxicity, warc
+from pagelake.llm import bpe, decontaminate, pii, quality_rules, secrets, simhash, toxicity, warc
 from pagelake.llm.common import table
 
 
@@ -21,6 +21,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
@@ -52,6 +56,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
     "op5_secrets": op5_secrets,
