@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import bpe, decontaminate, pii, quality_rules, secrets, simhash, toxicity, warc
+from pagelake.llm import bpe, decontaminate, line_dedup, pii, quality_rules, secrets, simhash, toxicity, warc
 from pagelake.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_stats(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_secrets": op5_secrets,
     "op6_quality_rules": op6_quality_rules,
+    "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
