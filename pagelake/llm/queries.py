@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import bpe, decontaminate, line_dedup, pii, quality_rules, secrets, simhash, toxicity, warc
+from pagelake.llm import bpe, decontaminate, line_dedup, pii, quality_model, quality_rules, secrets, simhash, toxicity, warc
 from pagelake.llm.common import table
 
 
@@ -21,6 +21,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -60,6 +64,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_model": op1_quality_model,
     "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
