@@ -24,6 +24,14 @@ def on_workers(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """The frame written to a scratch folder on shared storage and read again.
 

@@ -28,7 +28,7 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import staged
+from pagelake.llm.common import fresh, staged
 from pagelake.llm.graph import connected_components
 
 LEAST_CHARS = 40
@@ -176,12 +176,13 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     cut = (classed(docs, id_col, text_col).filter(~_kept()).groupBy("_id", "_row")
            .agg(F.collect_set("_at").alias("_cut")))
-    rows = docs.withColumn("_row", F.xxhash64(text_col)).alias("d")
+    row, gone = fresh(docs, "_row"), fresh(docs, "_cut")
+    rows = docs.withColumn(row, F.xxhash64(text_col)).alias("d")
     joined = rows.join(cut.alias("c"), F.col(f"d.{id_col}").eqNullSafe(F.col("c._id"))
-                       & (F.col("d._row") == F.col("c._row")), "left").select("d.*", "c._cut")
-    shorter = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda line, i: ~F.array_contains("_cut", i)), "\n")
-    changed = joined.withColumn(text_col, F.when(F.col("_cut").isNull(), F.col(text_col)).otherwise(shorter))
+                       & (F.col(f"d.{row}") == F.col("c._row")), "left").select("d.*", F.col("c._cut").alias(gone))
+    shorter = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda line, i: ~F.array_contains(gone, i)), "\n")
+    changed = joined.withColumn(text_col, F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(shorter))
     if chars_col and chars_col in docs.columns:
-        changed = changed.withColumn(chars_col, F.when(F.col("_cut").isNull(), F.col(chars_col)).otherwise(
+        changed = changed.withColumn(chars_col, F.when(F.col(gone).isNull(), F.col(chars_col)).otherwise(
             F.length(text_col)).cast(docs.schema[chars_col].dataType))
     return changed.select(*docs.columns)

@@ -1,0 +1,88 @@
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from cases import SF, documents, odd_rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from pagelake.llm import bpe, lexicon
+from pagelake.llm.common import table
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def codec(tmp_path_factory):
+    file = tmp_path_factory.mktemp("bpe") / "model.bin"
+    file.write_bytes(bpe.build_model(None, PATH, ["the", "of", "and,", "thing", "thing's", "<x", "a" * 60, "été."]))
+    return bpe.Codec(lexicon.mapped(str(file)))
+
+
+def same(codec, text):
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    assert codec.encode(text) == ids
+    assert codec.decode(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+@given(st.text(max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_any_text(codec, text):
+    same(codec, text)
+
+
+@given(st.lists(st.sampled_from([" ", "  ", "\n", " \n ", "\t", " ", "\x1c", "\x85", "　", "the", "of", "'s", "'", "thing's",
+                                 "and,", "Été", "été.", "12", "½²", "世界", "<|endoftext|>", "<", "!!", "a" * 70])))
+@settings(max_examples=300, deadline=None)
+def test_white_space_and_signs(codec, parts):
+    same(codec, "".join(parts))
+
+
+def test_long_words(codec):
+    for text in ("a" * 5000, "xyz" * 700, "é" * 3000, " " * 500, "ab " * 20_000):
+        same(codec, text)
+
+
+def test_automaton_is_minimal_and_numbers_words():
+    words = sorted({w.encode() for w in "tap taps top tops stop stops a the".split()})
+    arrays = lexicon.build(words)
+    assert lexicon.find(arrays, words).tolist() == list(range(len(words)))
+    assert lexicon.find(arrays, [b"", b"ta", b"tapss", b"x", b"stops"]).tolist() == [-1, -1, -1, -1, words.index(b"stops")]
+    suffixes = {frozenset(w[k:] for w in words if w.startswith(p)) for w in words for k in range(len(w) + 1)
+                for p in [w[:k]]}
+    assert len(arrays["final"]) == len(suffixes)  # one state per distinct set of continuations
+    empty = lexicon.build([])
+    assert lexicon.find(empty, [b"a"]).tolist() == [-1]
+
+
+@given(st.sets(st.binary(min_size=1, max_size=5), max_size=40))
+@settings(deadline=None)
+def test_automaton_finds_exactly_its_words(words):
+    words = sorted(words)
+    arrays = lexicon.build(words)
+    probes = words + [w + b"x" for w in words] + [w[:-1] for w in words]
+    expected = [words.index(p) if p in words else -1 for p in probes]
+    assert lexicon.find(arrays, probes).tolist() == expected
+
+
+def test_query_matches_library(spark):
+    docs = table(spark, SF, "documents")
+    got = {r.doc_id: r for r in bpe.encode_documents(docs, PATH, digests=True).collect()}
+    for r in docs.collect():
+        ids = LIBRARY.encode(r.text, add_special_tokens=False).ids
+        row = got[r.doc_id]
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(LIBRARY.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_odd_rows(spark):
+    got = bpe.encode_documents(documents(spark, odd_rows()), PATH).collect()
+    assert len(got) == len(odd_rows())
+    by_text = {r.decoded: r.ids for r in got}
+    for _, text in odd_rows():
+        assert np.array_equal(by_text[text or ""], LIBRARY.encode(text or "", add_special_tokens=False).ids)
+    assert bpe.encode_documents(documents(spark, []), PATH).count() == 0
