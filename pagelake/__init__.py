@@ -7,13 +7,13 @@ table - all as DataFrame plans that run on executors.
 Typical use::
 
     from pagelake import dataset_spec, ingest, read_records
-    spec = dataset_spec("schema/tickers.yaml", source="market_api")
+    spec = dataset_spec("schema/events.yaml", source="clicks")
     rows = read_records(pages, spec)                # typed records, checked
-    ingest(spark, spec, pages=pages)               # -> bronze.market_api_tickers
+    ingest(spark, spec, pages=pages)               # -> bronze.clicks_events
 """
 
 from pagelake.functions import dataset_spec, row_hash, with_audit_columns, with_row_hash
-from pagelake.operators import PageError, check_pages, checked_records, parse_pages, read_records, stage_pages
+from pagelake.operators import PageError, check_pages, parse_pages, read_records, stage_pages
 from pagelake.plans import CatalogTarget, JdbcTarget, SourceSpec, ingest, postgres_target, run
 
 __version__ = "0.1.0"
@@ -24,7 +24,6 @@ __all__ = [
     "PageError",
     "SourceSpec",
     "check_pages",
-    "checked_records",
     "dataset_spec",
     "ingest",
     "parse_pages",

@@ -22,7 +22,7 @@ log = logging.getLogger("pagelake")
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="pagelake", description="Paged JSON API ingest on Spark")
-    parser.add_argument("--action", required=True, choices=["ingest", "transform"])
+    parser.add_argument("--action", required=True, choices=["ingest"])
     parser.add_argument("--dataset", required=True, help="<source>.<dataset>, <source>, or * for all enabled")
     parser.add_argument("--config", default="config.yaml", help="run configuration (enabled sources/datasets)")
     parser.add_argument("--datasets-dir", default="datasets", help="folder with <source>/config.yaml and schema/")
@@ -30,10 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--target", choices=["catalog", "postgres"], default="catalog")
     parser.add_argument("--layer", default=DEFAULT_LAYER)
     args = parser.parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s - %(name)s - %(levelname)s - %(message)s")
-    if args.action == "transform":
-        log.info("Nothing to transform.")
-        return 0
+    logging.basicConfig(level=logging.INFO, format="%(levelname)s %(asctime)s %(name)s: %(message)s")
     run_config = load_run_config(args.config)
     sources = discover_sources(args.datasets_dir, headers_group=args.headers_group)
 

@@ -84,16 +84,19 @@ class DatasetSpec:
         return f"{self.source}.{self.name}"
 
 
-def _load(doc: Mapping[str, Any] | str) -> Mapping[str, Any]:
+def yaml_document(doc: Mapping[str, Any] | str) -> Mapping[str, Any]:
+    """A YAML mapping, given as such, as text, or as the path of a ``.yaml``/``.yml`` file (which must exist)."""
     if isinstance(doc, Mapping):
         return doc
     text = str(doc)
     if "\n" not in text and text.endswith((".yaml", ".yml")):
-        with open(text, encoding="utf-8") as fh:
-            text = fh.read()
+        with open(text, encoding="utf-8") as file:
+            text = file.read()
     loaded = yaml.safe_load(text)
+    if loaded is None:
+        return {}
     if not isinstance(loaded, Mapping):
-        raise ValueError("A dataset schema document must be a YAML mapping.")
+        raise ValueError(f"expected a YAML mapping, got {type(loaded).__name__}")
     return loaded
 
 
@@ -110,15 +113,13 @@ def dataset_spec(
     ``responsePath`` and ``pagination`` are required.  ``endpoint`` and ``params``
     may be given in the document or as arguments (arguments win).
     """
-    d = _load(doc)
+    d = yaml_document(doc)
     response_path = d.get("responsePath")
     if response_path is None:
-        raise ValueError("Missing 'responsePath' in schema YAML.")
+        raise ValueError("a dataset needs a responsePath: the key of its records in a response")
     pagination = d.get("pagination")
-    if pagination is None:
-        raise ValueError("Missing 'pagination' in schema YAML.")
     if not isinstance(pagination, Mapping) or "enabled" not in pagination:
-        raise ValueError("Missing 'enabled' under 'pagination' in schema YAML.")
+        raise ValueError("a dataset needs pagination.enabled: true for pages, false for a single request")
     max_pages = pagination.get("maxPages")
     return DatasetSpec(
         source=source,

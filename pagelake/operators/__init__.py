@@ -7,7 +7,6 @@ from pagelake.operators.pages import (
     PageError,
     cap_pages,
     check_pages,
-    checked_records,
     page_records,
     parse_pages,
     read_records,
@@ -20,7 +19,6 @@ __all__ = [
     "PageError",
     "cap_pages",
     "check_pages",
-    "checked_records",
     "page_records",
     "parse_pages",
     "read_records",

@@ -1,14 +1,11 @@
 """Dense row numbering without a global sort.
 
 ``row_number()`` over an unpartitioned window moves every row into one task.
-Instead, number rows inside each input partition and add the number of rows
-in all earlier partitions: a one-row-per-partition table, hinted for broadcast
-when the partition count is within a proven bound, otherwise joined the way the
-optimizer's size checks choose.
-
-The numbering follows the input's partition order, so the input must be
-deterministic on recomputation (a file scan or a written table, not the
-output of a shuffle).
+Instead, rows are numbered inside each partition and the number of rows in all
+earlier partitions is added: a table of one row per partition.
+
+The input is written once, with its partition and place, so that both sides of the
+join read the same rows whatever the input is computed from.
 """
 
 from __future__ import annotations
@@ -16,23 +13,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# One offsets row is three longs (~24 B + row overhead); below this many input
-# partitions the offsets table stays a few MB and is broadcast.
-BROADCAST_PARTITION_LIMIT = 200_000
+from pagelake.session import scratch_folder
 
 _PID, _MID, _BASE, _OFFSET, _N = "_ri_pid", "_ri_mid", "_ri_base", "_ri_offset", "_ri_n"
 
 
 def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     """``df`` plus ``name``: 0..count-1, unique and gap-free."""
+    spark = df.sparkSession
     tagged = df.withColumns({_PID: F.spark_partition_id(), _MID: F.monotonically_increasing_id()})
-    sizes = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_BASE))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    folder = f"{scratch_folder(spark, 'row-index')}/rows"
+    tagged.write.parquet(folder)
+    rows = spark.read.schema(tagged.schema).parquet(folder)
+    sizes = rows.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_BASE))
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = sizes.select(_PID, _BASE, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFFSET))
-    if df.rdd.getNumPartitions() <= BROADCAST_PARTITION_LIMIT:
-        offsets = F.broadcast(offsets)
     return (
-        tagged.join(offsets, _PID)
+        rows.join(offsets, _PID)
         .withColumn(name, F.col(_OFFSET) + F.col(_MID) - F.col(_BASE))
         .drop(_PID, _MID, _BASE, _OFFSET)
     )

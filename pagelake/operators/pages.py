@@ -19,21 +19,17 @@ empty array is an empty result); there is no end-of-data rule.
 Because pages can be fetched in parallel, pages past the end may have been
 fetched and may be broken.  Every page is therefore parsed PERMISSIVE with a
 corrupt-record column into flags (``bad``/``empty``); the decision to fail is
-taken only after the end page is known.  Two ways to take it:
-
-* :func:`stage_pages` + :func:`check_pages` (default for jobs): parse once,
-  write the parsed pages next to the other shared job data, decide on the
-  narrow flag columns, then read records of pages ``< stop`` (a pushed-down
-  Parquet filter).
-* :func:`checked_records`: one lazy plan.  The raise and its ``page < stop``
-  guard are one expression, so wherever Catalyst evaluates it (filters
-  inferred from ``inline`` are pushed down to the scan) it can fire only for
-  pages before the end.
+taken only after the end page is known: :func:`stage_pages` parses once and writes
+the parsed pages next to the other shared job data, :func:`check_pages` decides on
+the narrow flag columns, then records of pages ``< stop`` are read (a pushed-down
+Parquet filter).
+
+A body is one JSON document: text behind it, a second document, single quotes, and
+``NaN`` or ``Infinity`` in quotes are failures.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -41,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagelake.functions.schema import DatasetSpec
-from pagelake.session import shared_dir
+from pagelake.session import remove_folder, scratch_folder
 
 PAGE, STATUS, BODY = "page", "status", "body"
 RECORDS, BAD, EMPTY, PROBLEM, N_RECORDS = "records", "bad", "empty", "problem", "n_records"
@@ -49,9 +45,11 @@ PAGE_SCHEMA = T.StructType(
     [T.StructField(PAGE, T.LongType()), T.StructField(STATUS, T.IntegerType()), T.StructField(BODY, T.StringType())]
 )
 _JSON = "_json"
-_SNIPPET = 500
 _STOP = "_stop"
-_NO_STOP = 2**63 - 1
+# A body is parsed as the only element of a list that a mark follows: whatever stands behind a
+# document either adds elements or keeps the parser from reaching the mark.
+_DOCUMENT, _MARK = "_document", "_mark"
+_JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 class PageError(ValueError):
@@ -59,10 +57,7 @@ class PageError(ValueError):
 
 
 def _corrupt_name(key: str) -> str:
-    name = "_corrupt_page"
-    while name == key:
-        name = "_" + name
-    return name
+    return "_corrupt_page"
 
 
 def _falsy(value: Column) -> Column:
@@ -77,6 +72,10 @@ def _falsy(value: Column) -> Column:
     )
 
 
+def _enclosed(document: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(_DOCUMENT, T.ArrayType(document)), T.StructField(_MARK, T.BooleanType())])
+
+
 def cap_pages(pages: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Keep pages ``<= maxPages`` (paged endpoints with a cap); pushed into the scan."""
     if spec.paging.enabled and spec.paging.max_pages is not None:
@@ -95,27 +94,40 @@ def parse_pages(pages: DataFrame, spec: DatasetSpec) -> DataFrame:
     key = spec.response_path
     paged = spec.paging.enabled
     corrupt = _corrupt_name(key)
-    envelope = T.StructType(
-        [T.StructField(key, T.ArrayType(spec.schema)), T.StructField(corrupt, T.StringType())]
-    )
-    probe_schema = T.StructType([T.StructField(key, T.VariantType())])
+    envelope = _enclosed(T.StructType([T.StructField(key, T.ArrayType(spec.schema))])).add(corrupt, T.StringType())
+    probe_schema = _enclosed(T.StructType([T.StructField(key, T.VariantType())]))
     c = F.col
+    enclosed = F.concat(F.lit(f'{{"{_DOCUMENT}":['), F.coalesce(BODY, F.lit("")), F.lit(f'],"{_MARK}":true}}'))
     parsed = pages.select(
         c(PAGE).cast("long").alias(PAGE),
         c(STATUS).cast("int").alias(STATUS),
         BODY,
-        F.from_json(BODY, envelope, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias(_JSON),
+        F.from_json(enclosed, envelope, _JSON_OPTIONS | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+        .alias(_JSON),
     )
     parsed = parsed.select(
         PAGE, STATUS, BODY,
-        c(_JSON).getField(key).alias("_arr"),
-        c(_JSON).isNull().alias("_unparsed"),
-        c(_JSON).getField(corrupt).isNotNull().alias("_corrupt"),
+        F.get(c(_JSON).getField(_DOCUMENT), F.lit(0)).alias("_doc"),
+        F.size(c(_JSON).getField(_DOCUMENT)).alias("_documents"),
+        c(_JSON).getField(_MARK).alias("_ended"),
+        (c(_JSON).isNull() | c(_JSON).getField(corrupt).isNotNull()).alias("_corrupt"),
     )
     parsed = parsed.select(
-        "*", F.when(c("_corrupt"), F.from_json(BODY, probe_schema).getField(key)).alias("_probe"))
-    parsed = parsed.select("*", F.coalesce(_falsy(c("_probe")), F.lit(False)).alias("_falsy"))
-    http_error = F.coalesce(c(STATUS), F.lit(200)) >= 400
+        "*", F.when(c("_corrupt"), F.from_json(enclosed, probe_schema, _JSON_OPTIONS)).alias("_probe"))
+    one = F.size(c("_probe").getField(_DOCUMENT)) == 1
+    value = F.get(c("_probe").getField(_DOCUMENT), F.lit(0)).getField(key)
+    parsed = parsed.select(
+        PAGE, STATUS, BODY, "_corrupt", c("_doc").getField(key).alias("_arr"),
+        # one whole document: decided by the second parse where the declared schema does not fit
+        F.coalesce(F.when(c("_corrupt"), c("_probe").getField(_MARK) & one)
+                   .otherwise(c("_ended") & (c("_documents") == 1)), F.lit(False)).alias("_whole"),
+        F.coalesce(F.when(c("_corrupt"), F.get(c("_probe").getField(_DOCUMENT), F.lit(0)).isNotNull())
+                   .otherwise(c("_doc").isNotNull()), F.lit(False)).alias("_object"),
+        F.when(c("_corrupt"), value).alias("_value"),
+    )
+    parsed = parsed.select("*", (c("_whole") & F.coalesce(_falsy(c("_value")), F.lit(False))).alias("_falsy"))
+    parsed = parsed.select("*", (~c("_whole") | ~c("_object")).alias("_unparsed"))
+    http_error = (F.coalesce(c(STATUS), F.lit(200)) >= 400) | (c(STATUS) < 0)
     if paged:
         unreadable = c("_unparsed") | (c("_corrupt") & ~c("_falsy"))
         missing = F.lit(False)
@@ -124,7 +136,7 @@ def parse_pages(pages: DataFrame, spec: DatasetSpec) -> DataFrame:
         missing = c("_arr").isNull() & ~c("_unparsed") & ~c("_corrupt")
     null_record = F.coalesce(F.exists(c("_arr"), lambda r: r.isNull()), F.lit(False))
     parsed = parsed.select(
-        PAGE, STATUS, BODY, "_arr", "_corrupt", "_falsy",
+        PAGE, STATUS, BODY, "_arr", "_corrupt", "_falsy", "_whole", "_object",
         http_error.alias("_http"), unreadable.alias("_unreadable"), null_record.alias("_null_record"),
         missing.alias("_missing"),
     )
@@ -135,18 +147,15 @@ def parse_pages(pages: DataFrame, spec: DatasetSpec) -> DataFrame:
     else:
         empty = F.lit(False)
     parsed = parsed.select("*", empty.alias(EMPTY))
-    snippet = F.coalesce(F.substring(BODY, 1, _SNIPPET), F.lit(""))
-    page_s = c(PAGE).cast("string")
-    not_json = F.when(c("_corrupt"), F.try_parse_json(BODY).isNull()).otherwise(F.lit(True))
-    problem = (
-        F.when(c("_http"), F.concat(F.lit("Request failed on page "), page_s, F.lit(" with status code "),
-                                    c(STATUS).cast("string"), F.lit(": "), snippet))
-        .when(c("_unreadable") & not_json,
-              F.concat(F.lit("Failed to decode JSON on page "), page_s, F.lit(". Response text: "), snippet))
-        .when(c("_unreadable"), F.concat(F.lit(f"Value under '{key}' on page "), page_s,
-                                         F.lit(" does not match the declared schema: "), snippet))
-        .when(c("_null_record"), F.concat(F.lit("Null record on page "), page_s))
-        .when(c("_missing"), F.concat(F.lit(f"No '{key}' array in response "), page_s, F.lit(": "), snippet))
+    problem = F.concat(
+        F.lit("page "), c(PAGE).cast("string"),
+        F.when(c("_http"), F.concat(F.lit(" answered "), c(STATUS).cast("string")))
+        .when(~c("_whole"), F.lit(" is not one JSON document"))
+        .when(~c("_object"), F.lit(" is not a JSON object"))
+        .when(c("_unreadable"), F.lit(f" has values under '{key}' that do not fit the declared columns"))
+        .when(c("_null_record"), F.lit(" has a null record"))
+        .when(c("_missing"), F.lit(f" has no list under '{key}'")),
+        F.lit(": "), F.coalesce(BODY, F.lit("")),
     )
     keep = ~c(BAD) & ~c(EMPTY)
     return parsed.select(
@@ -186,18 +195,6 @@ def _summary(kept: DataFrame) -> DataFrame:
     )
 
 
-def _check_frame(parsed: DataFrame, paged: bool) -> DataFrame:
-    """The whole check as one lazy row (for :func:`checked_records`): end page as a scalar subquery."""
-    flags = _flags(parsed)
-    if paged:
-        stop = _end_page(flags).scalar()
-        kept = flags.where(F.col(PAGE) < F.coalesce(stop, F.lit(_NO_STOP)))
-    else:
-        stop = F.lit(None).cast("long")
-        kept = flags
-    return _summary(kept).select(stop.alias(_STOP), "*")
-
-
 @dataclass(frozen=True)
 class PageCheck:
     stop: int | None
@@ -238,14 +235,13 @@ def page_records(parsed: DataFrame, stop: int | None = None, with_page: bool = F
 
 def staging_path(spark, spec: DatasetSpec) -> str:
     """A fresh folder for one run's parsed pages, under the session's shared checkpoint folder."""
-    return f"{shared_dir(spark)}/pagelake-staging/{spec.source}_{spec.name}/{uuid.uuid4().hex}"
+    return scratch_folder(spark, f"staging/{spec.source}_{spec.name}")
 
 
 def stage_pages(pages: DataFrame, spec: DatasetSpec, path: str | None = None, mode: str = "overwrite",
                 observation: Observation | None = None) -> DataFrame:
     """Parse (once) and write the pages as Parquet; return the staged pages read back.
 
-    Sorted by page inside each file so the later ``page < stop`` filter skips row groups.
     ``mode="append"`` lets paged readers land one wave of pages at a time.
     ``observation`` collects, during the same write, ``ended`` (1 when a staged
     page is empty or bad) and ``pages``.
@@ -259,51 +255,23 @@ def stage_pages(pages: DataFrame, spec: DatasetSpec, path: str | None = None, mo
             F.coalesce(F.max(F.when(F.col(EMPTY) | F.col(BAD), 1).otherwise(0)), F.lit(0)).alias("ended"),
             F.count(F.lit(1)).alias("pages"),
         )
-    parsed.sortWithinPartitions(PAGE).write.mode(mode).parquet(path)
+    parsed.write.mode(mode).parquet(path)
     return spark.read.schema(parsed.schema).parquet(path)  # known schema: no footer inference
 
 
 def read_records(pages: DataFrame, spec: DatasetSpec, with_page: bool = False, path: str | None = None) -> DataFrame:
     """Stage, check, and return the typed records (raises :class:`PageError` before returning).
 
-    The returned DataFrame reads the staged folder (``path``, default a fresh
-    one under the shared checkpoint folder); remove it once the result is consumed.
+    The returned DataFrame reads a scratch folder, which goes when the application
+    ends or with :func:`pagelake.session.release_scratch`; after a failed check it goes
+    at once.  A folder given as ``path`` is the caller's.
     """
-    staged = stage_pages(pages, spec, path=path)
-    result = check_pages(staged, spec)
+    folder = path or staging_path(pages.sparkSession, spec)
+    try:
+        staged = stage_pages(pages, spec, path=folder)
+        result = check_pages(staged, spec)
+    except Exception:
+        if path is None:
+            remove_folder(pages.sparkSession, folder)
+        raise
     return page_records(staged, result.stop, with_page=with_page)
-
-
-def checked_records(pages: DataFrame, spec: DatasetSpec, with_page: bool = False) -> DataFrame:
-    """Lazy variant of :func:`read_records`: a single plan that raises at execution time.
-
-    The check is one struct-valued scalar subquery (planned once).  The raise
-    sits in the same expression as the ``page < stop`` guard, so wherever
-    Catalyst evaluates it (filters inferred from ``inline`` are pushed down), it
-    fires only for pages before the end.  The body is parsed by each of the
-    branches (end page, summary, records); prefer :func:`read_records` for
-    large inputs.
-    """
-    parsed = parse_pages(cap_pages(pages, spec), spec)
-    ok = ((F.col("n_distinct") == F.col("n"))
-          & ((F.col("n") == 0) | F.lit(not spec.paging.enabled) | ((F.col("lo") == 1) & (F.col("hi") == F.col("n")))))
-    check = _check_frame(parsed, spec.paging.enabled).select(
-        F.struct(F.col(_STOP).alias("stop"), F.col("first_bad").alias("first_bad"), ok.alias("ok")).alias("c")
-    ).scalar()
-    parsed = parsed.select("*", check.alias("_check"))
-    c = F.col("_check")
-    stop, first_bad = c.getField("stop"), c.getField("first_bad")
-    keep = stop.isNull() | (F.col(PAGE) < stop)
-    first_bad_msg = F.concat(
-        F.lit(f"{spec.qualified_name}: "),
-        F.when(F.col(PAGE) == first_bad, F.col(PROBLEM)).otherwise(
-            F.concat(F.lit("page "), first_bad.cast("string"), F.lit(" before the end of data failed"))),
-    )
-    records = (
-        F.when(keep & first_bad.isNotNull(), F.raise_error(first_bad_msg))
-        .when(keep & ~c.getField("ok"), F.raise_error(F.lit(f"{spec.qualified_name}: page numbers before the "
-                                                               "end of data are repeated or not contiguous from 1")))
-        .when(keep, F.col(RECORDS))
-    )
-    out = parsed.select(PAGE, records.alias(RECORDS))
-    return out.selectExpr(PAGE, "inline(records)") if with_page else out.selectExpr("inline(records)")

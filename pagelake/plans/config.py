@@ -15,46 +15,34 @@ Endpoints and query parameters may also sit in the source config under
 from __future__ import annotations
 
 import os
-from typing import Any
-
-import yaml
+from glob import escape as glob_escape
+from glob import glob
 
+from pagelake.functions.schema import yaml_document
 from pagelake.plans.registry import SourceSpec, load_source
 
 
-def _read_yaml(path: str) -> Any:
-    with open(path, encoding="utf-8") as fh:
-        return yaml.safe_load(fh)
-
-
 def load_run_config(path: str = "config.yaml") -> dict:
-    if not os.path.exists(path):
-        raise FileNotFoundError(f"Configuration file not found: {path}")
-    return _read_yaml(path) or {}
+    """The run configuration; a missing file is an error that names it."""
+    return dict(yaml_document(path))
 
 
 def load_source_config(datasets_dir: str, source: str) -> dict:
-    path = os.path.join(datasets_dir, source, "config.yaml")
-    if not os.path.exists(path):
-        raise FileNotFoundError(f"Source configuration file not found: {path}")
-    return _read_yaml(path) or {}
+    """A source's configuration; a missing file is an error that names it."""
+    return dict(yaml_document(os.path.join(datasets_dir, source, "config.yaml")))
 
 
 def discover_sources(datasets_dir: str, headers_group: str | None = None) -> list[SourceSpec]:
     """Every ``<datasets_dir>/<source>`` with a ``config.yaml``, with the datasets of its ``schema/`` folder."""
     sources = []
-    for name in sorted(os.listdir(datasets_dir)):
-        if not os.path.exists(os.path.join(datasets_dir, name, "config.yaml")):
-            continue
-        doc = load_source_config(datasets_dir, name)
-        schema_dir = os.path.join(datasets_dir, name, "schema")
-        docs = {}
-        if os.path.isdir(schema_dir):
-            for f in sorted(os.listdir(schema_dir)):
-                if f.endswith((".yaml", ".yml")):
-                    docs[os.path.splitext(f)[0]] = _read_yaml(os.path.join(schema_dir, f))
-        per_dataset = doc.get("datasets") or {}
-        endpoints = {k: v.get("endpoint") for k, v in per_dataset.items() if v and v.get("endpoint") is not None}
-        params = {k: v.get("params") for k, v in per_dataset.items() if v and v.get("params") is not None}
-        sources.append(load_source(doc, docs, endpoints=endpoints, params=params, headers_group=headers_group))
+    for config in sorted(glob(os.path.join(glob_escape(datasets_dir), "*", "config.yaml"))):
+        folder = os.path.dirname(config)
+        doc = load_source_config(datasets_dir, os.path.basename(folder))
+        schemas = sorted(glob(os.path.join(glob_escape(folder), "schema", "*.y*ml")))
+        docs = {os.path.splitext(os.path.basename(path))[0]: yaml_document(path) for path in schemas}
+        requests = {name: entry or {} for name, entry in (doc.get("datasets") or {}).items()}
+        sources.append(load_source(
+            doc, docs, headers_group=headers_group,
+            endpoints={name: r["endpoint"] for name, r in requests.items() if r.get("endpoint") is not None},
+            params={name: r["params"] for name, r in requests.items() if r.get("params") is not None}))
     return sources

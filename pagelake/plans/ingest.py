@@ -2,8 +2,9 @@
 
 Order matters for the target: the namespace is created first, pages are parsed
 once and written to the shared checkpoint folder, one small aggregate over the
-staged flag columns decides the end page and fails on a bad page, and only
-then is the target replaced.  A failed read never touches the old table.
+staged flag columns decides the end page and fails on a bad page.  The rows are
+then written aside, and only a finished write takes the target's place: neither a
+failed read nor a failed write touches the old table.
 
 Every step is a Spark job on executors; the driver sees one summary row per
 dataset.  Executor loss is covered by task retry: the staged pages live in the
@@ -33,14 +34,11 @@ from pagelake.operators.pages import (
 )
 from pagelake.plans.registry import SourceSpec, select_datasets
 from pagelake.plans.sinks import DEFAULT_LAYER, CatalogTarget, table_name
-from pagelake.session import remove_folder
-from pagelake.sources.paged_json import endpoint_url, pushdown_enabled, register
+from pagelake.session import qualified, remove_folder
+from pagelake.sources.paged_json import endpoint_url, is_http, pushdown_enabled, register
 
 log = logging.getLogger(__name__)
 
-FIRST_WAVE = 64
-MAX_WAVE = 8192
-
 
 @dataclass(frozen=True)
 class IngestResult:
@@ -57,8 +55,9 @@ def api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, first:
     if spec.paging.enabled and last is not None and last < first:
         return spark.createDataFrame([], PAGE_SCHEMA)
     register(spark)
+    url = endpoint_url(source.base_url, spec.endpoint)
     options = {
-        "url": endpoint_url(source.base_url, spec.endpoint),
+        "url": url if is_http(url) else qualified(spark, url),
         "params": json.dumps(dict(spec.params)),
         "headers": json.dumps(dict(source.headers)),
         "timeout": str(source.timeout),
@@ -82,36 +81,32 @@ def _per_task(spark: SparkSession, pages: int, pages_per_partition: int | None)
     return max(1, -(-pages // (2 * spark.sparkContext.defaultParallelism)))
 
 
-def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, pages_per_partition: int | None = None,
-                    first_wave: int = FIRST_WAVE, max_wave: int | None = None, path: str | None = None) -> DataFrame:
+def stage_api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, path: str | None = None) -> DataFrame:
     """Fetch and stage a dataset's pages.
 
-    Pages are requested in waves that double in size (up to ``max_wave``,
-    default the larger of 8192 and 64 pages per core) and never pass
-    ``maxPages``.  Each wave is fetched in parallel, parsed and appended to the
+    Pages are requested in waves that double in size, from the source's ``first_wave``
+    up to its ``max_wave``, and never pass ``maxPages``.  Each wave is fetched in parallel, parsed and appended to the
     staging folder; the next wave is requested only when the last one had
     neither an empty nor a bad page.  Over-fetch stays below one
     wave, so a dataset that ends early costs few requests whatever its cap.
     A single-request dataset is one request.
     """
     path = path or staging_path(spark, spec)
-    if max_wave is None:
-        max_wave = max(MAX_WAVE, 64 * spark.sparkContext.defaultParallelism)
     if not spec.paging.enabled:
         return stage_pages(api_pages(spark, source, spec, 1, None, 1), spec, path=path)
     cap = spec.paging.max_pages
     if cap == 0:
         return stage_pages(api_pages(spark, source, spec, 1, 0, 1), spec, path=path)
-    start, size = 1, first_wave
+    start, size = 1, source.first_wave
     while True:
         last = start + size - 1 if cap is None else min(start + size - 1, cap)
-        per_task = _per_task(spark, last - start + 1, pages_per_partition)
+        per_task = _per_task(spark, last - start + 1, source.pages_per_task)
         wave = api_pages(spark, source, spec, start, last, per_task)
         seen = Observation(f"pagelake_wave_{uuid.uuid4().hex}")  # unique: runs may share a session
         staged = stage_pages(wave, spec, path=path, mode="append", observation=seen)
         if seen.get["ended"] or (cap is not None and last >= cap):
             return staged
-        start, size = last + 1, min(size * 2, max_wave)
+        start, size = last + 1, min(size * 2, source.max_wave)
 
 
 def ingest(
@@ -132,18 +127,22 @@ def ingest(
     """
     target = target or CatalogTarget()
     target.ensure_namespace(spark, layer)
-    path = staging_path(spark, spec)
-    if pages is not None:
-        staged = stage_pages(pages, spec, path=path)
-    elif source is not None:
-        staged = stage_api_pages(spark, source, spec, path=path)
-    else:
+    if pages is None and source is None:
         raise ValueError("ingest needs pages or a source to request them from")
-    check = check_pages(staged, spec)
-    records = page_records(staged, check.stop)
-    rows = with_audit_columns(transform(records) if transform else records)
-    name = target.overwrite(rows, layer, table_name(spec.source, spec.name))
-    remove_folder(path)  # staged pages are scratch once the target holds the rows; kept after a failure
+    path = staging_path(spark, spec)
+    try:
+        if pages is not None:
+            staged = stage_pages(pages, spec, path=path)
+        else:
+            staged = stage_api_pages(spark, source, spec, path=path)
+        check = check_pages(staged, spec)
+        records = page_records(staged, check.stop)
+        rows = with_audit_columns(transform(records) if transform else records)
+        name = target.overwrite(rows, layer, table_name(spec.source, spec.name))
+    except Exception:
+        remove_folder(spark, path)
+        raise
+    remove_folder(spark, path)  # staged pages are scratch once the target holds the rows
     log.info("Ingested %s into %s: %d pages, %d records", spec.qualified_name, name, check.pages, check.records)
     return IngestResult(spec.qualified_name, name, check.pages, check.records, check.stop)
 

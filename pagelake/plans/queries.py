@@ -10,7 +10,6 @@ The oracles compute the same result in plain SQL; column names match.
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +17,12 @@ from pyspark.sql import functions as F
 
 from pagelake.functions.audit import PROCESSED_TIMESTAMP, ROW_HASH, with_audit_columns, with_row_hash
 from pagelake.functions.schema import DatasetSpec, dataset_spec
-from pagelake.operators.pages import BODY, PAGE, STATUS, checked_records, read_records
-from pagelake.plans.ingest import ingest, run
+from pagelake.operators.pages import BODY, PAGE, STATUS, parse_pages, read_records
+from pagelake.plans.ingest import ingest, run, stage_api_pages
 from pagelake.plans.registry import SourceSpec
-from pagelake.plans.sinks import CatalogTarget
-from pagelake.session import remove_folder, shared_dir
-from pagelake.sources.landed import land_pages, read_landed_pages
+from pagelake.plans.sinks import CatalogTarget, table_name
+from pagelake.session import remove_folder, scratch_folder, write_bytes
+from pagelake.sources.landed import SINGLE_FILE, land_page_files, land_pages, read_landed_pages, read_page_files
 from pagelake.sources.table_pages import records_as_pages
 
 PAGE_SIZE = 100
@@ -52,6 +51,9 @@ DOCUMENTS = _cols(("doc_id", "integer"), ("text", "string"), ("lang", "string"),
 CUSTOMER_AUDITED = _cols(("c_custkey", "integer"), ("c_name", "string"), ("_rowHash", "string"),
                          ("_processedTimestamp", "timestamp"), ("c_nationkey", "integer"), ("c_acctbal", "float"),
                          ("c_mktsegment", "string"))
+CUSTOMER_AMOUNT = _cols(("c_custkey", "integer"), ("amount", "double"))
+NATION = _cols(("n_nationkey", "integer"), ("n_name", "string"), ("n_regionkey", "integer"))
+NATION_NAMES = [c["name"] for c in NATION]
 LINEITEM_NESTED = _cols(("l_orderkey", "integer"), ("l_linenumber", "integer")) + [
     {"name": "flags", "type": "dict", "columns": _cols(("returnflag", "string"), ("linestatus", "string"),
                                                        ("shipdate", "timestamp"), ("note", "string"))},
@@ -121,7 +123,31 @@ def pages_stop_at_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages_checked_lazy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checked_records(_with_middle_stop(event_pages(spark, sf_dir)), spec("events_lazy", EVENTS))
+    """The end page also holds when the pages come back from their landed copy, in no order."""
+    folder = scratch_folder(spark, "landed") + "/pages"
+    pages = read_landed_pages(spark, land_pages(_with_middle_stop(event_pages(spark, sf_dir)), folder))
+    records = read_records(pages, spec("events_lazy", EVENTS))
+    remove_folder(spark, folder)  # the result reads the staged pages only
+    return records
+
+
+def pages_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each kind of page is found to be: every tenth page of each kind, the others whole."""
+    number = F.col(PAGE).cast("string")
+    kind = F.col(PAGE) % 10
+    body = (F.when(kind == 2, F.concat(F.lit("down "), number))
+            .when(kind == 3, F.concat(F.lit('{"body":[{"event_id":'), number, F.lit(",")))
+            .when(kind == 4, F.concat(F.lit('{"body":[]} garbage '), number))
+            .when(kind == 5, F.lit('{"body":[]}{"body":[]}'))
+            .when(kind == 6, F.lit('{"body":{}}'))
+            .when(kind == 7, F.concat(F.lit('{"other":'), number, F.lit("}")))
+            .when(kind == 8, F.lit("{'body':[{'event_id':1}]}"))
+            .when(kind == 9, F.lit('{"body":[null]}'))
+            .when(kind == 0, F.concat(F.lit(" \n"), F.col(BODY), F.lit("\n ")))
+            .otherwise(F.col(BODY)))
+    status = F.when(kind == 2, F.lit(500)).otherwise(F.col(STATUS))
+    pages = event_pages(spark, sf_dir).select(PAGE, status.alias(STATUS), body.alias(BODY))
+    return parse_pages(pages, spec("events_flags", EVENTS)).drop("records")
 
 
 def pages_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,6 +179,15 @@ def schema_missing_and_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(pages, spec("orders_partial", ORDERS_PARTIAL))
 
 
+def schema_number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers in a text column: from ten millions on they are written with an exponent."""
+    c = table(spark, sf_dir, "customer")
+    amount = (F.round(F.col("c_acctbal") * 100) * 10_000).cast("double")
+    pages = records_as_pages(c, KEY, PAGE_SIZE, index="c_custkey",
+                             record=F.struct("c_custkey", amount.alias("amount")))
+    return read_records(pages, spec("customer_amounts", CUSTOMER_AMOUNT))
+
+
 def lineitem_nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     amounts = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"l_{k}").alias("value"))
@@ -187,15 +222,14 @@ def audit_replace_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _landed_events(spark: SparkSession, sf_dir: str) -> str:
-    path = f"{shared_dir(spark)}/pagelake-landed/events-{uuid.uuid4().hex}"
-    return land_pages(event_pages(spark, sf_dir), path)
+def _landed_files(spark: SparkSession, sf_dir: str) -> str:
+    return land_page_files(event_pages(spark, sf_dir), scratch_folder(spark, "landed") + "/files")
 
 
 def pages_landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _landed_events(spark, sf_dir)
-    records = read_records(read_landed_pages(spark, folder), spec("events_landed", EVENTS))
-    remove_folder(folder)  # the result reads the staged pages only
+    folder = _landed_files(spark, sf_dir)
+    records = read_records(read_page_files(spark, folder), spec("events_landed", EVENTS))
+    remove_folder(spark, folder)  # the result reads the staged pages only
     return records
 
 
@@ -203,24 +237,36 @@ def stream_landed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed page files parsed by a streaming query (available-now), then checked and written."""
     from pagelake.streaming.landing import ingest_landed
 
-    folder = _landed_events(spark, sf_dir)
-    root = f"{shared_dir(spark)}/pagelake-stream/events-{uuid.uuid4().hex}"
+    folder, root = _landed_files(spark, sf_dir), scratch_folder(spark, "stream")
     result = ingest_landed(spark, folder, spec("events_stream", EVENTS), layer=LAYER, root=root)
-    remove_folder(folder)
-    remove_folder(root)
+    remove_folder(spark, folder)
+    remove_folder(spark, root)
     return _audited_view(spark.table(result.table))
 
 
 def pages_data_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages requested by the ``paged_json`` data source (folder transport), in doubling waves."""
-    folder = _landed_events(spark, sf_dir)
-    src = SourceSpec(name=SOURCE, base_url=folder)
+    """Pages requested by the ``paged_json`` data source (folder transport), in waves of 16, 32 and 48 pages."""
+    folder = _landed_files(spark, sf_dir)
+    src = SourceSpec(name=SOURCE, base_url=folder, first_wave=16, max_wave=48)
     ds = spec("events_api", EVENTS)
     result = ingest(spark, ds, source=src, target=CatalogTarget(), layer=LAYER)
-    remove_folder(folder)
+    remove_folder(spark, folder)
     return _audited_view(spark.table(result.table))
 
 
+def single_request_api(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole nation table as the response of one request, through both readers of such a response."""
+    (page,) = records_as_pages(table(spark, sf_dir, "nation"), KEY, 1000, index="n_nationkey").collect()  # 25 records
+    folder = scratch_folder(spark, "response")
+    write_bytes(spark, f"{folder}/{SINGLE_FILE}", page[BODY].encode())
+    ds = spec("nations", NATION, paged=False)
+    requested = ingest(spark, ds, source=SourceSpec(name=SOURCE, base_url=folder), layer=LAYER)
+    read = read_records(read_page_files(spark, folder), ds)
+    remove_folder(spark, folder)
+    named = spark.table(requested.table).select(F.lit("request").alias("reader"), *NATION_NAMES)
+    return named.unionByName(read.select(F.lit("file").alias("reader"), *NATION_NAMES))
+
+
 # ---------------------------------------------------------------------------
 # W1-W4, C1, C2: ingest into catalog tables
 # ---------------------------------------------------------------------------
@@ -238,6 +284,34 @@ def ingest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _audited_view(spark.table(result.table))
 
 
+def sink_failed_load_keeps_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load customer, then let a load of orders fail while its rows are written: the customer load stays."""
+    first = records_as_pages(table(spark, sf_dir, "customer"), KEY, PAGE_SIZE, index="c_custkey")
+    result = ingest(spark, spec("kept_accounts", CUSTOMER_FALLBACK), pages=first, layer=LAYER)
+    second = records_as_pages(table(spark, sf_dir, "orders"), KEY, PAGE_SIZE, index="o_orderkey")
+    try:
+        ingest(spark, spec("kept_accounts", ORDERS_PARTIAL), pages=second, layer=LAYER,
+               transform=lambda df: df.withColumn("o_clerk", F.raise_error(F.lit("this load fails")).cast("string")))
+    except Exception as failure:
+        if "this load fails" not in str(failure):
+            raise
+    else:
+        raise AssertionError("the second load was to fail")
+    return _audited_view(spark.table(result.table))
+
+
+def sql_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A statement with bound parameters, run against the catalog target; its effect is read back."""
+    target = CatalogTarget()
+    pages = records_as_pages(table(spark, sf_dir, "customer"), KEY, PAGE_SIZE, index="c_custkey")
+    loaded = ingest(spark, spec("customers", CUSTOMER_AUDITED), pages=pages, target=target, layer=LAYER)
+    source = spark.table(loaded.table).select("c_custkey", "c_name", "c_nationkey")
+    chosen = target.overwrite(source.limit(0), LAYER, table_name(SOURCE, "chosen_customers"))
+    target.execute(spark, f"INSERT INTO {chosen} SELECT c_custkey, c_name, c_nationkey FROM {loaded.table} "
+                          "WHERE c_mktsegment = ? AND c_nationkey < ?", "BUILDING", 10)
+    return spark.table(chosen)
+
+
 def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load ``replay.accounts`` from customer, then again from orders: the table holds the orders load only."""
     first = records_as_pages(table(spark, sf_dir, "customer"), KEY, PAGE_SIZE, index="c_custkey")
@@ -289,9 +363,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pages_stop_at_empty": pages_stop_at_empty,
     "pages_checked_lazy": pages_checked_lazy,
     "pages_cap": pages_cap,
+    "pages_flags": pages_flags,
+    "single_request_api": single_request_api,
     "single_request_events": single_request_events,
     "schema_fallback_string": schema_fallback_string,
     "schema_missing_and_extra": schema_missing_and_extra,
+    "schema_number_text": schema_number_text,
     "schema_nested": schema_nested,
     "audit_replace_in_place": audit_replace_in_place,
     "pages_landed_files": pages_landed_files,
@@ -300,6 +377,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_end_to_end": ingest_end_to_end,
     "ingest_documents": ingest_documents,
     "sink_overwrite": sink_overwrite,
+    "sink_failed_load_keeps_table": sink_failed_load_keeps_table,
+    "sql_parameters": sql_parameters,
     "multi_dataset_run": multi_dataset_run,
 }
 
@@ -327,7 +406,39 @@ def _hash_all(t: str, cols: str) -> str:
     return f"SELECT *, sha256(concat_ws('||', {cols})) AS _rowHash FROM {t}"
 
 
+_FLAGS = """
+WITH p AS (SELECT event_id // 100 + 1 AS page, count(*) AS n FROM events GROUP BY 1),
+k AS (SELECT *, page % 10 AS kind FROM p)
+SELECT page, CAST(CASE WHEN kind = 2 THEN 500 ELSE 200 END AS INTEGER) AS status,
+       CAST(CASE WHEN kind IN (0, 1) THEN n ELSE 0 END AS INTEGER) AS n_records,
+       kind IN (2, 3, 4, 5, 8, 9) AS bad, kind IN (6, 7) AS empty,
+       'page ' || page || CASE kind
+         WHEN 2 THEN ' answered 500: down ' || page
+         WHEN 3 THEN ' is not one JSON document: {"body":[{"event_id":' || page || ','
+         WHEN 4 THEN ' is not one JSON document: {"body":[]} garbage ' || page
+         WHEN 5 THEN ' is not one JSON document: {"body":[]}{"body":[]}'
+         WHEN 8 THEN ' is not one JSON document: {''body'':[{''event_id'':1}]}'
+         WHEN 9 THEN ' has a null record: {"body":[null]}' END AS problem
+FROM k"""
+
+# digits of the whole number n as Java writes the double: an exponent from ten millions on
+_NUMBER_TEXT = """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, CASE WHEN v < 0 THEN '-' ELSE '' END
+       || CASE WHEN n < 10000000 THEN n || '.0'
+          ELSE left(n::VARCHAR, 1) || '.' || coalesce(nullif(rtrim(substr(n::VARCHAR, 2), '0'), ''), '0') || 'E'
+               || (length(n::VARCHAR) - 1) END AS amount
+FROM (SELECT c_custkey, CAST(round(c_acctbal * 100) AS BIGINT) * 10000 AS v, abs(v) AS n FROM customer)"""
+
 ORACLES: dict[str, str] = {
+    "pages_flags": _FLAGS,
+    "schema_number_text": _NUMBER_TEXT,
+    "single_request_api": " UNION ALL ".join(
+        f"SELECT '{r}' AS reader, CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name, "
+        "CAST(n_regionkey AS INTEGER) AS n_regionkey FROM nation" for r in ("request", "file")),
+    "sink_failed_load_keeps_table": f"SELECT {_CUSTOMER_FALLBACK}, {_CUSTOMER_FALLBACK_HASH} AS _rowHash, "
+                                    "true AS has_ts FROM customer",
+    "sql_parameters": "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS "
+                      "c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey < 10",
     "row_hash_customer": _hash_all("customer", "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"),
     "row_hash_orders": _hash_all("orders", "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
                                            "o_orderpriority"),

@@ -9,8 +9,7 @@ A run configuration enables sources and datasets::
           <dataset>: {enabled: true}
 
 Both flags default to false.  A selector then narrows the enabled datasets:
-``"<source>.<dataset>"`` (split at the first dot, exact match), ``"<source>"``
-(all enabled datasets of that source), or ``None``/``""``/``"*"`` (everything
+``"<source>.<dataset>"``, ``"<source>"`` (all enabled datasets of that source), or ``None``/``""``/``"*"`` (everything
 enabled).  Sources left without datasets are dropped.
 """
 
@@ -20,15 +19,21 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 from typing import Any
 
-import yaml
-
-from pagelake.functions.schema import DatasetSpec, dataset_spec
-from pagelake.sources.paged_json import API_KEY_PLACEHOLDER, DEFAULT_TIMEOUT, api_key_env
+from pagelake.functions.schema import DatasetSpec, dataset_spec, yaml_document
+from pagelake.sources.paged_json import API_KEY_PLACEHOLDER, DEFAULT_TIMEOUT, api_key_env, is_http
 
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """An API: base URL, request headers, timeout, and its datasets."""
+    """An API: base URL, request headers, how it is requested, and its datasets.
+
+    ``first_wave``/``max_wave``: pages requested at once at first, and at most (waves
+    double).  A dataset that ends early is over-fetched by less than one wave, so set
+    both to 1 for an API that must see one request beyond the end and no more.
+    ``pages_per_task``: pages that one task requests, one after another (default: two
+    tasks per core); with the wave size it bounds the requests in flight.
+    An ``http(s)`` source must have request headers.
+    """
 
     name: str
     base_url: str = ""
@@ -36,6 +41,18 @@ class SourceSpec:
     timeout: float = DEFAULT_TIMEOUT
     datasets: tuple[DatasetSpec, ...] = ()
     retries: int = 0
+    first_wave: int = 64
+    max_wave: int = 8192
+    pages_per_task: int | None = None
+
+    def __post_init__(self) -> None:
+        nested = [name for name, value in self.headers.items() if isinstance(value, Mapping)]
+        if nested:
+            raise ValueError(f"request headers must be texts; {', '.join(nested)} holds a group of headers")
+        if is_http(self.base_url) and not self.headers:
+            raise ValueError(f"source {self.name} is requested over HTTP and needs request headers")
+        if self.first_wave < 1 or self.max_wave < self.first_wave:
+            raise ValueError("waves need 1 <= first_wave <= max_wave")
 
     @property
     def key_env(self) -> str | None:
@@ -44,41 +61,40 @@ class SourceSpec:
         return api_key_env(self.name) if needs else None
 
 
-def _yaml(doc: Mapping[str, Any] | str) -> Mapping[str, Any]:
-    if isinstance(doc, Mapping):
-        return doc
-    text = str(doc)
-    if "\n" not in text and text.endswith((".yaml", ".yml")):
-        with open(text, encoding="utf-8") as fh:
-            text = fh.read()
-    return yaml.safe_load(text) or {}
-
-
 def source_spec(
     doc: Mapping[str, Any] | str,
     datasets: Iterable[DatasetSpec] = (),
     headers_group: str | None = None,
 ) -> SourceSpec:
-    """Source from its config document (``name``, ``variables.base_url/timeout/retry_attempts``, ``headers``).
+    """Source from its config document.
 
-    ``headers_group``: take the headers from ``headers.<group>`` (configs that keep
-    several header sets); a source that declares headers but none under the
-    group is an error.
+    Read are ``name``, ``variables`` (``base_url``, ``timeout``, ``retry_attempts``, ``first_wave``,
+    ``max_wave``, ``pages_per_task``) and ``headers``: the headers themselves, or
+    groups of them.  ``headers_group`` names the group; a single group needs no name.
     """
-    d = _yaml(doc)
-    variables = d.get("variables") or {}
-    headers = d.get("headers") or {}
+    d = yaml_document(doc)
+    variables, headers = d.get("variables") or {}, d.get("headers") or {}
+    groups = {name: group for name, group in headers.items() if isinstance(group, Mapping)}
     if headers_group is not None:
-        headers = headers.get(headers_group) or {}
+        headers = groups.get(headers_group) or {}
         if not headers:
-            raise ValueError("Missing headers in source configuration.")
+            raise ValueError(f"source {d['name']} has no request headers in group {headers_group}")
+    elif len(groups) == len(headers) == 1:
+        (headers,) = groups.values()
+    elif groups:
+        raise ValueError(f"source {d['name']} has several header groups ({', '.join(groups)}): name one")
+    first = int(variables.get("first_wave") or 64)
+    per_task = variables.get("pages_per_task")
     return SourceSpec(
         name=d["name"],
         base_url=variables.get("base_url", ""),
-        headers=dict(headers),
+        headers={name: str(value) for name, value in headers.items()},
         timeout=float(variables.get("timeout", DEFAULT_TIMEOUT)),
         datasets=tuple(datasets),
         retries=int(variables.get("retry_attempts", 0) or 0),
+        first_wave=first,
+        max_wave=int(variables.get("max_wave") or max(first, 8192)),
+        pages_per_task=None if per_task is None else int(per_task),
     )
 
 
@@ -99,23 +115,16 @@ def select_datasets(
     sources: Iterable[SourceSpec], run_config: Mapping[str, Any] | str, selector: str | None = None
 ) -> list[SourceSpec]:
     """Sources (with only their selected datasets) that a run ingests, in declared order."""
-    conf = (_yaml(run_config).get("sources") or {})
-    enabled = []
-    for src in sources:
-        sconf = conf.get(src.name) or {}
-        if not sconf.get("enabled", False):
-            continue
-        dconf = sconf.get("datasets") or {}
-        keep = tuple(d for d in src.datasets if (dconf.get(d.name) or {}).get("enabled", False))
-        enabled.append(replace(src, datasets=keep))
-    if not selector or selector == "*":
-        return enabled
-    want_source, _, want_dataset = selector.partition(".")
-    chosen = []
-    for src in enabled:
-        if src.name != want_source:
-            continue
-        keep = src.datasets if not want_dataset else tuple(d for d in src.datasets if d.name == want_dataset)
-        if keep:
-            chosen.append(replace(src, datasets=keep))
-    return chosen
+    settings = yaml_document(run_config).get("sources") or {}
+
+    def on(part: Any) -> bool:
+        return bool((part or {}).get("enabled", False))
+
+    def wanted(source: SourceSpec, dataset: DatasetSpec) -> bool:
+        own = settings.get(source.name) or {}
+        if not on(own) or not on((own.get("datasets") or {}).get(dataset.name)):
+            return False
+        return not selector or selector in ("*", source.name, dataset.qualified_name)
+
+    narrowed = (replace(s, datasets=tuple(d for d in s.datasets if wanted(s, d))) for s in sources)
+    return [s for s in narrowed if s.datasets]

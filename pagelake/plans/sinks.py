@@ -1,22 +1,27 @@
 """Targets of an ingest: full-refresh tables in a Spark catalog or over JDBC.
 
 A dataset ``<source>.<dataset>`` lands in ``<layer>.<source>_<dataset>``; the
-layer is a namespace created if missing.  Writes replace the table (overwrite);
-callers validate their input first so a failed read never replaces good data
-(see :mod:`pagelake.plans.ingest`).
+layer is a namespace created if missing.  A load replaces the whole table, and only
+once all its rows are written.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagelake.session import remove_folder
+
 DEFAULT_LAYER = "bronze"
+SECRETS = {"password"}
 
 
 def table_name(source: str, dataset: str) -> str:
@@ -32,25 +37,28 @@ def _quote(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
 
-def run_sql(spark: SparkSession, sql: str, *params) -> None:
-    """Run one statement with ``?`` parameters bound (no result)."""
-    spark.sql(sql, args=list(params) if params else None)
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def run_sql(spark: SparkSession, sql: str, *params) -> DataFrame:
+    """Run one statement, its ``?`` parameters bound to the values in order; its result, if it has one."""
+    return spark.sql(sql, args=list(params) if params else None)
 
 
 @dataclass(frozen=True)
 class CatalogTarget:
     """Tables of a Spark catalog: the session catalog (``catalog=None``) or a named one.
 
-    In the session catalog the table is written at an explicit location, the
-    folder a managed table would get (``<namespace location>/<table>``).  A
-    catalog that forgets tables between sessions (the in-memory one) leaves such
-    folders behind; an overwrite then replaces the folder instead of failing.
-    Named catalogs (v2, e.g. a JDBC catalog) use ``createOrReplace``.
+    In the session catalog every load is written to a fresh folder beside the
+    namespace's tables; the table is pointed at it when the write has finished, and
+    the folder of the load before is deleted.  A failing write leaves the table as it
+    was.  The tables are external: DROP TABLE keeps the last load's folder.
+    Named catalogs (v2) use ``createOrReplace``, which is theirs to make atomic.
     """
 
     catalog: str | None = None
-    format: str | None = None
-    pin_location: bool = True
+    format: str = "parquet"
 
     def qualified(self, layer: str, table: str) -> str:
         return _quote(*([self.catalog] if self.catalog else []), layer, table)
@@ -59,25 +67,37 @@ class CatalogTarget:
         ns = _quote(*([self.catalog] if self.catalog else []), layer)
         run_sql(spark, f"CREATE NAMESPACE IF NOT EXISTS {ns}")
 
-    def location(self, spark: SparkSession, layer: str, table: str) -> str:
-        return spark.catalog.getDatabase(layer).locationUri.rstrip("/") + "/" + table
+    def execute(self, spark: SparkSession, sql: str, *params) -> DataFrame:
+        """Run one statement against the catalog, with ``?`` parameters bound."""
+        return run_sql(spark, sql, *params)
 
     def overwrite(self, df: DataFrame, layer: str, table: str) -> str:
-        name = self.qualified(layer, table)
-        if self.catalog is None:
-            writer = df.write.mode("overwrite")
-            if self.format:
-                writer = writer.format(self.format)
-            if self.pin_location:
-                writer = writer.option("path", self.location(df.sparkSession, layer, table))
-            writer.saveAsTable(name)
+        spark, name = df.sparkSession, self.qualified(layer, table)
+        if self.catalog is not None:
+            df.writeTo(name).using(self.format).createOrReplace()
+            return name
+        root = spark.catalog.getDatabase(layer).locationUri.rstrip("/")
+        folder = f"{root}/{table}-{uuid.uuid4().hex}"
+        try:
+            df.write.format(self.format).save(folder)
+        except Exception:
+            remove_folder(spark, folder)
+            raise
+        before = self._location(spark, name) if spark.catalog.tableExists(name) else None
+        if before is not None and spark.table(name).schema == df.schema:
+            run_sql(spark, f"ALTER TABLE {name} SET LOCATION {_text(folder)}")
+            spark.catalog.refreshTable(name)
         else:
-            writer = df.writeTo(name)
-            if self.format:
-                writer = writer.using(self.format)
-            writer.createOrReplace()
+            run_sql(spark, f"DROP TABLE IF EXISTS {name}")
+            run_sql(spark, f"CREATE TABLE {name} USING {self.format} LOCATION {_text(folder)}")
+        if before is not None and before.rsplit("/", 1)[-1].startswith(f"{table}-"):
+            remove_folder(spark, before)
         return name
 
+    def _location(self, spark: SparkSession, name: str) -> str | None:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+        return rows[0].data_type if rows else None
+
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         return spark.table(self.qualified(layer, table))
 
@@ -97,25 +117,41 @@ class JdbcTarget:
 
     Writes use Spark's JDBC writer: one connection per partition, ``numPartitions``
     and ``batchsize`` tune the load.  Namespaces are created through Spark's JDBC
-    table catalog, registered in the session under ``catalog_name``.
+    table catalog.
     """
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
-    catalog_name: str = "pagelake_jdbc"
     write_options: Mapping[str, str] = field(default_factory=dict)
 
-    def register_catalog(self, spark: SparkSession) -> str:
+    @property
+    def catalog_name(self) -> str:
+        """A catalog of its own for each database."""
+        return "pagelake_jdbc_" + hashlib.sha256(self.url.encode()).hexdigest()[:12]
+
+    @contextmanager
+    def catalog(self, spark: SparkSession) -> Iterator[str]:
+        """The database as a catalog of the session; secrets are in its settings only until the catalog is open."""
         prefix = f"spark.sql.catalog.{self.catalog_name}"
         spark.conf.set(prefix, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
         spark.conf.set(f"{prefix}.url", self.url)
-        for k, v in self.properties.items():
-            if v is not None:
-                spark.conf.set(f"{prefix}.{k}", v)
-        return self.catalog_name
+        given = {k: v for k, v in self.properties.items() if v is not None}
+        for k, v in given.items():
+            spark.conf.set(f"{prefix}.{k}", v)
+        try:
+            yield self.catalog_name
+        finally:
+            for k in SECRETS & given.keys():
+                spark.conf.unset(f"{prefix}.{k}")
 
     def ensure_namespace(self, spark: SparkSession, layer: str) -> None:
-        run_sql(spark, f"CREATE NAMESPACE IF NOT EXISTS {_quote(self.register_catalog(spark), layer)}")
+        with self.catalog(spark) as name:
+            run_sql(spark, f"CREATE NAMESPACE IF NOT EXISTS {_quote(name, layer)}")
+
+    def execute(self, spark: SparkSession, sql: str, *params) -> DataFrame:
+        """Run one statement that names tables as ``{catalog}.<layer>.<table>``, with ``?`` parameters bound."""
+        with self.catalog(spark) as name:
+            return run_sql(spark, sql.replace("{catalog}", _quote(name)), *params)
 
     def qualified(self, layer: str, table: str) -> str:
         return f"{layer}.{table}"
@@ -150,7 +186,10 @@ POSTGRES_DRIVER = "org.postgresql.Driver"
 def postgres_target(env: Mapping[str, str] | None = None, **write_options: str) -> JdbcTarget:
     """JDBC target ``jdbc:postgresql://host:port/db`` from the ``POSTGRES_*`` environment."""
     env = os.environ if env is None else env
-    host, db = env.get(POSTGRES_ENV["host"]), env.get(POSTGRES_ENV["dbname"])
+    missing = [POSTGRES_ENV[k] for k in ("host", "dbname") if not env.get(POSTGRES_ENV[k])]
+    if missing:
+        raise ValueError(f"the environment has no {' and no '.join(missing)}")
+    host, db = env[POSTGRES_ENV["host"]], env[POSTGRES_ENV["dbname"]]
     port = env.get(POSTGRES_ENV["port"], POSTGRES_DEFAULT_PORT)
     props = {
         "user": env.get(POSTGRES_ENV["user"]),

@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+import io
+import logging
+import os
+import re
+import uuid
+import zipfile
+
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -11,16 +20,19 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     Staged pages and landed files go here so that a lost executor never takes
-    job data with it.  Only when the session names no such folder (local runs,
-    tests) one is set, under the session's warehouse location.
+    job data with it.  A local session (tests) that names no such folder gets one
+    beside its warehouse; on a cluster a missing setting is an error, since a
+    folder of the driver's machine is not one that executors see.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         # the conf cannot change at runtime; the context's checkpoint folder can
-        sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+        sc.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "_checkpoints")
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -37,19 +49,49 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(where).toString()
 
 
+_SCRATCH: dict[str, set[str]] = {}
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for a job's written tables, under the shared folder.
 
     It is registered with the Hadoop FileSystem to be deleted when the
-    application ends; :func:`remove_folder` deletes it sooner.
+    application ends; :func:`remove_folder` and :func:`release_scratch` delete it sooner.
     """
-    import uuid
-
     folder = f"{shared_dir(spark)}/pagelake/{purpose}-{uuid.uuid4().hex}"
     fs, where = hadoop_path(spark, folder)
     fs.mkdirs(where)
     fs.deleteOnExit(where)
-    return qualified(spark, folder)
+    folder = fs.makeQualified(where).toString()
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, set()).add(folder)
+    return folder
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder; missing is fine, and a failure is logged, never raised."""
+    try:
+        fs, where = hadoop_path(spark, path)
+        fs.delete(where, True)
+    except Exception as exc:  # cleaning up must not fail a finished load
+        log.warning("Could not delete %s: %s", path, exc)
+    _SCRATCH.get(spark.sparkContext.applicationId, set()).discard(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete every scratch folder of this application; frames that still read one cannot be used afterwards."""
+    for folder in sorted(_SCRATCH.get(spark.sparkContext.applicationId, ())):
+        remove_folder(spark, folder)
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A file on any filesystem that Spark reaches."""
+    fs, where = hadoop_path(spark, path)
+    out = fs.create(where)
+    try:
+        for at in range(0, len(data), 1 << 20):
+            out.write(bytearray(data[at:at + (1 << 20)]))
+    finally:
+        out.close()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pagelake") -> SparkSession:
@@ -71,10 +113,11 @@ _SHIPPED: set[str] = set()
 
 
 def filesystem_uri(path: str) -> str:
-    """A URI pyarrow resolves for a Spark/Hadoop path (``/x``, ``file:/x``, ``hdfs://nn/x``, ``s3a://b/x``)."""
-    import os
-    import re
+    """A URI pyarrow resolves for a Spark/Hadoop path (``file:/x``, ``hdfs://nn/x``, ``s3a://b/x``).
 
+    Tasks use it; the driver gives them paths from :func:`qualified`, so a path without
+    a scheme is a local one here.
+    """
     if "://" in path:
         scheme, rest = path.split("://", 1)
         return ("s3://" + rest) if scheme in ("s3a", "s3n") else path  # Hadoop S3 connectors -> pyarrow S3
@@ -95,19 +138,12 @@ def resolve_filesystem(path: str):
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable by Python workers, once per application.
 
-    Python data sources and sinks run in Python workers on the executors, which
-    import their classes by name.  As ``--py-files`` would, the package is zipped
-    (named by content hash) into the shared checkpoint folder and added with
-    ``SparkContext.addPyFile``.
+    As ``--py-files`` would, the package is zipped into the shared checkpoint folder
+    and added with ``SparkContext.addPyFile``; workers import its functions by name.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
-    import hashlib
-    import io
-    import os
-    import zipfile
-
     root = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
@@ -116,31 +152,7 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(folder, f)
                     zf.write(full, os.path.relpath(full, os.path.dirname(root)))
-    data = buf.getvalue()
-    from pyarrow import fs as pafs
-
-    base = shared_dir(spark)
-    name = f"pagelake-{hashlib.sha256(data).hexdigest()[:16]}.zip"
-    try:
-        filesystem, path = resolve_filesystem(base)
-        filesystem.create_dir(f"{path}/pagelake-code", recursive=True)
-        target = f"{path}/pagelake-code/{name}"
-        if filesystem.get_file_info(target).type == pafs.FileType.NotFound:
-            with filesystem.open_output_stream(target) as out:
-                out.write(data)
-        sc.addPyFile(f"{base}/pagelake-code/{name}")
-    except (OSError, ValueError) as exc:  # e.g. a filesystem pyarrow cannot reach from the driver
-        import logging
-
-        logging.getLogger(__name__).warning(
-            "Could not ship pagelake to Python workers (%s); it must be installed on the executors.", exc)
+    target = f"{scratch_folder(spark, 'code')}/pagelake.zip"
+    write_bytes(spark, target, buf.getvalue())
+    sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
-
-
-def remove_folder(path: str) -> None:
-    """Delete a job's scratch folder (any filesystem URI pyarrow resolves); missing is fine."""
-    from pyarrow import fs as pafs
-
-    filesystem, root = resolve_filesystem(path)
-    if filesystem.get_file_info(root).type != pafs.FileType.NotFound:
-        filesystem.delete_dir(root)

@@ -1,115 +1,67 @@
-"""Landed response files: one file per page, read back as ``page, status, body`` rows.
-
-Pages fetched by another process (or landed by :func:`land_pages`) sit in a
-folder, one JSON file per page.  The page number comes from a ``page=<n>``
-folder, else from the last run of digits in the file name (``page-17.json``,
-``00017.json``).  Files are read whole (one row per file, small files packed
-into splits), entirely in the JVM.  A landed file is a successful response:
-status 200.
-
-:func:`land_pages` writes such a folder with the ``page_files`` sink: each
-executor task writes its own pages straight to the target filesystem (any URI
-pyarrow resolves), through a temporary name and a move, so a retried task
-rewrites the same files.
+"""Landed responses, read back as ``page, status, body`` rows.
+
+* :func:`land_pages` / :func:`read_landed_pages`: a Parquet folder that keeps page,
+  status and body, written and read by Spark.  Failed pages stay failed pages.
+* :func:`read_page_files`: a folder of response files that another process fetched,
+  one file per page, read whole in the JVM.  :func:`land_page_files` writes such a
+  folder (``page=<n>/status=<s>/``), which the ``paged_json`` data source can serve from.
+
+The page number of a response file comes from a ``page=<n>`` folder, else from a name
+like ``17.json``, ``page-17.json`` or ``page_17.v2.json``; ``response.json`` is the only
+page of a single request.  Any other name fails the read and is named in the error.
+The status is that of a ``status=<s>`` folder, else 200.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
-from pyspark.sql.types import StructType
 
 from pagelake.operators.pages import BODY, PAGE, PAGE_SCHEMA, STATUS
 
-_PAGE_DIR = r"page=(\d+)/[^/]*$"
-_LAST_NUMBER = r"(\d+)\D*$"
-# --- Fixed value: file name of one landed page (shared with the folder transport) ---
-PAGE_FILE = "page-{}.json"
-
-
-def read_landed_pages(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    reader = spark.read.option("wholetext", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.option("recursiveFileLookup", "true").text(path)
-    from_dir = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), _PAGE_DIR, 1), F.lit(""))
-    from_name = F.regexp_extract(F.col("_metadata.file_name"), _LAST_NUMBER, 1)
-    return files.select(
-        F.coalesce(from_dir, from_name).cast("long").alias(PAGE),
-        F.lit(200).alias(STATUS),
-        F.col("value").alias(BODY),
-    )
-
-
-def _filesystem(path: str):
-    from pagelake.session import resolve_filesystem
-
-    return resolve_filesystem(path)
-
+_PAGE_DIR = r"/page=(\d+)/"
+_STATUS_DIR = r"/status=(-?\d+)/"
+_PAGE_NAME = r"^(?:page[-_]?)?(\d+)(?:\.[A-Za-z]\w*)*$"
+# --- Fixed value: file name of the response of a single request ---
+SINGLE_FILE = "response.json"
 
-@dataclass
-class _Written(WriterCommitMessage):
-    pages: int
 
+def land_pages(pages: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Write pages with their status and body as Parquet."""
+    pages.select(F.col(PAGE).cast("long"), F.col(STATUS).cast("int"), BODY).write.mode(mode).parquet(path)
+    return path
 
-class PageFilesWriter(DataSourceWriter):
-    def __init__(self, path: str, overwrite: bool):
-        self.path = path
-        if overwrite:
-            from pyarrow import fs as pafs
-
-            filesystem, root = _filesystem(path)
-            if filesystem.get_file_info(root).type == pafs.FileType.Directory:
-                for info in filesystem.get_file_info(pafs.FileSelector(root)):
-                    if info.type == pafs.FileType.File and info.base_name.startswith("page-"):
-                        filesystem.delete_file(info.path)
-
-    def write(self, iterator: Iterator) -> _Written:
-        filesystem, root = _filesystem(self.path)
-        filesystem.create_dir(root, recursive=True)
-        n = 0
-        for row in iterator:
-            if row[STATUS] is not None and row[STATUS] >= 400:
-                continue
-            final = f"{root}/{PAGE_FILE.format(row[PAGE])}"
-            temp = f"{root}/.{uuid.uuid4().hex}.tmp"
-            with filesystem.open_output_stream(temp) as out:
-                out.write((row[BODY] or "").encode("utf-8"))
-            filesystem.move(temp, final)
-            n += 1
-        return _Written(n)
-
-    def commit(self, messages) -> None:
-        pass
 
-    def abort(self, messages) -> None:
-        pass
+def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The pages that :func:`land_pages` wrote."""
+    return spark.read.schema(PAGE_SCHEMA).parquet(path)
 
 
-class PageFilesDataSource(DataSource):
-    """Sink: ``df.write.format("page_files").mode("overwrite").save(folder)``."""
+def land_page_files(pages: DataFrame, path: str) -> str:
+    """Write one text file per page, in ``page=<n>/status=<s>/`` folders."""
+    rows = pages.select(F.col(PAGE).cast("long"), F.coalesce(F.col(STATUS), F.lit(200)).cast("int").alias(STATUS),
+                        F.coalesce(BODY, F.lit("")).alias(BODY))
+    rows.repartition(PAGE).write.mode("overwrite").partitionBy(PAGE, STATUS).text(path)
+    return path
 
-    @classmethod
-    def name(cls) -> str:
-        return "page_files"
 
-    def schema(self) -> StructType:
-        return PAGE_SCHEMA
+def _number(source: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(source, pattern, 1), F.lit("")).cast("long")
 
-    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return PageFilesWriter(self.options["path"], overwrite)
 
+def file_pages(files: DataFrame) -> DataFrame:
+    """Rows of whole files (``value`` and ``_metadata``) as pages."""
+    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    page = F.coalesce(
+        _number(path, _PAGE_DIR), _number(name, _PAGE_NAME), F.when(name == SINGLE_FILE, F.lit(1).cast("long")),
+        F.raise_error(F.concat(F.lit("no page number in the name of "), path)).cast("long"))
+    status = F.coalesce(_number(path, _STATUS_DIR), F.lit(200))
+    return files.select(page.alias(PAGE), status.cast("int").alias(STATUS), F.col("value").alias(BODY))
 
-def land_pages(pages: DataFrame, path: str) -> str:
-    """Write each successful page's body to ``<path>/page-<n>.json``."""
-    from pagelake.session import ship_package
 
-    ship_package(pages.sparkSession)
-    pages.sparkSession.dataSource.register(PageFilesDataSource)
-    pages.select(PAGE, STATUS, BODY).write.format("page_files").mode("overwrite").save(path)
-    return path
+def read_page_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """One page per file of a folder and its subfolders."""
+    reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return file_pages(reader.text(path))

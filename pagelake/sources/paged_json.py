@@ -7,8 +7,9 @@ driver and pages are fetched in parallel (one task per ``pagesPerPartition``).
 Options:
 
 * ``url`` - full endpoint URL (see :func:`endpoint_url`).  A URL that is not
-  ``http(s)://`` names a folder of landed responses (``page-<n>.json`` or
-  ``page=<n>/``, ``response.json`` for single requests) on any filesystem.
+  ``http(s)://`` names a folder of responses (:class:`ResponseFolder`:
+  ``page-<n>.json`` or ``page=<n>/``, ``response.json`` for single requests) on any
+  filesystem; a page missing from the middle of it fails, it never ends the data.
 * ``params`` / ``headers`` - JSON objects.  Header values may hold the
   ``{api_key}`` placeholder; ``apiKeyEnv`` names the environment variable that
   holds the key, looked up when the reader is built (the key never appears in
@@ -33,6 +34,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql.datasource import (
@@ -54,14 +56,20 @@ from pagelake.operators.pages import PAGE_SCHEMA
 API_KEY_PLACEHOLDER = "{api_key}"
 DEFAULT_TIMEOUT = 30
 PAGE_PARAM = "page"
-FILE_PAGE = "page-{}.json"  # same name the page_files sink writes
 FILE_SINGLE = "response.json"
 # --- end of fixed values ---
 TRANSIENT_STATUS = frozenset({429, 502, 503, 504})
 BACKOFF_SECONDS = 0.5
+_FILE_PAGE = re.compile(r"page-(\d+)\.json$")
+_FOLDER_PAGE = re.compile(r"page=(\d+)/")
+_FOLDER_STATUS = re.compile(r"/status=(-?\d+)/")
 MAX_BACKOFF_SECONDS = 30.0
 
 
+def is_http(url: str) -> bool:
+    return url.startswith(("http://", "https://"))
+
+
 def endpoint_url(base_url: str, endpoint: str) -> str:
     """``base_url`` and ``endpoint`` joined by exactly one slash."""
     return base_url.rstrip("/") + "/" + endpoint.lstrip("/")
@@ -72,43 +80,48 @@ def api_key_env(source_name: str) -> str:
     return f"{source_name.upper()}_KEY"
 
 
-def resolve_placeholders(obj, key: str):
-    """Replace ``{api_key}`` in every string of a nested dict/list structure."""
-    if isinstance(obj, Mapping):
-        return {k: resolve_placeholders(v, key) for k, v in obj.items()}
-    if isinstance(obj, list):
-        return [resolve_placeholders(v, key) for v in obj]
-    if isinstance(obj, str):
-        return obj.replace(API_KEY_PLACEHOLDER, key)
-    return obj
+def with_api_key(headers: Mapping[str, str], key: str) -> dict[str, str]:
+    """Request headers with the key in place of its placeholder."""
+    return {name: value.replace(API_KEY_PLACEHOLDER, key) for name, value in headers.items()}
 
 
-def _read_folder_page(url: str, page: int | None) -> tuple[int, str]:
-    """Folder transport: ``page-<n>.json`` or the one file in ``page=<n>/`` (``response.json`` when single).
+class ResponseFolder:
+    """Responses in a folder, listed once: ``page-<n>.json`` files, or one file below each ``page=<n>/`` folder.
 
-    Any filesystem URI pyarrow resolves (local path, ``file://``, ``hdfs://``,
-    ``s3://``...).  A folder has no page past its last file: a missing page
-    reads as an empty response (end of data); a missing single response is 404.
+    A page that lies beyond the highest one present is an empty response (end of
+    data).  A page missing below it is a 404, and a page with several files is a
+    failed request: neither may pass for the end.
     """
-    from pyarrow import fs as pafs
-
-    from pagelake.session import resolve_filesystem
-
-    filesystem, root = resolve_filesystem(url)
-    if page is None:
-        candidates = [f"{root}/{FILE_SINGLE}"]
-    else:
-        candidates = [f"{root}/{FILE_PAGE.format(page)}"]
-        folder = filesystem.get_file_info(f"{root}/{PAGE_PARAM}={page}")
-        if folder.type == pafs.FileType.Directory:
-            inner = filesystem.get_file_info(pafs.FileSelector(folder.path))
-            candidates += sorted(i.path for i in inner
-                                 if i.type == pafs.FileType.File and not i.base_name.startswith(("_", ".")))
-    for path in candidates:
-        if filesystem.get_file_info(path).type == pafs.FileType.File:
-            with filesystem.open_input_stream(path) as fh:
-                return 200, fh.read().decode("utf-8")
-    return (404, "") if page is None else (200, "{}")
+
+    def __init__(self, url: str):
+        from pyarrow import fs as pafs
+
+        from pagelake.session import resolve_filesystem
+
+        self.filesystem, root = resolve_filesystem(url)
+        self.files: dict[int | None, list[str]] = {}
+        selector = pafs.FileSelector(root, allow_not_found=True, recursive=True)
+        for info in self.filesystem.get_file_info(selector):
+            inner = info.path[len(root):].lstrip("/")
+            if info.type != pafs.FileType.File or any(p.startswith(("_", ".")) for p in inner.split("/")):
+                continue
+            folder, name = _FOLDER_PAGE.match(inner), _FILE_PAGE.match(inner)
+            if folder or name:
+                self.files.setdefault(int((folder or name).group(1)), []).append(info.path)
+            elif inner == FILE_SINGLE:
+                self.files.setdefault(None, []).append(info.path)
+        self.last = max((p for p in self.files if p is not None), default=0)
+
+    def get(self, page: int | None) -> tuple[int, str]:
+        paths = self.files.get(page, [])
+        if not paths:
+            return (200, "{}") if page is not None and page > self.last else (404, "")
+        if len(paths) > 1:
+            return -1, f"{len(paths)} files for one page: {', '.join(sorted(paths))}"
+        with self.filesystem.open_input_stream(paths[0], compression=None) as file:
+            text = file.read().decode("utf-8")
+        status = _FOLDER_STATUS.search(paths[0])
+        return int(status.group(1)) if status else 200, text
 
 
 def fetch(url: str, params: Mapping[str, str], headers: Mapping[str, str], timeout: float,
@@ -118,8 +131,8 @@ def fetch(url: str, params: Mapping[str, str], headers: Mapping[str, str], timeo
     Transient failures (connection errors, timeouts, 429, 502-504) are retried
     ``retries`` times with exponential backoff; the last outcome is returned.
     """
-    if not url.startswith(("http://", "https://")):
-        return _read_folder_page(url, page)
+    if not is_http(url):
+        return ResponseFolder(url).get(page)
     import time
 
     import requests
@@ -163,8 +176,8 @@ class PagedJsonReader(DataSourceReader):
         if env_name:
             key = os.environ.get(env_name)
             if not key:
-                raise ValueError(f"Variable {env_name} not found in environment variables.")
-            headers = resolve_placeholders(headers, key)
+                raise ValueError(f"the environment has no {env_name}, which the request headers need")
+            headers = with_api_key(headers, key)
         self.headers = headers
         self.timeout = float(options.get("timeout") or DEFAULT_TIMEOUT)
         self.retries = int(options.get("retries") or 0)
@@ -179,8 +192,12 @@ class PagedJsonReader(DataSourceReader):
         return _chunks(self.first, self.last, self.per_partition) or [PageRange([])]
 
     def read(self, partition: PageRange) -> Iterator[tuple]:
+        folder = None if is_http(self.url) else ResponseFolder(self.url)
         for page in partition.pages:
-            status, text = fetch(self.url, self.params, self.headers, self.timeout, page, self.retries)
+            if folder is None:
+                status, text = fetch(self.url, self.params, self.headers, self.timeout, page, self.retries)
+            else:
+                status, text = folder.get(page)
             yield (1 if page is None else page, status, text)
 
 

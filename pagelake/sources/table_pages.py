@@ -29,18 +29,6 @@ def _json_ready(df: DataFrame, name: str) -> Column:
     return col.alias(name)
 
 
-def _check_page_bound(df: DataFrame, idx: Column, page_size: int) -> None:
-    """Fail unless every page of a caller-given index holds at most ``page_size`` records.
-
-    Counts per page combine map-side, so only one small row per page and task is
-    shuffled; a repeated index value can then never gather an unbounded page.
-    """
-    pages = df.select(idx.cast("long").alias(_IDX)).select(F.expr(f"`{_IDX}` div {int(page_size)}").alias(PAGE))
-    biggest = pages.groupBy(PAGE).count().agg(F.max("count")).first()[0]
-    if biggest is not None and biggest > page_size:
-        raise ValueError(f"index is not unique: a page would hold {biggest} records (page size {page_size})")
-
-
 def records_as_pages(
     df: DataFrame,
     response_path: str,
@@ -51,8 +39,8 @@ def records_as_pages(
     """Pages of ``df``.
 
     ``index``: a dense 0-based unique column (or expression) giving record order,
-    checked to keep every page within ``page_size``; when absent one is computed
-    with :func:`with_row_index`.
+    a page that would hold more than ``page_size`` records fails the job; when absent
+    one is computed with :func:`with_row_index`.
     ``record``: the struct to serialise per row (default: all columns).
     """
     if page_size <= 0:
@@ -62,13 +50,15 @@ def records_as_pages(
         idx = F.col(_IDX)
     else:
         idx = F.col(index) if isinstance(index, str) else index
-        _check_page_bound(df, idx, page_size)
     rec = record if record is not None else F.struct(*[_json_ready(df, c) for c in df.columns if c != _IDX])
     # Shuffle plain rows by page first: records are built, collected, sorted and
     # serialised after the exchange, in parallel, with no map-side list buffers.
     keyed = df.withColumn(_IDX, idx.cast("long")).withColumn(PAGE, F.expr(f"`{_IDX}` div {int(page_size)}"))
     rows = keyed.repartition(PAGE).select(PAGE, _IDX, rec.alias(_REC))
     pages = rows.groupBy(PAGE).agg(F.sort_array(F.collect_list(F.struct(_IDX, _REC))).alias(_REC))
+    too_many = F.raise_error(F.concat(F.lit("index is not unique: page "), F.col(PAGE).cast("string"),
+                                      F.lit(f" would hold more than {int(page_size)} records")))
+    pages = pages.select(PAGE, F.when(F.size(_REC) > page_size, too_many).otherwise(F.col(_REC)).alias(_REC))
     ordered = F.transform(F.col(_REC), lambda x: x[_REC])
     return pages.select(
         (F.col(PAGE) + 1).alias(PAGE),

@@ -17,30 +17,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pagelake.functions.audit import with_audit_columns
 from pagelake.functions.schema import DatasetSpec
-from pagelake.operators.pages import BODY, PAGE, STATUS, cap_pages, check_pages, page_records, parse_pages
+from pagelake.operators.pages import PAGE_SCHEMA, cap_pages, check_pages, page_records, parse_pages
 from pagelake.plans.ingest import IngestResult
 from pagelake.plans.sinks import DEFAULT_LAYER, CatalogTarget, table_name
 from pagelake.session import shared_dir
-
-_LAST_NUMBER = r"(\d+)\D*$"
+from pagelake.sources.landed import file_pages
 
 
 def page_file_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming ``page, status, body`` rows, one per new file in ``folder`` (page number from the file name)."""
+    """Streaming ``page, status, body`` rows, one per new file in ``folder`` (see :func:`file_pages`)."""
     reader = spark.readStream.format("text").option("wholetext", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = reader.load(folder)
-    return files.select(
-        F.regexp_extract(F.col("_metadata.file_name"), _LAST_NUMBER, 1).cast("long").alias(PAGE),
-        F.lit(200).alias(STATUS),
-        F.col("value").alias(BODY),
-    )
+    return file_pages(reader.option("recursiveFileLookup", "true").load(folder))
 
 
 def stream_locations(spark: SparkSession, spec: DatasetSpec, root: str | None = None) -> tuple[str, str]:
@@ -86,7 +79,8 @@ def ingest_landed(spark: SparkSession, folder: str, spec: DatasetSpec, target=No
         query.stop()
         raise TimeoutError(f"landing of {spec.qualified_name} did not finish in {timeout}s")
     staged_path, _ = stream_locations(spark, spec, root)
-    staged = spark.read.parquet(staged_path)
+    schema = parse_pages(spark.createDataFrame([], PAGE_SCHEMA), spec).schema
+    staged = spark.read.schema(schema).parquet(staged_path)  # a known schema: nothing may have landed yet
     check = check_pages(staged, spec)
     records = page_records(staged, check.stop)
     rows = with_audit_columns(transform(records) if transform else records)

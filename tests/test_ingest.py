@@ -46,11 +46,38 @@ def test_failed_read_leaves_target_untouched(spark):
     good = make_pages(spark, [(1, 200, body(1, 2))])
     ingest(spark, spec("keep"), pages=good, layer="bronze_t")
     bad = make_pages(spark, [(1, 200, body(5)), (2, 500, "down"), (3, 200, '{"body":[]}')])
-    with pytest.raises(PageError, match="page 2 with status code 500"):
+    with pytest.raises(PageError, match="page 2 answered 500: down"):
         ingest(spark, spec("keep"), pages=bad, layer="bronze_t")
     assert sorted(r["id"] for r in spark.table("bronze_t.src_keep").collect()) == [1, 2]
 
 
+def test_failed_write_leaves_target_untouched(spark):
+    from pyspark.sql import functions as F
+
+    good = make_pages(spark, [(1, 200, body(1, 2))])
+    ingest(spark, spec("solid"), pages=good, layer="bronze_t")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|by zero"):
+        ingest(spark, spec("solid"), pages=good, layer="bronze_t",
+               transform=lambda df: df.withColumn("id", F.expr("cast(id / (id - id) as int)")))
+    assert sorted(r["id"] for r in spark.table("bronze_t.src_solid").collect()) == [1, 2]
+    ingest(spark, spec("solid"), pages=make_pages(spark, [(1, 200, body(7))]), layer="bronze_t")
+    assert [r["id"] for r in spark.table("bronze_t.src_solid").collect()] == [7]
+
+
+def test_cleaning_up_never_fails_a_load(spark, caplog):
+    from pagelake.session import remove_folder
+
+    remove_folder(spark, "nosuchscheme://somewhere/x")
+    assert "Could not delete" in caplog.text
+
+
+def test_bound_parameters(spark):
+    from pagelake.plans.sinks import run_sql
+
+    assert [tuple(r) for r in run_sql(spark, "SELECT ? AS a, ? + 1 AS b", "it's", 2).collect()] == [("it's", 3)]
+    assert run_sql(spark, "SELECT 1 AS a").first().a == 1
+
+
 def test_overwrite_replaces_schema_and_rows(spark):
     ingest(spark, spec("swap"), pages=make_pages(spark, [(1, 200, body(1))]), layer="bronze_t")
     other = [{"name": "id", "type": "string"}, {"name": "extra", "type": "boolean"}]
@@ -90,6 +117,7 @@ def test_selection():
     assert names(select_datasets(SOURCES, RUN, "b.one")) == []
     assert names(select_datasets(SOURCES, RUN, "c.one.x")) == []
     assert select_datasets(SOURCES, {"sources": {}}) == []
+    assert select_datasets(SOURCES, {"sources": {"a": {"enabled": True}}}, "*") == []
 
 
 def test_run_sequential_and_stops_at_first_failure(spark):
@@ -112,7 +140,7 @@ def test_source_config_and_api_key_env():
            "headers": {"grp": {"x-key": "{api_key}", "x-host": "h"}}}
     src = source_spec(doc, headers_group="grp")
     assert src.base_url == "https://api.example/" and src.timeout == 10 and src.key_env == "MARKET_KEY"
-    with pytest.raises(ValueError, match="Missing headers"):
+    with pytest.raises(ValueError, match="no request headers in group grp"):
         source_spec({"name": "n", "headers": {}}, headers_group="grp")
     full = load_source(doc, {"t": {"responsePath": "body", "pagination": {"enabled": False}, "columns": []}},
                        endpoints={"t": "v2/t"}, params={"t": {"type": "S"}}, headers_group="grp")
@@ -127,6 +155,8 @@ def test_postgres_target_from_env():
     assert t.write_options == {"batchsize": "5000"}
     assert postgres_target({"POSTGRES_HOST": "h", "POSTGRES_PORT": "6543", "POSTGRES_DB": "d"}).url == \
         "jdbc:postgresql://h:6543/d"
+    with pytest.raises(ValueError, match="POSTGRES_HOST and no POSTGRES_DB"):
+        postgres_target({})
 
 
 def test_jdbc_target_prepares_rows_and_catalog(spark):
@@ -136,11 +166,14 @@ def test_jdbc_target_prepares_rows_and_catalog(spark):
     ready = _jdbc_ready(df)
     assert [f.dataType.simpleString() for f in ready.schema.fields] == ["int", "string", "string", "string"]
     assert ready.first()["st"] == '{"x":2}' and ready.columns == ["i", "st", "arr", "s.t"]
-    t = JdbcTarget("jdbc:postgresql://db:5432/w", {"user": "u", "password": None, "driver": "org.postgresql.Driver"})
-    name = t.register_catalog(spark)
-    assert spark.conf.get(f"spark.sql.catalog.{name}.url") == "jdbc:postgresql://db:5432/w"
-    assert spark.conf.get(f"spark.sql.catalog.{name}.user") == "u"
-    assert spark.conf.get(f"spark.sql.catalog.{name}") .endswith("JDBCTableCatalog")
+    t = JdbcTarget("jdbc:postgresql://db:5432/w", {"user": "u", "password": "secret", "driver": "org.postgresql.Driver"})
+    with t.catalog(spark) as name:
+        assert spark.conf.get(f"spark.sql.catalog.{name}.url") == "jdbc:postgresql://db:5432/w"
+        assert spark.conf.get(f"spark.sql.catalog.{name}.user") == "u"
+        assert spark.conf.get(f"spark.sql.catalog.{name}.password") == "secret"
+        assert spark.conf.get(f"spark.sql.catalog.{name}").endswith("JDBCTableCatalog")
+    assert spark.conf.get(f"spark.sql.catalog.{name}.password", None) is None
+    assert name != JdbcTarget("jdbc:postgresql://other:5432/w").catalog_name
     assert t.qualified("bronze", "src_ds") == "bronze.src_ds"
 
 

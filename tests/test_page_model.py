@@ -1,14 +1,15 @@
 """Random page sequences: Spark result == a sequential client walking the pages (brute force)."""
 
 import json
+import tempfile
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.errors import PySparkException
 
 from conftest import make_pages
 from pagelake.functions.schema import dataset_spec
-from pagelake.operators.pages import PageError, checked_records, read_records
+from pagelake.operators.pages import PageError, read_records
+from pagelake.sources.landed import land_pages, read_landed_pages
 
 COLS = [{"name": "id", "type": "integer"}]
 KINDS = ["records", "records", "records", "empty_list", "missing_key", "falsy_obj", "http_500", "truncated"]
@@ -48,8 +49,8 @@ pages_strategy = st.lists(st.tuples(st.sampled_from(KINDS), st.integers(min_valu
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(layout=pages_strategy, max_pages=st.one_of(st.none(), st.integers(min_value=0, max_value=8)),
-       lazy=st.booleans())
-def test_matches_sequential_client(spark, layout, max_pages, lazy):
+       landed=st.booleans())
+def test_matches_sequential_client(spark, layout, max_pages, landed):
     pages, next_id = [], 0
     for number, (kind, n) in enumerate(layout, start=1):
         ids = list(range(next_id, next_id + n))
@@ -63,8 +64,10 @@ def test_matches_sequential_client(spark, layout, max_pages, lazy):
                        "columns": COLS}, source="m", name="d")
     df = make_pages(spark, rows)
     try:
-        out = checked_records(df, sp) if lazy else read_records(df, sp)
+        if landed:
+            df = read_landed_pages(spark, land_pages(df, tempfile.mkdtemp() + "/pages"))
+        out = read_records(df, sp)
         got = sorted(r.id for r in out.collect())
-    except (PageError, PySparkException):
+    except PageError:
         got = "error"
     assert got == (expected if expected == "error" else sorted(expected))

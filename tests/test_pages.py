@@ -1,14 +1,15 @@
-"""Page rules on tiny hand-made pages; every case runs staged and lazy."""
+"""Page rules on tiny hand-made pages; every case runs directly and from landed pages."""
 
 import json
+import tempfile
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import make_pages
 from pagelake.functions.schema import dataset_spec
-from pagelake.operators.pages import PageError, checked_records, parse_pages, read_records
+from pagelake.operators.pages import PageError, parse_pages, read_records
+from pagelake.sources.landed import land_pages, read_landed_pages
 
 COLS = [{"name": "id", "type": "integer"}, {"name": "s", "type": "string"}]
 
@@ -22,23 +23,22 @@ def body(*ids, key="body"):
     return json.dumps({key: [{"id": i, "s": f"r{i}"} for i in ids]})
 
 
-def run(spark, pages, sp, mode):
+def source(spark, pages, mode):
+    """The pages as they are, or as they come back from their landed copy."""
     df = make_pages(spark, pages)
-    out = read_records(df, sp) if mode == "staged" else checked_records(df, sp)
-    return sorted(r["id"] for r in out.collect())
+    return df if mode == "direct" else read_landed_pages(spark, land_pages(df, tempfile.mkdtemp() + "/pages"))
+
+
+def run(spark, pages, sp, mode):
+    return sorted(r["id"] for r in read_records(source(spark, pages, mode), sp).collect())
 
 
 def fails(spark, pages, sp, mode, match=None):
-    df = make_pages(spark, pages)
-    if mode == "staged":
-        with pytest.raises(PageError, match=match):
-            read_records(df, sp)
-    else:
-        with pytest.raises(PySparkException, match=match):
-            checked_records(df, sp).collect()
+    with pytest.raises(PageError, match=match):
+        read_records(source(spark, pages, mode), sp)
 
 
-MODES = ["staged", "lazy"]
+MODES = ["direct", "landed"]
 BASIC = [(1, 200, body(1, 2)), (2, 200, body(3)), (3, 200, '{"body":[]}'), (4, 200, body(4))]
 
 
@@ -120,11 +120,37 @@ def test_single_request(spark, mode):
     assert run(spark, [(1, 200, '{"body":[]}')], sp, mode) == []
     # several independent responses, one empty: no end-of-data rule
     assert run(spark, [(1, 200, body(1)), (2, 200, '{"body":[]}'), (3, 200, body(3))], sp, mode) == [1, 3]
-    fails(spark, [(1, 200, '{"x":1}')], sp, mode, match="No 'body' array")
+    fails(spark, [(1, 200, '{"x":1}')], sp, mode, match="page 1 has no list under 'body'")
     fails(spark, [(1, 200, '{"body":null}')], sp, mode)
     fails(spark, [(1, 500, body(1))], sp, mode)
 
 
+@pytest.mark.parametrize("mode", MODES)
+@pytest.mark.parametrize("text", [
+    '{"body":[{"id":2}]} garbage', '{"body":[{"id":2}]}<html>', '{"body":[{"id":2}]}{"body":[{"id":3}]}',
+    '{"body":[]}{"body":[{"id":3}]}', '{"body":[{"id":2}]},{"body":[]}', '{"body":[{"id":2}]},"x":1',
+    "{'body':[{'id':2}]}", '{"body":[{"id":2}]', '{"body":[]}]', "{}{}", "   "])
+def test_a_body_is_one_document(spark, mode, text):
+    fails(spark, [(1, 200, body(1)), (2, 200, text), (3, 200, '{"body":[]}')], spec(), mode, match="page 2 is not")
+    if mode == "direct":
+        fails(spark, [(1, 200, text)], spec(paged=False), mode)
+
+
+@pytest.mark.parametrize("value", ['"NaN"', '"Infinity"', '"-Infinity"', "NaN"])
+def test_numbers_that_are_none(spark, value):
+    cols = [{"name": "f", "type": "float"}]
+    fails(spark, [(1, 200, '{"body":[{"f":%s}]}' % value)], spec(columns=cols), "direct")
+
+
+def test_the_whole_body_is_in_the_problem(spark):
+    text = json.dumps({"body": [{"id": 1, "s": "x" * 50} for _ in range(400)] + [{"id": "the value"}]})
+    fails(spark, [(1, 200, text)], spec(), "direct", match="do not fit the declared columns.*the value")
+
+
+def test_a_failed_request_is_bad_whatever_it_holds(spark):
+    fails(spark, [(1, 200, body(1)), (2, -1, body(2)), (3, 200, '{"body":[]}')], spec(), "direct", match="answered -1")
+
+
 def test_value_rules(spark):
     cols = [{"name": "a", "type": "double"}, {"name": "b", "type": "integer"}, {"name": "c", "type": "string"},
             {"name": "f", "type": "float"}, {"name": "t", "type": "timestamp"}, {"name": "ok", "type": "boolean"}]
@@ -152,12 +178,12 @@ def test_nested_records(spark):
 def test_dotted_response_key(spark):
     sp = spec(key="data.items")
     pages = [(1, 200, body(1, key="data.items")), (2, 200, '{"data.items":[]}')]
-    assert run(spark, pages, sp, "staged") == [1]
+    assert run(spark, pages, sp, "direct") == [1]
 
 
 def test_problem_text_names_page_and_status(spark):
     pages = [(1, 200, body(1)), (2, 503, "unavailable"), (3, 200, '{"body":[]}')]
-    with pytest.raises(PageError, match="page 2 with status code 503: unavailable"):
+    with pytest.raises(PageError, match="page 2 answered 503: unavailable"):
         read_records(make_pages(spark, pages), spec())
 
 

@@ -3,22 +3,13 @@ from pyspark.sql import types as T
 
 from pagelake.functions.schema import Paging, dataset_spec, struct_type
 
-TICKERS = """
-name: tickers
-responsePath: body
-pagination:
-  enabled: true
-  maxPages: 2
-
+READINGS = """
+responsePath: readings
+pagination: {enabled: true, maxPages: 7}
 columns:
-  - name: symbol
-    type: string
-  - name: netchange
-    type: double
-  - name: _rowHash
-    type: string
-  - name: _processedTimestamp
-    type: timestamp
+  - {name: sensor, type: integer}
+  - {name: level, type: decimal}
+  - {name: taken, type: timestamp}
 """
 
 
@@ -49,19 +40,24 @@ def test_nested_dict_and_list():
     assert s["l"].dataType == T.ArrayType(T.StructType([T.StructField("z", T.StringType())]))
 
 
-def test_dataset_spec_from_yaml():
-    spec = dataset_spec(TICKERS, source="src", endpoint="v2/x", params={"type": "S"})
-    assert spec.name == "tickers" and spec.response_path == "body"
-    assert spec.paging == Paging(enabled=True, max_pages=2)
-    assert spec.schema["netchange"].dataType == T.StringType()
-    assert spec.schema.names == ["symbol", "netchange", "_rowHash", "_processedTimestamp"]
-    assert spec.endpoint == "v2/x" and spec.params == {"type": "S"}
+def test_dataset_spec_from_yaml(tmp_path):
+    spec = dataset_spec(READINGS, source="src", name="readings", endpoint="v2/x", params={"unit": "cm"})
+    assert (spec.qualified_name, spec.response_path) == ("src.readings", "readings")
+    assert spec.paging == Paging(enabled=True, max_pages=7)
+    assert [(f.name, f.dataType) for f in spec.schema.fields] == [
+        ("sensor", T.IntegerType()), ("level", T.StringType()), ("taken", T.TimestampType())]
+    assert spec.endpoint == "v2/x" and spec.params == {"unit": "cm"}
+    (tmp_path / "r.yaml").write_text(READINGS)
+    assert dataset_spec(str(tmp_path / "r.yaml"), source="src", name="readings").schema == spec.schema
+    with pytest.raises(FileNotFoundError, match="absent.yaml"):
+        dataset_spec(str(tmp_path / "absent.yaml"), source="src")
 
 
 def test_required_keys():
     with pytest.raises(ValueError, match="responsePath"):
         dataset_spec({"pagination": {"enabled": True}}, source="s", name="d")
-    with pytest.raises(ValueError, match="pagination"):
-        dataset_spec({"responsePath": "body"}, source="s", name="d")
-    with pytest.raises(ValueError, match="enabled"):
-        dataset_spec({"responsePath": "body", "pagination": {"maxPages": 2}}, source="s", name="d")
+    for paging in (None, {"maxPages": 2}, [True]):
+        with pytest.raises(ValueError, match="pagination.enabled"):
+            dataset_spec({"responsePath": "body", "pagination": paging}, source="s", name="d")
+    with pytest.raises(ValueError, match="mapping"):
+        dataset_spec("[1, 2]", source="s", name="d")

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from pagelake.functions.schema import dataset_spec
 from pagelake.operators.index import with_row_index
-from pagelake.operators.pages import read_records
+from pagelake.operators.pages import PageError, check_pages, page_records, read_records
 from pagelake.plans.ingest import api_pages, stage_api_pages
 from pagelake.plans.registry import SourceSpec
-from pagelake.sources.landed import land_pages, read_landed_pages
-from pagelake.sources.paged_json import endpoint_url, fetch, resolve_placeholders
+from pagelake.sources.landed import land_page_files, land_pages, read_landed_pages, read_page_files
+from pagelake.sources.paged_json import endpoint_url, fetch, with_api_key
 from pagelake.sources.table_pages import records_as_pages
 
 COLS = [{"name": "id", "type": "integer"}]
@@ -40,7 +40,7 @@ def folder_with_pages(n_pages, per_page=3, extra=None):
 def test_endpoint_url_and_placeholders():
     assert endpoint_url("https://h/api/", "/v2/x") == "https://h/api/v2/x"
     assert endpoint_url("https://h/api", "v2/x") == "https://h/api/v2/x"
-    assert resolve_placeholders({"a": "k={api_key}", "b": [1, "{api_key}"]}, "S") == {"a": "k=S", "b": [1, "S"]}
+    assert with_api_key({"a": "k={api_key}", "b": "{api_key}{api_key}", "c": "-"}, "S") == {"a": "k=S", "b": "SS", "c": "-"}
 
 
 def test_folder_transport_fetch():
@@ -62,11 +62,9 @@ def test_data_source_partitions_and_rows(spark):
 
 def test_unbounded_paging_in_waves(spark):
     d = folder_with_pages(20, per_page=2)
-    staged = stage_api_pages(spark, SourceSpec("api", base_url=d), spec(), first_wave=4, max_wave=8)
+    staged = stage_api_pages(spark, SourceSpec("api", base_url=d, first_wave=4, max_wave=8), spec())
     # waves 1-4, 5-12, 13-20, 21-28: page 21 is the first empty one
     assert staged.agg(F.max("page")).first()[0] == 28
-    from pagelake.operators.pages import check_pages, page_records
-
     chk = check_pages(staged, spec())
     assert chk.stop == 21 and chk.records == 40
     assert sorted(r.id for r in page_records(staged, chk.stop).collect()) == list(range(40))
@@ -102,15 +100,80 @@ def test_api_key_from_environment(spark, monkeypatch):
 def test_landed_files_roundtrip(spark):
     events = spark.range(250).select(F.col("id").alias("id"))
     pages = records_as_pages(events, "data", 100, index="id")
-    path = land_pages(pages, tempfile.mkdtemp(prefix="pagelake-landed-") + "/p")
-    back = read_landed_pages(spark, path)
-    assert sorted(r.page for r in back.collect()) == [1, 2, 3]
-    assert sorted(r.id for r in read_records(back, spec()).collect()) == list(range(250))
+    root = tempfile.mkdtemp(prefix="pagelake-landed-")
+    for back in (read_landed_pages(spark, land_pages(pages, root + "/table")),
+                 read_page_files(spark, land_page_files(pages, root + "/files"))):
+        assert sorted((r.page, r.status) for r in back.collect()) == [(1, 200), (2, 200), (3, 200)]
+        assert sorted(r.id for r in read_records(back, spec()).collect()) == list(range(250))
+    staged = stage_api_pages(spark, SourceSpec("api", base_url=root + "/files"), spec())
+    assert check_pages(staged, spec()).records == 250
+
+
+def test_landed_failures_stay_failures(spark):
+    rows = [(1, 200, '{"data":[{"id":1}]}'), (2, 200, '{"data":[{"id":2}]}'), (3, 500, "down"), (4, -1, "timeout")]
+    pages = spark.createDataFrame(rows, "page long, status int, body string")
+    root = tempfile.mkdtemp(prefix="pagelake-landed-")
+    land_pages(pages, root + "/table")
+    land_page_files(pages, root + "/files")
+    assert sorted(tuple(r) for r in read_landed_pages(spark, root + "/table").collect()) == rows
+    for back in (read_landed_pages(spark, root + "/table"), read_page_files(spark, root + "/files")):
+        with pytest.raises(PageError, match="page 3 answered 500: down"):
+            read_records(back, spec())
+    staged = stage_api_pages(spark, SourceSpec("api", base_url=root + "/files"), spec())
+    with pytest.raises(PageError, match="page 3 answered 500: down"):
+        check_pages(staged, spec())
+
+
+def test_a_hole_in_a_folder_is_a_failure(spark):
+    d = folder_with_pages(4)
+    os.remove(os.path.join(d, "page-2.json"))
+    staged = stage_api_pages(spark, SourceSpec("api", base_url=d), spec())
+    with pytest.raises(PageError, match="page 2 answered 404"):
+        check_pages(staged, spec())
+    with pytest.raises(PageError, match="without gaps"):
+        read_records(read_page_files(spark, d), spec())
+
+
+def test_several_files_of_one_page_are_a_failure(spark):
+    d = tempfile.mkdtemp()
+    for name in ("page=1/a.json", "page=1/b.json"):
+        os.makedirs(os.path.dirname(os.path.join(d, name)), exist_ok=True)
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write('{"data":[{"id":1}]}')
+    assert fetch(d, {}, {}, 1, 1)[0] == -1
+    with pytest.raises(PageError, match="repeated page numbers"):
+        read_records(read_page_files(spark, d), spec())
+
+
+def test_page_numbers_from_file_names(spark):
+    d = tempfile.mkdtemp()
+    for name in ("00017.json", "page-18.v2.json", "page_19.json", "response.json"):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write("{}")
+    assert sorted(r.page for r in read_page_files(spark, d).collect()) == [1, 17, 18, 19]
+    with open(os.path.join(d, "notes-2024.txt"), "w") as fh:
+        fh.write("{}")
+    with pytest.raises(Exception, match="no page number in the name of .*notes-2024.txt"):
+        read_page_files(spark, d).collect()
+
+
+def test_scratch_folders_are_released(spark):
+    from pagelake.session import hadoop_path, release_scratch, shared_dir
+
+    release_scratch(spark)
+    good = spark.createDataFrame([(1, 200, '{"data":[{"id":1}]}')], "page long, status int, body string")
+    assert read_records(good, spec()).count() == 1
+    with pytest.raises(PageError):
+        read_records(good.selectExpr("page", "500 as status", "body"), spec())
+    fs, where = hadoop_path(spark, shared_dir(spark) + "/pagelake/staging")
+    assert len(fs.listStatus(where)) == 1  # of the frame that can still be read
+    release_scratch(spark)
+    assert len(fs.listStatus(where)) == 0
 
 
 def test_landed_flat_files(spark):
     d = folder_with_pages(3, extra={"page-4.json": '{"data":[]}'})
-    back = read_landed_pages(spark, d, glob="page-*.json")
+    back = read_page_files(spark, d, glob="page-*.json")
     assert sorted(r.page for r in back.collect()) == [1, 2, 3, 4]
     assert read_records(back, spec()).count() == 9
 
@@ -139,18 +202,14 @@ def test_pages_roundtrip_property(spark, n, size, parts):
     assert sorted(r.id for r in read_records(pages, spec()).collect()) == list(range(n))
 
 
-def test_row_index_shuffle_join_path(spark, monkeypatch):
-    import pagelake.operators.index as index
-
-    monkeypatch.setattr(index, "BROADCAST_PARTITION_LIMIT", 0)
-    df = spark.range(0, 500, 1, 4).select((F.col("id") + 7).alias("v"))
-    out = index.with_row_index(df, "i")  # no hint: the optimizer picks the join by its size estimate
+def test_row_index_over_a_shuffled_input(spark):
+    df = spark.range(0, 500, 1, 4).select((F.col("id") + 7).alias("v")).repartition("v")
+    out = with_row_index(df, "i")  # the input is written once, so its order cannot change between reads
     assert sorted(r.i for r in out.collect()) == list(range(500))
+    assert sorted(r.v for r in out.collect()) == list(range(7, 507))
 
 
 def test_single_request_through_data_source(spark):
-    from pagelake.operators.pages import PageError, check_pages, page_records
-
     single = dataset_spec({"responsePath": "data", "pagination": {"enabled": False}, "columns": COLS},
                           source="api", name="one")
     d = folder_with_pages(0, extra={"response.json": json.dumps({"data": [{"id": 1}, {"id": 2}]})})
@@ -158,14 +217,14 @@ def test_single_request_through_data_source(spark):
     chk = check_pages(staged, single)
     assert sorted(r.id for r in page_records(staged, chk.stop).collect()) == [1, 2]
     missing = stage_api_pages(spark, SourceSpec("api", base_url=tempfile.mkdtemp()), single)
-    with pytest.raises(PageError, match="status code 404"):
+    with pytest.raises(PageError, match="answered 404"):
         check_pages(missing, single)
 
 
 def test_repeated_index_is_refused(spark):
     df = spark.range(0, 300, 1, 3).select((F.col("id") % 2).alias("k"))
-    with pytest.raises(ValueError, match="not unique"):
-        records_as_pages(df, "data", 100, index="k")
+    with pytest.raises(Exception, match="not unique: page 0 would hold more than 100 records"):
+        records_as_pages(df, "data", 100, index="k").collect()
 
 
 def test_page_predicates_prune_requests(spark):
@@ -217,11 +276,9 @@ def test_http_fetch_retries_transient_failures(monkeypatch):
 
 def test_large_cap_does_not_overfetch(spark):
     d = folder_with_pages(5)
-    staged = stage_api_pages(spark, SourceSpec("api", base_url=d), spec(maxPages=100_000), first_wave=8)
+    staged = stage_api_pages(spark, SourceSpec("api", base_url=d, first_wave=8), spec(maxPages=100_000))
     # one wave of 8 pages holds the end (page 6): nothing beyond it is requested
     assert staged.count() == 8
-    from pagelake.operators.pages import check_pages
-
     assert check_pages(staged, spec(maxPages=100_000)).stop == 6
 
 
