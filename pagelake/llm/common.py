@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.session import hadoop_path, scratch_folder, ship_package
+from pagelake.session import scratch_folder, ship_package, write_bytes
 
 #: The white space that separates words in every contract: space and U+0009 to U+000D.
 WHITE = " \t\n\x0b\x0c\r"
@@ -47,15 +47,8 @@ def shared_file(spark: SparkSession, purpose: str, data: bytes, name: str) -> st
     """Bytes as a file that Spark gives to every executor; the name to ask ``SparkFiles`` for."""
     folder = scratch_folder(spark, purpose)
     name = f"{folder.rsplit('-', 1)[-1]}-{name}"  # Spark knows such files by name, so each gets its own
-    target = f"{folder}/{name}"
-    fs, where = hadoop_path(spark, target)
-    out = fs.create(where)
-    try:
-        for at in range(0, len(data), 1 << 20):
-            out.write(bytearray(data[at:at + (1 << 20)]))
-    finally:
-        out.close()
-    spark.sparkContext.addFile(target)
+    write_bytes(spark, f"{folder}/{name}", data)
+    spark.sparkContext.addFile(f"{folder}/{name}")
     return name
 
 

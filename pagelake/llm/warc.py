@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagelake.llm.common import on_workers, slices, staged
-from pagelake.session import resolve_filesystem, scratch_folder
+from pagelake.session import qualified, resolve_filesystem, scratch_folder
 
 LEAST_BYTES = 100
 #: Bytes after which a task begins another file.
@@ -97,7 +97,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "p
     """
     spark = pages.sparkSession
     on_workers(spark)
-    folder = folder or scratch_folder(spark, "warc")
+    folder = qualified(spark, folder) if folder else scratch_folder(spark, "warc")
     ready = with_revisits(pages.select(id_col, url_col, html_col), id_col, html_col)
     kind = ready.schema[id_col].dataType
     rows_in = ready.select(id_col, url_col, html_col, "_digest", F.col("_leads").isNotNull().alias("_revisit"),
