@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagelake.session import scratch_folder, ship_package, write_bytes
 
@@ -13,6 +14,8 @@ from pagelake.session import scratch_folder, ship_package, write_bytes
 WHITE = " \t\n\x0b\x0c\r"
 #: Bytes of text that one step inside a task handles at a time (a longer text is handled alone).
 SLICE_BYTES = 4 << 20
+#: Rows of a few numbers up to which a table may be sent to all executors (some 30 MB); beyond, joins shuffle.
+SENT_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +46,11 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def small(df: DataFrame, most: int = SENT_ROWS) -> DataFrame:
+    """A written table of a few numbers a row, marked for broadcasting if its counted rows allow it."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def shared_file(spark: SparkSession, purpose: str, data: bytes, name: str) -> str:
     """Bytes as a file that Spark gives to every executor; the name to ask ``SparkFiles`` for."""
     folder = scratch_folder(spark, purpose)

@@ -13,8 +13,7 @@ line is kept, by document id, then place in the text.
 2. Banding: eight bands of four minima find 98.5 % of the pairs at similarity 0.8, and
    99.7 % at 0.85.  Only bands that two different lines share go on.
 3. Verification: all pairs of a bucket of up to :data:`BUCKET` lines are compared exactly.
-   In larger ones all lines are compared with one of them (a pivot); those not
-   linked to it form the next round's bucket with a pivot of their own.
+   Larger ones are connected over a pivot (:func:`crowded_links`), with the same result.
 4. Union-find: :func:`pagelake.llm.graph.connected_components`.
 
 Lines are told apart by their 64-bit hash.  A null text has no lines.  Null ids come
@@ -28,28 +27,21 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import fresh, staged
+from pagelake.llm.common import SENT_ROWS, fresh, small, staged
 from pagelake.llm.graph import connected_components
 
 LEAST_CHARS = 40
 SHINGLE = 8
+#: Shingles that one row of the signature's aggregate takes in.
+AT_ONCE = 4
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
 #: Lines in a bucket up to which all its pairs are compared.
 BUCKET = 16
-#: Rounds of pivots; what is left then is compared pair by pair.
-PIVOT_ROUNDS = 8
-#: Rows up to which a table of two longs may be sent to all executors (16 MB); beyond, joins shuffle.
-SENT_ROWS = 1_000_000
 
 _ANCHORS = [random.Random(1000 + k).getrandbits(64) - (1 << 63) for k in range(BANDS * ROWS)]
 
 
-def small(df: DataFrame, most: int = SENT_ROWS) -> DataFrame:
-    """A written table, marked for broadcasting if its counted rows allow it."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, _row, _at, _line): the lines that count; _row tells texts of one id apart."""
     parts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_row"),
@@ -58,10 +50,10 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shingle_hashes(line: Column) -> Column:
-    """The distinct hashes of a line's shingles."""
+    """The hashes of a line's shingles, by place."""
     raw = line.cast("binary")
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.octet_length(raw) - (SHINGLE - 1)),
-                                        lambda i: F.xxhash64(F.substring(raw, i, F.lit(SHINGLE)))))
+    return F.transform(F.sequence(F.lit(1), F.octet_length(raw) - (SHINGLE - 1)),
+                       lambda i: F.xxhash64(F.substring(raw, i, F.lit(SHINGLE))))
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -71,23 +63,27 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                          F.posexplode(F.split(F.col(text_col), "\n")).alias("_at", "_line"))
     lines = lines.filter(F.length("_line") >= LEAST_CHARS).select(
         "_id", "_row", "_at", F.xxhash64("_line").alias("_node"), F.col("_line").cast("binary").alias("_raw"))
-    places = lines.select("*", F.explode(F.sequence(F.lit(1), F.octet_length("_raw") - (SHINGLE - 1))).alias("_i"))
-    hashed = places.select("_id", "_row", "_at", "_node",
-                           F.xxhash64(F.substring(F.col("_raw"), F.col("_i"), F.lit(SHINGLE))).alias("_h"))
+    last = F.octet_length("_raw") - (SHINGLE - 1)
+    places = lines.select("*", last.alias("_last"), F.explode(F.sequence(F.lit(1), last, F.lit(AT_ONCE))).alias("_i"))
+    # several shingles a row spare look-ups of the row's group; beyond the end the last one repeats, which changes no minimum
+    hashes = [F.xxhash64(F.substring(F.col("_raw"), F.least(F.col("_i") + k, F.col("_last")), F.lit(SHINGLE)))
+              for k in range(AT_ONCE)]
+    hashed = places.select("_id", "_row", "_at", "_node", *[h.alias(f"_h{k}") for k, h in enumerate(hashes)])
     least = hashed.groupBy("_id", "_row", "_at", "_node").agg(
-        *[F.min(F.col("_h").bitwiseXOR(F.lit(a))).alias(f"_m{k}") for k, a in enumerate(_ANCHORS)])
+        *[F.min(F.least(*[F.col(f"_h{n}").bitwiseXOR(F.lit(a)) for n in range(AT_ONCE)])).alias(f"_m{k}")
+          for k, a in enumerate(_ANCHORS)])
     bands = F.array(*[F.xxhash64(F.lit(b), *[f"_m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
     return least.select("_id", "_row", "_at", "_node", bands.alias("_bands"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (u, v, ...) whose lines are similar enough."""
-    a, b = texts.toDF("u", "_x"), texts.toDF("v", "_y")
-    joined = pairs.join(a, "u").join(b, "v")
-    sets = joined.select(*pairs.columns, shingle_hashes(F.col("_x")).alias("_x"), shingle_hashes(F.col("_y")).alias("_y"))
-    both = F.size(F.array_intersect("_x", "_y"))
-    counted = sets.select(*pairs.columns, both.alias("_both"), (F.size("_x") + F.size("_y")).alias("_sum"))
-    return counted.filter(F.col("_both") >= F.lit(SIMILARITY) * (F.col("_sum") - F.col("_both"))).select(*pairs.columns)
+def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose lines are similar enough; ``texts``: node, line, number of distinct shingles."""
+    joined = pairs.join(texts.toDF("u", "_x", "_n_x"), "u").join(texts.toDF("v", "_y", "_n_y"), "v")
+    # similar sets are similar in size; an intersection has each shingle once
+    joined = joined.filter(F.least("_n_x", "_n_y") >= SIMILARITY * F.greatest("_n_x", "_n_y"))
+    both = F.size(F.array_intersect(shingle_hashes(F.col("_x")), shingle_hashes(F.col("_y"))))
+    counted = joined.select("u", "v", both.alias("_both"), (F.col("_n_x") + F.col("_n_y")).alias("_sum"))
+    return counted.filter(F.col("_both") / (F.col("_sum") - F.col("_both")) >= SIMILARITY).select("u", "v")
 
 
 def pairs_within(buckets: DataFrame) -> DataFrame:
@@ -110,36 +106,49 @@ def links(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col:
     buckets = staged(sized(rows.join(small(live), "_band", "left_semi").distinct()), "lines-buckets")
     wanted = staged(buckets.select(F.col("_node").alias("_w")).distinct(), "lines-wanted")
     texts = lines_of(docs, id_col, text_col).select(F.xxhash64("_line").alias("_node"), "_line")
-    texts = staged(texts.join(small(wanted), F.col("_node") == F.col("_w"), "left_semi")
-                   .groupBy("_node").agg(F.first("_line").alias("_line")), "lines-texts")
-
-    found = [staged(verified(pairs_within(buckets.filter(F.col("_n") <= BUCKET)), texts), "lines-links")]
-    crowded = buckets.filter(F.col("_n") > BUCKET).select("_band", "_node")
-    for turn in range(PIVOT_ROUNDS):
-        crowded = staged(crowded, "lines-crowded")
-        if crowded.isEmpty():
-            break
-        pivots = crowded.groupBy("_band").agg(F.min("_node").alias("_pivot"))
-        others = staged(crowded.join(pivots, "_band").filter("_node <> _pivot"), "lines-others")
-        pairs = others.select(F.col("_pivot").alias("u"), F.col("_node").alias("v")).distinct()
-        near = staged(verified(pairs, texts), "lines-links")
-        found.append(near)
-        left = sized(others.join(near, (F.col("_pivot") == F.col("u")) & (F.col("_node") == F.col("v")), "left_anti")
-                     .select("_band", "_node"))
-        left = staged(left, "lines-left")
-        last = turn == PIVOT_ROUNDS - 1
-        some = left if last else left.filter(F.col("_n") <= BUCKET)
-        if last:
-            few = (some.alias("a").join(some.alias("b"), "_band").filter("a._node < b._node")
-                   .select(F.col("a._node").alias("u"), F.col("b._node").alias("v")).distinct())
-        else:
-            few = pairs_within(some)
-        found.append(staged(verified(few, texts), "lines-links"))
-        crowded = left.filter(F.col("_n") > BUCKET).select("_band", "_node")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    texts = texts.join(small(wanted), F.col("_node") == F.col("_w"), "left_semi").groupBy("_node").agg(
+        F.first("_line").alias("_line"))
+    texts = staged(texts.select("*", F.size(F.array_distinct(shingle_hashes(F.col("_line")))).alias("_n")), "lines-texts")
+
+    few = similar(pairs_within(buckets.filter(F.col("_n") <= BUCKET)), texts)
+    found = staged(few, "lines-links")
+    crowded = staged(buckets.filter(F.col("_n") > BUCKET).select("_band", "_node"), "lines-crowded")
+    return found if crowded.isEmpty() else crowded_links(found, crowded, texts)
+
+
+def crowded_links(found: DataFrame, crowded: DataFrame, texts: DataFrame) -> DataFrame:
+    """The edges ``found`` so far, and those of buckets (_band, _node) with many lines.
+
+    A bucket's pivot is the line with the largest share of shingles that other crowded
+    lines have too, the one the others are variants of.  All lines are compared with it.
+    Lines that are not in its component then are compared with every line of the bucket
+    outside their own component, unless the shingles that no other crowded line has rule
+    the similarity out.  That connects what all pairs of the bucket would connect.
+    """
+    own = staged(texts.join(crowded.select("_node").distinct(), "_node", "left_semi"), "lines-crowded")
+    shingles = own.select("_node", F.explode(F.array_distinct(shingle_hashes(F.col("_line")))).alias("_h"))
+    alone = (shingles.groupBy("_h").agg(F.count("*").alias("_in"), F.min("_node").alias("_node")).filter("_in = 1")
+             .groupBy("_node").agg(F.count("*").alias("_alone")))
+    counted = own.join(alone, "_node", "left").select(
+        "_node", "_n", (F.col("_n") - F.coalesce("_alone", F.lit(0))).alias("_common"))
+    members = staged(crowded.join(counted, "_node"), "lines-members")
+    pivots = members.groupBy("_band").agg(F.max(F.struct(F.col("_common") / F.col("_n"), F.col("_node").alias("node")))
+                                          .alias("_best")).select("_band", F.col("_best.node").alias("_pivot"))
+    pivots = staged(pivots, "lines-pivots")
+    star = members.join(pivots, "_band").filter("_node <> _pivot").select(
+        F.least("_node", "_pivot").alias("u"), F.greatest("_node", "_pivot").alias("v"))
+    found = staged(found.unionByName(similar(star.distinct(), texts)), "lines-links")
+
+    parts = small(staged(connected_components(found, "lines-found"), "lines-found"))
+    placed = staged(members.join(parts, F.col("_node") == F.col("node"), "left").select(
+        "_band", "_node", "_n", "_common", F.coalesce("root", "_node").alias("_part")), "lines-placed")
+    main = placed.join(pivots, "_band").filter("_node = _pivot").select("_band", F.col("_part").alias("_main"))
+    out = placed.join(main, "_band").filter("_part <> _main").alias("o")
+    most = F.least("o._common", "m._common")  # shingles that the two lines can share
+    possible = most >= (SIMILARITY - 1e-9) * (F.col("o._n") + F.col("m._n") - most)
+    apart = out.join(placed.alias("m"), (F.col("o._band") == F.col("m._band")) & (F.col("o._part") != F.col("m._part"))
+                     & possible).select(F.least("o._node", "m._node").alias("u"), F.greatest("o._node", "m._node").alias("v"))
+    return found.unionByName(staged(similar(apart.distinct(), texts), "lines-links"))
 
 
 def classed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,6 +185,9 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     cut = (classed(docs, id_col, text_col).filter(~_kept()).groupBy("_id", "_row")
            .agg(F.collect_set("_at").alias("_cut")))
+    cut = staged(cut, "lines-cut")
+    if cut.agg(F.coalesce(F.sum(F.size("_cut") + 1), F.lit(0))).first()[0] <= SENT_ROWS:
+        cut = F.broadcast(cut)  # else the documents are dealt out once more
     row, gone = fresh(docs, "_row"), fresh(docs, "_cut")
     rows = docs.withColumn(row, F.xxhash64(text_col)).alias("d")
     joined = rows.join(cut.alias("c"), F.col(f"d.{id_col}").eqNullSafe(F.col("c._id"))
