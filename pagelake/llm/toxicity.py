@@ -99,7 +99,8 @@ class Model:
     def scores(self, texts: Iterable[str | None]) -> np.ndarray:
         texts = list(texts)
         if not len(self.mean):
-            return np.full(len(texts), 1 / (1 + np.exp(-self.weights[-1])) if np.isfinite(self.weights[-1]) else 0.0)
+            with np.errstate(over="ignore"):
+                return np.full(len(texts), 1 / (1 + np.exp(-self.weights[-1])))
         rows = (np.array([self.features(t) for t in texts]).reshape(len(texts), -1) - self.mean) / self.spread
         return 1 / (1 + np.exp(-np.clip(rows @ self.weights[:-1] + self.weights[-1], -50, 50)))
 
@@ -125,7 +126,7 @@ def trained(samples: list[bytes]) -> bytes:
     """The content of a zstandard dictionary trained on samples (the samples themselves where they are too few)."""
     import zstandard
 
-    if sum(map(len, samples)) > 10 * DICTIONARY_BYTES // 10:
+    if sum(map(len, samples)) > DICTIONARY_BYTES:
         try:
             return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
         except zstandard.ZstdError:
@@ -143,7 +144,8 @@ def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Model
 
 def calibrate(model: Model, rows: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> Model:
     """Fit the score: penalised logistic regression by Newton's method."""
-    model.mean, model.spread = rows.mean(0), rows.std(0) + 1e-9
+    model.mean, model.spread = rows.mean(0), rows.std(0)
+    model.spread[model.spread < 1e-6] = 1.0  # a figure that never varied in the sample
     x = np.column_stack([(rows - model.mean) / model.spread, np.ones(len(rows))])
     w = np.zeros(x.shape[1])
     ridge = np.full(len(w), 1.0)

@@ -19,8 +19,8 @@ def test_held_out_accuracy(spark):
 
 
 def learned():
-    toxic = [prose(k, 40) + " " + w + " " + prose(k + 500, 40) for k, w in enumerate(["vileword", "grimslur"] * 40)]
-    plain = [prose(k + 2000, 80) for k in range(160)]
+    toxic = [prose(k, 9 + k % 50) + " " + w + " " + prose(k + 500, 40) for k, w in enumerate(["vileword", "grimslur"] * 40)]
+    plain = [prose(k + 2000, 40 + k % 60) for k in range(160)]
     return toxicity.fit(toxic + plain, [1] * 80 + [0] * 160)
 
 
