@@ -354,7 +354,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(model)
-        for batch in slices(batches, text_col, 16 << 20):
+        for batch in slices(batches, text_col, 8 << 20):
             found = codec.encode_texts(batch.column(text_col).to_pylist())
             if digests:
                 made = [(n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(
