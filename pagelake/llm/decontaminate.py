@@ -5,8 +5,9 @@ item if a passage of it is within ``MAX_EDITS`` (a share of the item's words) wo
 edits of the item.  At every word of every document begins a window of the size of each
 item:
 
-1. A window must hold nearly all of its words among those of the items of its size, as
-   any leak does (counted with running sums; this loses nothing).
+1. A window must hold nearly all of its words among those of one item of its size, as
+   any leak of it does (running sums over the words of all items, then those of that
+   size, then of each item with repeats; this loses nothing).
 2. Windows and items are embedded by the CGK random walk: a walk over the words that
    moves on or stays by a random bit of (step, word) writes the word it stands on, so
    that few edits become few differing places.  Repeated bit sampling of two places per
@@ -43,6 +44,8 @@ WALKS, SAMPLES, PLACES = 16, 6, 2
 TRIALS = 200
 #: Bytes of text that are searched at a time.
 SEARCHED_BYTES = 16 << 20
+#: Window positions whose running sums are looked at together (they stay in the processor's cache).
+POSITIONS = 1 << 17
 UNKNOWN, END = 0, -1
 
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -69,6 +72,13 @@ class Size:
         self.bits = bits
         self.known = np.zeros(vocabulary + 2, bool)
         self.known[items.ravel() + 1] = True
+        self.counts = []
+        for item in items:
+            own, times = np.unique(item.astype(np.int32), return_counts=True)
+            known = np.zeros(vocabulary + 2, bool)
+            known[own + 1] = True
+            self.counts.append((own, times, known))
+        self.distinct = min(len(own) for own, *_ in self.counts)
         self.places = rng.integers(0, self.length, (WALKS, SAMPLES, PLACES))
         self.base = vocabulary + 2
         self.walks = WALKS
@@ -121,6 +131,24 @@ class Size:
                 return walks
         return WALKS
 
+    def promising(self, windows: np.ndarray) -> np.ndarray:
+        """Which windows hold nearly all of their words among those of one item, as every leak of it does."""
+        least = self.n - self.edits
+        some = np.flatnonzero(self.known[windows + 1].sum(1) >= least)
+        if len(some):
+            ordered = np.sort(windows[some], axis=1)
+            distinct = 1 + (np.diff(ordered, axis=1) != 0).sum(1)
+            some = some[distinct >= self.distinct - self.edits]  # else a few words over and over
+        keep = np.zeros(len(some), bool)
+        if len(some):
+            words = windows[some]
+            for own, times, known in self.counts:  # the words that a window and an item share, repeats included
+                rows = np.flatnonzero(~keep & (known[words + 1].sum(1) >= least))
+                if len(rows):
+                    shared = np.minimum((words[rows][:, :, None] == own).sum(1), times).sum(1)
+                    keep[rows[shared >= least]] = True
+        return some[keep]
+
     def candidates(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (row of windows, item) that agree in some repetition."""
         keys = self.keys(windows)
@@ -169,21 +197,29 @@ class Block:
     def search(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, edits, first word) of every leak; of an item in a text the closest, then the first passage."""
         get = self.vocabulary.get
-        coded = [np.array([get(w, UNKNOWN) for w in words_of(t)], np.int64) for t in texts]
+        coded = [np.array([get(w, UNKNOWN) for w in words_of(t)], np.int32) for t in texts]
         starts = np.cumsum([0, *map(len, coded)])
         reach = max((s.n + s.edits for s in self.sizes), default=0)
-        words = np.concatenate([*coded, np.zeros(reach, np.int64)])
-        total = np.concatenate([[0], np.cumsum(words != UNKNOWN)])
+        words = np.concatenate([*coded, np.zeros(reach, np.int32)])
+        total = np.zeros(len(words) + 1, np.int32)
+        np.cumsum(words != UNKNOWN, out=total[1:])
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for size in self.sizes:
-            least = size.n - size.edits
-            at = np.flatnonzero(total[size.n:starts[-1] + size.n] - total[:starts[-1]] >= least)
+        places: list[list[np.ndarray]] = [[] for _ in self.sizes]
+        for begin in range(0, int(starts[-1]), POSITIONS):  # a part of the running sum at a time, for all sizes
+            end = min(begin + POSITIONS, int(starts[-1]))
+            for size, found in zip(self.sizes, places, strict=True):
+                held = total[begin + size.n:end + size.n] - total[begin:end]
+                found.append(np.flatnonzero(held >= size.n - size.edits) + begin)
+        for size, found in zip(self.sizes, places, strict=True):
+            at = np.concatenate(found) if found else np.zeros(0, np.int64)
+            kept = []
+            for some in np.split(at, range(4096, len(at), 4096)):
+                kept.append(some[size.promising(words[some[:, None] + np.arange(size.n)])])
+            at = np.concatenate(kept)
             for some in np.split(at, range(8192, len(at), 8192)):
-                windows = words[some[:, None] + np.arange(size.n)]
-                full = size.known[windows + 1].sum(1) >= least
-                some, windows = some[full], windows[full]
                 if not len(some):
                     continue
+                windows = words[some[:, None] + np.arange(size.n)]
                 row, item = size.candidates(windows)
                 begin = some[row]
                 text = np.searchsorted(starts, begin, side="right") - 1
