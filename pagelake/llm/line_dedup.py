@@ -12,8 +12,8 @@ line is kept, by document id, then place in the text.
    minima need no further exchange, and equal lines never meet in one task.
 2. Banding: eight bands of four minima find 98.5 % of the pairs at similarity 0.8, and
    99.7 % at 0.85.  Only bands that two different lines share go on.
-3. Verification: the lines of a bucket are connected over one of them, by exact similarity,
-   with the result that comparing all its pairs would have (:func:`links`).
+3. Verification: all pairs of a bucket of up to :data:`BUCKET` lines are compared exactly.
+   Larger ones are connected over a central line (:func:`crowded_links`), with the same result.
 4. Union-find: :func:`pagelake.llm.graph.connected_components`.
 
 Lines are told apart by their 64-bit hash.  A null text has no lines.  Null ids come
@@ -36,6 +36,8 @@ SHINGLE = 8
 AT_ONCE = 4
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
+#: Lines in a bucket up to which all its pairs are compared.
+BUCKET = 16
 
 _ANCHORS = [random.Random(1000 + k).getrandbits(64) - (1 << 63) for k in range(BANDS * ROWS)]
 
@@ -75,31 +77,28 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose lines are similar enough; ``texts``: node, line, number of distinct shingles."""
-    lines = texts.select("_node", "_line", "_n")
-    joined = pairs.join(lines.toDF("u", "_x", "_n_x"), "u").join(lines.toDF("v", "_y", "_n_y"), "v")
-    # an intersection has each shingle once
-    both = F.size(F.array_intersect(shingle_hashes(F.col("_x")), shingle_hashes(F.col("_y"))))
-    counted = joined.select("u", "v", both.alias("_both"), (F.col("_n_x") + F.col("_n_y")).alias("_sum"))
-    return counted.filter(F.col("_both") / (F.col("_sum") - F.col("_both")) >= SIMILARITY).select("u", "v")
+    """The pairs (u, v) whose lines are similar enough; ``texts``: node, line."""
+    lines = texts.select("_node", "_line")
+    joined = pairs.join(lines.toDF("u", "_x"), "u").join(lines.toDF("v", "_y"), "v")
+    sets = joined.select("u", "v", shingle_hashes(F.col("_x")).alias("_x"), shingle_hashes(F.col("_y")).alias("_y"))
+    both, either = F.size(F.array_intersect("_x", "_y")), F.size(F.array_union("_x", "_y"))
+    return sets.select("u", "v", (both / either).alias("_j")).filter(F.col("_j") >= SIMILARITY).select("u", "v")
+
+
+def pairs_within(buckets: DataFrame) -> DataFrame:
+    """All pairs (u, v) of nodes in each bucket (_band, _node), once."""
+    return (buckets.groupBy("_band").agg(F.collect_list("_node").alias("_in"))
+            .select(F.explode(F.expr("flatten(transform(_in, x -> transform(filter(_in, y -> x < y), "
+                                     "y -> struct(x as u, y as v))))")).alias("p")).select("p.u", "p.v").distinct())
 
 
 def sized(buckets: DataFrame) -> DataFrame:
-    """The rows (_band, _node) of buckets of at least two nodes."""
-    several = buckets.groupBy("_band").agg(F.count("*").alias("_n")).filter("_n > 1").select("_band")
-    return buckets.join(several, "_band", "left_semi")
+    """Buckets (_band, _node) of at least two nodes, with the number of nodes ``_n``."""
+    return buckets.join(buckets.groupBy("_band").agg(F.count("*").alias("_n")).filter("_n > 1"), "_band")
 
 
 def links(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Edges (u, v) between different lines, from a written table of signatures.
-
-    A bucket's pivot is the line with the largest share of shingles that other candidate
-    lines have too, the one the others are variants of.  All lines of the bucket are
-    compared with it.  Lines that are not in its component then are compared with every
-    line of the bucket outside their own component.  Pairs are left out where the shingles
-    that no other candidate line has rule the similarity out.  So a bucket connects what
-    all its pairs would connect.
-    """
+    """Verified edges (u, v) between different lines, from a written table of signatures."""
     rows = marked.select("_node", F.explode("_bands").alias("_band"))
     live = staged(rows.groupBy("_band").agg(F.min("_node").alias("_low"), F.max("_node").alias("_high"))
                   .filter("_low < _high").select("_band"), "lines-bands")
@@ -108,15 +107,29 @@ def links(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col:
     texts = lines_of(docs, id_col, text_col).select(F.xxhash64("_line").alias("_node"), "_line")
     texts = staged(texts.join(small(wanted), F.col("_node") == F.col("_w"), "left_semi").groupBy("_node").agg(
         F.first("_line").alias("_line")), "lines-texts")
+    found = staged(similar(pairs_within(buckets.filter(F.col("_n") <= BUCKET)), texts), "lines-links")
+    crowded = staged(buckets.filter(F.col("_n") > BUCKET).select("_band", "_node"), "lines-crowded")
+    return found if crowded.isEmpty() else crowded_links(found, crowded, texts)
 
-    shingles = texts.select("_node", F.explode(F.array_distinct(shingle_hashes(F.col("_line")))).alias("_h"))
-    shingles = shingles.groupBy("_h").agg(F.count("*").alias("_in"), F.min("_node").alias("_node"))
-    alone = shingles.filter("_in = 1").groupBy("_node").agg(F.count("*").alias("_alone"))
-    counted = texts.select("_node", "_line", F.size(F.array_distinct(shingle_hashes(F.col("_line")))).alias("_n"))
-    texts = staged(counted.join(alone, "_node", "left").select(
-        "_node", "_line", "_n", (F.col("_n") - F.coalesce("_alone", F.lit(0))).alias("_common")), "lines-counted")
 
-    members = staged(buckets.join(texts.select("_node", "_n", "_common"), "_node"), "lines-members")
+def crowded_links(found: DataFrame, crowded: DataFrame, texts: DataFrame) -> DataFrame:
+    """The edges ``found`` so far, and those of buckets (_band, _node) with many lines.
+
+    A bucket's pivot is the line with the largest share of shingles that other crowded
+    lines have too, the one the others are variants of.  All lines are compared with it.
+    Lines that are not in its component then are compared with every line of the bucket
+    outside their own component.  Pairs are left out where the shingles that no other
+    crowded line has rule the similarity out.  That connects what all pairs of the
+    bucket would connect.
+    """
+    own = staged(texts.join(crowded.select("_node").distinct(), "_node", "left_semi"), "lines-crowded")
+    shingles = own.select("_node", F.explode(shingle_hashes(F.col("_line"))).alias("_h"))
+    alone = (shingles.groupBy("_h").agg(F.min("_node").alias("_node"), F.max("_node").alias("_other"))
+             .filter("_node = _other").groupBy("_node").agg(F.count("*").alias("_alone")))
+    counted = own.select("_node", F.size(F.array_distinct(shingle_hashes(F.col("_line")))).alias("_n"))
+    counted = counted.join(alone, "_node", "left").select(
+        "_node", "_n", (F.col("_n") - F.coalesce("_alone", F.lit(0))).alias("_common"))
+    members = staged(crowded.join(counted, "_node"), "lines-members")
     best = F.max(F.struct((F.col("_common") / F.col("_n")).alias("share"), F.col("_node").alias("node"),
                           F.col("_n").alias("n"), F.col("_common").alias("common")))
     pivots = staged(members.groupBy("_band").agg(best.alias("p")).select(
@@ -124,7 +137,7 @@ def links(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col:
         "lines-pivots")
     m, p = members.alias("m"), pivots.alias("p")
     star = m.join(p, (F.col("m._band") == F.col("p._band")) & (F.col("m._node") != F.col("p._node")) & _possible("m", "p"))
-    found = staged(similar(_pairs(star, "m", "p"), texts), "lines-links")
+    found = staged(found.unionByName(similar(_pairs(star, "m", "p"), texts)), "lines-links")
 
     parts = staged(connected_components(found, "lines-found"), "lines-found")
     placed = members.join(small(parts), F.col("_node") == F.col("node"), "left").select(
