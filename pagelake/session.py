@@ -152,7 +152,9 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(folder, f)
                     zf.write(full, os.path.relpath(full, os.path.dirname(root)))
-    target = f"{scratch_folder(spark, 'code')}/pagelake.zip"
+    folder = scratch_folder(spark, "code")
+    _SCRATCH[sc.applicationId].discard(folder)  # executors that start later fetch it: it stays until the end
+    target = f"{folder}/pagelake.zip"
     write_bytes(spark, target, buf.getvalue())
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
