@@ -55,3 +55,17 @@ def test_learning_sample_is_bounded_and_held_out_rows_are_not_used(spark, monkey
     assert all(zlib.crc32(t.split()[1].encode()) % 5 for t in seen["t"])
     used = [k for k in range(100) if zlib.crc32(str(k).encode()) % 5]
     assert abs(seen["s"] - np.mean([k % 4 == 0 for k in used])) < 1e-9
+
+
+def test_recall_of_minority_languages(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", n) for n in ("documents", "labels"))
+    rows = toxicity.score_documents(docs, toxicity.learn(docs, labels)).join(labels, "doc_id").join(
+        docs.select("doc_id", "lang"), "doc_id").filter("held_out and toxic = 1").distinct().collect()
+    for lang in ("en", "de", "fr", "es"):
+        assert np.mean([r.predicted for r in rows if r.lang == lang]) > 0.5, lang
+
+
+def test_typical_words_do_not_depend_on_the_commonest():
+    own = [[b"insult"]] * 185 + [[b"rareslur"]] * 15
+    other = [[b"plain"]] * 1000
+    assert toxicity.typical_words(own, other) == {b"insult", b"rareslur"}
