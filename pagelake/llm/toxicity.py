@@ -166,7 +166,7 @@ def dictionaries(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Model
     """The two dictionaries of a labelled sample."""
     typical = typical_words(toxic, ordinary)
     samples = [w for words in toxic for w in windows([x for x in words if x in typical], 8) if w.strip()]
-    plain = [w for words in ordinary for w in windows(words, 8)[:10] if w.strip()]
+    plain = [w for words in ordinary for w in windows(words, 8) if w.strip()]
     return Model(trained(plain), trained(samples))
 
 

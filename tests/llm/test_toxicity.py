@@ -69,3 +69,9 @@ def test_typical_words_do_not_depend_on_the_commonest():
     own = [[b"insult"]] * 185 + [[b"rareslur"]] * 15
     other = [[b"plain"]] * 1000
     assert toxicity.typical_words(own, other) == {b"insult", b"rareslur"}
+
+
+def test_dictionaries_see_whole_texts():
+    late = [toxicity.words_of(prose(k, 300) + " latecoming passage of every ordinary text") for k in range(200)]
+    model = toxicity.dictionaries([[b"insult"]] * 40, late)
+    assert b"LATECOMI" in model.ordinary
