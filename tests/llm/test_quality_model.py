@@ -88,6 +88,15 @@ def test_junk_goes_and_clean_documents_stay(spark):
     assert np.mean(junk) < 0.2
 
 
+def test_unseen_clean_documents_of_rare_languages_stay(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    good = labels.filter("quality = 1").join(docs.select("doc_id", "lang"), "doc_id").filter("lang = 'es'")
+    ids = sorted({r.doc_id for r in good.collect()})
+    hidden = ids[:len(ids) // 2]
+    rows = q.classify(docs, labels.filter(~labels.doc_id.isin(hidden))).filter("lang = 'es'").collect()
+    assert np.mean([r.kept for r in rows if r.doc_id in set(hidden)]) > 0.85
+
+
 def test_odd_rows(spark):
     docs = documents(spark, odd_rows())
     labels = spark.createDataFrame([(4, 1), (8, 1), (None, 1), (5, None)], "doc_id long, quality int")
