@@ -13,7 +13,9 @@ item:
    that few edits become few differing places.  Repeated bit sampling of two places per
    repetition gives candidates.  The number of repetitions is chosen, size by size, by
    embedding randomly edited copies of the items until :data:`TARGET_RECALL` of them,
-   with the most edits allowed, are found.
+   with the most edits allowed, are found.  For a size (long items) of which :data:`WALKS`
+   walks do not find that share, every window and item that pass the first step are
+   candidates, so no leak is lost.
 3. Candidates are verified by the exact edit distance.
 
 The benchmark is the stated query set; it is read in blocks of at most
@@ -46,6 +48,8 @@ TRIALS = 200
 SEARCHED_BYTES = 16 << 20
 #: Window positions whose running sums are looked at together (they stay in the processor's cache).
 POSITIONS = 1 << 17
+#: Words of windows times words of an item that are compared at a time.
+COMPARED = 1 << 26
 UNKNOWN, END = 0, -1
 
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -109,7 +113,7 @@ class Size:
         return np.stack(keys, axis=1)
 
     def enough(self, own: np.ndarray, rng: np.random.Generator) -> int:
-        """How many walks find the target share of randomly edited copies."""
+        """How many walks find the target share of randomly edited copies; 0 if :data:`WALKS` do not."""
         pick = random.Random(int(rng.integers(1 << 30)))
         which = [pick.randrange(len(self.items)) for _ in range(TRIALS)]
         copies = np.full((TRIALS, self.n), UNKNOWN, np.int64)
@@ -126,10 +130,10 @@ class Size:
             words = words[:self.n]
             copies[t, :len(words)] = words
         hit = self.keys(copies) == own[which]
-        for walks in range(2, WALKS):
+        for walks in range(2, WALKS + 1):
             if hit[:, :walks * SAMPLES].any(1).mean() >= TARGET_RECALL:
                 return walks
-        return WALKS
+        return 0
 
     def promising(self, windows: np.ndarray) -> np.ndarray:
         """Which windows hold nearly all of their words among those of one item, as every leak of it does."""
@@ -142,17 +146,28 @@ class Size:
         keep = np.zeros(len(some), bool)
         if len(some):
             words = windows[some]
-            for own, times, known in self.counts:  # the words that a window and an item share, repeats included
-                rows = np.flatnonzero(~keep & (known[words + 1].sum(1) >= least))
-                if len(rows):
-                    shared = np.minimum((words[rows][:, :, None] == own).sum(1), times).sum(1)
-                    keep[rows[shared >= least]] = True
+            for item in range(len(self.counts)):
+                rest = np.flatnonzero(~keep)
+                keep[rest[self.holding(words[rest], item)]] = True
         return some[keep]
 
+    def holding(self, windows: np.ndarray, item: int) -> np.ndarray:
+        """The windows that share nearly all words with an item, repeats included."""
+        own, times, known = self.counts[item]
+        least = self.n - self.edits
+        rows = np.flatnonzero(known[windows + 1].sum(1) >= least)
+        step = max(1, COMPARED // (self.n * len(own)))
+        found = [some[np.minimum((windows[some][:, :, None] == own).sum(1), times).sum(1) >= least]
+                 for some in np.split(rows, range(step, len(rows), step))]
+        return np.concatenate(found)
+
     def candidates(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (row of windows, item) that agree in some repetition."""
-        keys = self.keys(windows)
-        pairs = [np.flatnonzero((keys == own).any(1)) for own in self.own]
+        """Pairs (row of windows, item) that agree in some repetition, or all that :meth:`holding` lets through."""
+        if self.walks:
+            keys = self.keys(windows)
+            pairs = [np.flatnonzero((keys == own).any(1)) for own in self.own]
+        else:
+            pairs = [self.holding(windows, item) for item in range(len(self.items))]
         return (np.concatenate(pairs) if pairs else np.zeros(0, np.int64),
                 np.repeat(np.arange(len(pairs)), [len(p) for p in pairs]))
 

@@ -54,6 +54,23 @@ def test_recall_at_the_most_edits():
     assert found / tried >= 0.95
 
 
+def test_long_items_are_found_at_the_most_edits():
+    rnd = random.Random(5)
+    for n in (500, 1000):
+        item = [f"w{rnd.randrange(5000)}" for _ in range(n)]
+        texts = [" ".join(edited(item, d.edits_allowed(n), rnd)) for _ in range(25)]
+        block = d.Block([d.words_of(" ".join(item))])
+        size = block.sizes[0]
+        windows = []
+        for text in texts:
+            words = [block.vocabulary.get(w, d.UNKNOWN) for w in d.words_of(text)][:n]
+            windows.append(words + [d.UNKNOWN] * (n - len(words)))
+        row, _ = size.candidates(np.array(windows))
+        assert len(set(row.tolist())) == len(texts)
+        if n == 500:
+            assert {t for t, *_ in block.search(texts[:1])} == {0}
+
+
 def test_whole_table_against_brute_force(spark):
     docs, bench = table(spark, SF, "documents"), table(spark, SF, "benchmark")
     got = {(r.doc_id, r.item_id): r for r in d.find_leaks(docs, bench).collect()}
