@@ -28,7 +28,7 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove lines that are nearly equal to an earlier line of the corpus."""
-    return line_dedup.clean_documents(docs)
+    return line_dedup.clean_documents(docs, least_chars=0)
 
 
 def deduplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

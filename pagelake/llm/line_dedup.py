@@ -1,9 +1,9 @@
 """Fuzzy line deduplication by MinHash, with DataFrame functions only.
 
-Lines (split at ``\\n``) of at least :data:`LEAST_CHARS` characters count; shorter ones
-(headings, closings, empty lines) are always kept.  Two lines are linked if the Jaccard
-similarity of their character shingles (every eight bytes of the UTF-8 form) is at least
-:data:`SIMILARITY`; equal lines are one node from the start.  Of every component the first
+Lines (split at ``\\n``) of at least ``least_chars`` characters count; with 0, as in the
+queries, all do but blank ones, which are always kept.  Two lines are linked if the Jaccard
+similarity of their character shingles (every eight bytes of the UTF-8 form; the line itself if it is
+shorter) is at least :data:`SIMILARITY`; equal lines are one node from the start.  Of every component the first
 line is kept, by document id, then place in the text.
 
 1. Signatures: a line's shingles are hashed once (XXH64).  Of each of 32 fixed numbers,
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pagelake.llm.common import SENT_ROWS, fresh, small, staged
 from pagelake.llm.graph import connected_components
 
+#: The least characters of a line that counts, where the caller sets no other; the queries set 0.
 LEAST_CHARS = 40
 SHINGLE = 8
 #: Shingles that one row of the signature's aggregate takes in.
@@ -42,30 +43,38 @@ BUCKET = 16
 _ANCHORS = [random.Random(1000 + k).getrandbits(64) - (1 << 63) for k in range(BANDS * ROWS)]
 
 
-def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def counts(line: Column, least_chars: int) -> Column:
+    """Whether a line counts: long enough and not blank."""
+    return (F.length(line) >= least_chars) & line.rlike(r"\S")
+
+
+def lines_of(docs: DataFrame, id_col: str, text_col: str, least_chars: int = LEAST_CHARS) -> DataFrame:
     """(id, _row, _at, _line): the lines that count; _row tells texts of one id apart."""
     parts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_row"),
                         F.posexplode(F.split(F.col(text_col), "\n")).alias("_at", "_line"))
-    return parts.filter(F.length("_line") >= LEAST_CHARS)
+    return parts.filter(counts(F.col("_line"), least_chars))
 
 
 def shingles_of(line: Column) -> Column:
     """A line's shingles by place: every eight bytes of its UTF-8 form, each byte as one character.
 
     One look-ahead pattern cuts them all, many times faster than a lambda over places.
+    A line of fewer bytes is its only shingle.
     """
-    return F.regexp_extract_all(F.decode(line.cast("binary"), "ISO-8859-1"),
-                                F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
+    signs = F.decode(line.cast("binary"), "ISO-8859-1")
+    return F.when(F.octet_length(line) < SHINGLE, F.array(signs)).otherwise(
+        F.regexp_extract_all(signs, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1)))
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               least_chars: int = LEAST_CHARS) -> DataFrame:
     """(_id, _row, _at, _node, _bands): every line that counts, its hash and its band keys."""
     dealt = docs.select(F.col(id_col), F.col(text_col), F.xxhash64(text_col).alias("_row")).repartition(id_col, "_row")
     lines = dealt.select(F.col(id_col).alias("_id"), "_row",
                          F.posexplode(F.split(F.col(text_col), "\n")).alias("_at", "_line"))
-    lines = lines.filter(F.length("_line") >= LEAST_CHARS).select(
+    lines = lines.filter(counts(F.col("_line"), least_chars)).select(
         "_id", "_row", "_at", F.xxhash64("_line").alias("_node"), F.col("_line").cast("binary").alias("_raw"))
-    last = F.octet_length("_raw") - (SHINGLE - 1)
+    last = F.greatest(F.octet_length("_raw") - (SHINGLE - 1), F.lit(1))
     places = lines.select("*", last.alias("_last"), F.explode(F.sequence(F.lit(1), last, F.lit(AT_ONCE))).alias("_i"))
     # several shingles a row spare look-ups of the row's group; beyond the end the last one repeats, which changes no minimum
     hashes = [F.xxhash64(F.substring(F.col("_raw"), F.least(F.col("_i") + k, F.col("_last")), F.lit(SHINGLE)))
@@ -102,14 +111,15 @@ def sized(buckets: DataFrame) -> DataFrame:
     return buckets.join(buckets.groupBy("_band").agg(F.count("*").alias("_n")).filter("_n > 1"), "_band")
 
 
-def links(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def links(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          least_chars: int = LEAST_CHARS) -> DataFrame:
     """Verified edges (u, v) between different lines, from a written table of signatures."""
     rows = marked.select("_node", F.explode("_bands").alias("_band"))
     live = staged(rows.groupBy("_band").agg(F.min("_node").alias("_low"), F.max("_node").alias("_high"))
                   .filter("_low < _high").select("_band"), "lines-bands")
     buckets = staged(sized(rows.join(small(live), "_band", "left_semi").distinct()), "lines-buckets")
     wanted = staged(buckets.select(F.col("_node").alias("_w")).distinct(), "lines-wanted")
-    texts = lines_of(docs, id_col, text_col).select(F.xxhash64("_line").alias("_node"), "_line")
+    texts = lines_of(docs, id_col, text_col, least_chars).select(F.xxhash64("_line").alias("_node"), "_line")
     texts = staged(texts.join(small(wanted), F.col("_node") == F.col("_w"), "left_semi").groupBy("_node").agg(
         F.first("_line").alias("_line")), "lines-texts")
     found = staged(similar(pairs_within(buckets.filter(F.col("_n") <= BUCKET)), texts), "lines-links")
@@ -170,10 +180,11 @@ def _pairs(joined: DataFrame, a: str, b: str) -> DataFrame:
                          F.greatest(f"{a}._node", f"{b}._node").alias("v")).distinct()
 
 
-def classed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def classed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            least_chars: int = LEAST_CHARS) -> DataFrame:
     """(_id, _row, _at, _first): every line that counts, and the first line (``no_id, id, row, at``) of its component."""
-    marked = staged(signatures(docs, id_col, text_col), "lines-signatures")
-    parts = connected_components(links(docs, marked, id_col, text_col), "lines")
+    marked = staged(signatures(docs, id_col, text_col, least_chars), "lines-signatures")
+    parts = connected_components(links(docs, marked, id_col, text_col, least_chars), "lines")
     placed = marked.select("_id", "_row", "_at", "_node").join(
         small(parts), F.col("_node") == F.col("node"), "left").select(
         "_id", "_row", "_at", F.coalesce("root", "_node").alias("_part"))
@@ -189,20 +200,21 @@ def _kept() -> Column:
             & (F.col("_first.at") == F.col("_at")))
 
 
-def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 least_chars: int = LEAST_CHARS) -> DataFrame:
     """One row per line that counts: document id, ``line`` (from 0), id and line of its class's first line, ``kept``."""
-    return classed(docs, id_col, text_col).select(
+    return classed(docs, id_col, text_col, least_chars).select(
         F.col("_id").alias(id_col), F.col("_at").alias("line"), F.col("_first.id").alias("class_doc_id"),
         F.col("_first.at").alias("class_line"), _kept().alias("kept"))
 
 
 def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    chars_col: str | None = "n_chars") -> DataFrame:
+                    chars_col: str | None = "n_chars", least_chars: int = LEAST_CHARS) -> DataFrame:
     """The documents without the lines that repeat an earlier one; all rows and columns stay.
 
     ``chars_col``, where the table has it, is set to the new length of changed texts.
     """
-    cut = (classed(docs, id_col, text_col).filter(~_kept()).groupBy("_id", "_row")
+    cut = (classed(docs, id_col, text_col, least_chars).filter(~_kept()).groupBy("_id", "_row")
            .agg(F.collect_set("_at").alias("_cut")))
     cut = staged(cut, "lines-cut")
     if cut.agg(F.coalesce(F.sum(F.size("_cut") + 1), F.lit(0))).first()[0] <= SENT_ROWS:

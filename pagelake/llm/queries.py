@@ -47,7 +47,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_classes(table(spark, sf_dir, "documents"))
+    return line_dedup.line_classes(table(spark, sf_dir, "documents"), least_chars=0)
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
