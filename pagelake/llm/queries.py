@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import bpe, decontaminate, line_dedup, pii, quality_model, quality_rules, secrets, simhash, toxicity, warc
+from pagelake.llm import (bpe, decontaminate, language_id, line_dedup, pii, quality_model, quality_rules, secrets, simhash,
+                          toxicity, warc)
 from pagelake.llm.common import table
 
 
@@ -63,6 +64,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary_path(), digests=True)
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.learn(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_model": op1_quality_model,
     "op2_decontaminate": op2_decontaminate,
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
+    "op11_language_id": op11_language_id,
 }
 
 

@@ -1,0 +1,134 @@
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+from cases import SF, documents, odd_rows
+from pyspark.sql import functions as F
+
+from pagelake.llm import language_id as L
+from pagelake.llm.common import staged, table
+
+TEXTS = {"aa": ["The inner thing was on their hand, the line held.", "open doors of that house, again and again"],
+         "bb": ["Der innere Kreis war über den Dächern größer", "die Häuser der alten Straße sind über dem Fluss"]}
+
+
+class Definition:
+    """Interpolated Kneser-Ney over the symbols of words, straight from its formula."""
+
+    def __init__(self, texts, order, symbols):
+        self.order, self.symbols = order, symbols
+        grams = Counter()
+        for t in texts:
+            for w in L.words_of(t):
+                s = L.START * (order - 1) + w + L.END
+                grams.update(s[i - order + 1:i + 1] for i in range(order - 1, len(s)))
+        self.n = {order: grams}
+        for k in range(order - 1, 0, -1):
+            lower = Counter()
+            for g, n in self.n[k + 1].items():
+                lower[g[1:]] += n if g[1:].startswith(L.START) else 1
+            self.n[k] = lower
+        self.mass, self.kinds = defaultdict(int), defaultdict(int)
+        self.d = {}
+        for k, counts in self.n.items():
+            once, twice = (sum(1 for n in counts.values() if n == x) for x in (1, 2))
+            self.d[k] = min(0.9, once / (once + 2 * twice)) if once else 0.5
+            for g, n in counts.items():
+                self.mass[g[:-1]] += n
+                self.kinds[g[:-1]] += 1
+
+    def p(self, g):
+        if not g:
+            return 1 / self.symbols
+        h, d = g[:-1], self.d[len(g)]
+        below = self.p(g[1:])
+        if not self.mass[h]:
+            return below
+        return (max(self.n[len(g)][g] - d, 0) + d * self.kinds[h] * below) / self.mass[h]
+
+    def log_p(self, text):
+        total = 0
+        for w in L.words_of(text):
+            s = L.START * (self.order - 1) + w + L.END
+            total += sum(math.log(self.p(s[i - self.order + 1:i + 1])) for i in range(self.order - 1, len(s)))
+        return total
+
+
+def model_of(spark, texts, order=4, shard_entries=L.SHARD_ENTRIES):
+    L.on_workers(spark)
+    rows = spark.createDataFrame([(lang, t) for lang, some in texts.items() for t in some], "lang string, text string")
+    counts = L.adjusted_counts(staged(L.count_grams(rows, "lang", "text", order), "counts"), order)
+    symbols = counts[1].select("gram").distinct().count() + 1
+    return L.write_model(spark, L.probabilities(counts, order, symbols), tuple(sorted(texts)), order, symbols, shard_entries)
+
+
+def test_scores_follow_the_definition(spark):
+    asked = ["their house, again", "über Häuser", "zzz qqq ¼x", "inner innere", "", "日本 the"]
+    for order in (2, 4):
+        symbols = len({c for t in TEXTS.values() for x in t for c in "".join(L.words_of(x))}) + 2  # end mark, unseen
+        plain = [Definition(TEXTS[lang], order, symbols) for lang in sorted(TEXTS)]
+        for entries in (L.SHARD_ENTRIES, 20):  # one file, many files
+            model = model_of(spark, TEXTS, order, entries)
+            assert model.symbols == symbols and (len(model.shards) > 4) == (entries == 20)
+            got = L.Scorer(model).totals(asked)
+            for text, row in zip(asked, got, strict=True):
+                np.testing.assert_allclose(row[:-1], [d.log_p(text) for d in plain], rtol=1e-4)
+                assert row[-1] == sum(len(w) + 1 for w in L.words_of(text))
+
+
+def test_probabilities_sum_to_one():
+    plain = Definition(TEXTS["aa"], 3, 40)
+    seen = {g[-1] for g in plain.n[1]}
+    for h in ("", L.START * 2, "th", "in"):
+        assert abs(sum(plain.p(h + c) for c in seen) + (40 - len(seen)) * plain.p(h + "~") - 1) < 1e-9
+
+
+def test_packing_is_exact():
+    rnd = np.random.default_rng(1)
+    for top in (40, 0x10FFFF):
+        grams = rnd.integers(1, top, (5000, 4), dtype=np.uint32)
+        grams[2500:] = grams[:2500]
+        distinct, number = L.packed(grams)
+        assert (distinct[number] == grams).all() and len({tuple(g) for g in grams.tolist()}) == len(distinct)
+
+
+def test_whole_table(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = L.learn(docs)
+    rows = L.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    unseen = [r for r in rows if r.held_out]
+    assert len(rows) == docs.count() and len(unseen) > 200
+    assert sum(r.lang == r.lang_pred for r in unseen) >= 0.99 * len(unseen)
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert sum(r.accepted for r in unseen) > 0.97 * len(unseen)
+    import zlib
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+
+
+def test_labels_of_held_out_rows_do_not_matter(spark):
+    docs = table(spark, SF, "documents")
+    other = docs.withColumns({"lang": F.when(L.held_out("doc_id"), F.lit("xx")).otherwise(F.col("lang")),
+                              "source": F.lit("s")})
+    a = {r.doc_id: (r.lang_pred, r.score) for r in L.predict(docs, L.learn(docs)).collect()}
+    b = {r.doc_id: (r.lang_pred, r.score) for r in L.predict(other, L.learn(other)).collect()}
+    assert a == b
+
+
+def test_strange_text_is_rejected(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = L.learn(docs)
+    strange = spark.createDataFrame([(1, "xq zvk qqj wxkz jjvq kqzx " * 20), (2, "ж щ ы эюя " * 30)], "doc_id long, text string")
+    assert not any(r.accepted for r in L.predict(strange, model).collect())
+
+
+def test_odd_rows(spark):
+    docs = documents(spark, odd_rows())
+    rows = L.predict(docs, L.learn(docs)).collect()
+    assert len(rows) == len(odd_rows())
+    by_id = {r.doc_id: r for r in rows if r.doc_id is not None}
+    for i in (1, 2, 3):
+        assert by_id[i].lang_pred == "und" and by_id[i].score == 0 and not by_id[i].accepted
+    assert by_id[8].lang_pred == "en" and not [r for r in rows if r.doc_id is None and r.held_out]
+    empty = docs.limit(0)
+    assert L.learn(empty) is None and L.predict(empty, None).collect() == []
+    assert {r.lang_pred for r in L.predict(docs, None).collect()} == {"und"}
