@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pagelake.llm import (bpe, decontaminate, language_id, line_dedup, pii, quality_model, quality_rules, secrets, simhash,
-                          toxicity, warc)
+                          spelling, toxicity, warc)
 from pagelake.llm.common import table
 
 
@@ -69,6 +69,10 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.learn(docs))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), damage=spelling.DAMAGE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_model": op1_quality_model,
     "op2_decontaminate": op2_decontaminate,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
     "op11_language_id": op11_language_id,
+    "op13_spelling": op13_spelling,
 }
 
 
