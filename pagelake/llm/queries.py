@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagelake.llm import (bpe, decontaminate, language_id, line_dedup, pii, quality_model, quality_rules, secrets, simhash,
-                          spelling, toxicity, warc)
+from pagelake.llm import (bpe, conversation_trie, decontaminate, language_id, line_dedup, pii, quality_model,
+                          quality_rules, secrets, simhash, spelling, toxicity, warc)
 from pagelake.llm.common import table
 
 
@@ -69,6 +69,10 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.learn(docs))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"), rebuild=True)
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"), damage=spelling.DAMAGE)
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
     "op11_language_id": op11_language_id,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_spelling": op13_spelling,
 }
 
@@ -142,7 +147,44 @@ SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} *
 FROM counted"""
 
 
+_TRIE = """
+WITH ids AS (
+  SELECT conv_id, list_reduce([4294967295::UBIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT),
+         lambda crc, byte: list_reduce([xor(crc, byte)] || list_transform(range(8), lambda x: x::UBIGINT),
+                                       lambda v, bit: xor(v >> 1, (v & 1) * 3988292384::UBIGINT))) AS crc
+  FROM (SELECT DISTINCT conv_id::BIGINT AS conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS lead, xor(crc, 4294967295::UBIGINT) % 6 AS h FROM ids),
+turns AS (
+  SELECT conv_id, id, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS pos
+  FROM (SELECT conv_id::BIGINT AS conv_id, turn, length(coalesce(text, '')) AS size,
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))[:32] AS id
+        FROM conversations WHERE conv_id IS NOT NULL)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, pos, id, size FROM convs c JOIN turns t ON t.conv_id = c.lead AND pos <= h
+  UNION ALL SELECT conv_id, 1, pos, id, size FROM convs JOIN turns USING (conv_id) WHERE pos > h),
+paths AS (
+  SELECT conv_id, size, row_number() OVER w AS depth, string_agg(id, '') OVER w AS path
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+last AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+ended AS (SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends
+          FROM paths JOIN last USING (conv_id, depth) GROUP BY path),
+nodes AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size
+          FROM paths GROUP BY path, depth),
+kids AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+shaped AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.path = n.path),
+under AS (
+  SELECT left(path, 32 * d) AS path, count(*) FILTER (n_children = 0) AS n_leaves,
+         CAST(sum((n_convs - 1) * size) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM shaped) GROUP BY 1)
+SELECT s.conv_id, s.depth, p.conv_id AS parent_conv_id, s.n_convs, s.n_children, n_leaves, saved_tokens,
+       coalesce(ends, sha256('')) AS ends_sha256
+FROM shaped s JOIN under u ON u.path = s.path LEFT JOIN ended e ON e.path = s.path
+LEFT JOIN nodes p ON s.depth > 0 AND p.path = left(s.path, 32 * (s.depth - 1))"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_conversation_trie": _TRIE,
     "op8_warc": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha256(coalesce(html, '')) AS d FROM pages),
 led AS (SELECT *, CASE WHEN octet_length(b) >= 100 THEN min(page_id) OVER (PARTITION BY d) END AS lead FROM p)
