@@ -183,15 +183,29 @@ def _end_page(flags: DataFrame) -> DataFrame:
     return flags.agg(F.min(F.when(F.col(EMPTY), F.col(PAGE))).alias(_STOP))
 
 
+def page_set(flags: DataFrame, *more: Column) -> DataFrame:
+    """Page numbers as a set that merges: one row per ``bucket`` of 32,768 numbers, with the bitmap ``seen`` of those
+    that occur, how many rows have one (``n``), and the ``more`` aggregates.
+
+    Tasks send a bitmap of 4 KB for each bucket they meet, never the numbers.
+    """
+    bucket = F.bitmap_bucket_number(F.col(PAGE)).alias("bucket")
+    return flags.groupBy(bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(PAGE))).alias("seen"),
+                                     F.count(F.lit(1)).alias("n"), *more)
+
+
 def _summary(kept: DataFrame) -> DataFrame:
     """One row over the pages before the end: counts, page range, records, first bad page."""
-    return kept.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct(F.col(PAGE)).alias("n_distinct"),
-        F.min(PAGE).alias("lo"),
-        F.max(PAGE).alias("hi"),
-        F.coalesce(F.sum(N_RECORDS), F.lit(0)).alias("records"),
-        F.min(F.when(F.col(BAD), F.col(PAGE))).alias("first_bad"),
+    buckets = page_set(kept, F.min(PAGE).alias("lo"), F.max(PAGE).alias("hi"), F.sum(N_RECORDS).alias("records"),
+                       F.min(F.when(F.col(BAD), F.col(PAGE))).alias("first_bad"))
+    return buckets.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        # a page without number has no place in a bitmap, so it counts as a repeated one
+        F.coalesce(F.sum(F.bitmap_count("seen")), F.lit(0)).alias("n_distinct"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.coalesce(F.sum("records"), F.lit(0)).alias("records"),
+        F.min("first_bad").alias("first_bad"),
     )
 
 

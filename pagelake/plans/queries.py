@@ -321,6 +321,36 @@ def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _audited_view(spark.table(result.table))
 
 
+def sink_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same dataset loaded twice: the second load has other rows, and the table is pointed at them."""
+    ds = spec("loaded_twice", EVENTS)
+    ingest(spark, ds, pages=event_pages(spark, sf_dir), layer=LAYER)
+    result = ingest(spark, ds, pages=_with_middle_stop(event_pages(spark, sf_dir)), layer=LAYER)
+    return _audited_view(spark.table(result.table))
+
+
+class _SwitchFails(CatalogTarget):
+    """A target that looks for a finished load in the wrong place when it makes its table."""
+
+    def _create(self, spark: SparkSession, name: str, folder: str) -> None:
+        super()._create(spark, name, folder + "/gone")
+
+
+def sink_failed_switch_keeps_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load customer, then let the switch to a finished load of orders (other columns) fail: the customer load stays."""
+    first = records_as_pages(table(spark, sf_dir, "customer"), KEY, PAGE_SIZE, index="c_custkey")
+    result = ingest(spark, spec("switched_accounts", CUSTOMER_FALLBACK), pages=first, layer=LAYER)
+    second = records_as_pages(table(spark, sf_dir, "orders"), KEY, PAGE_SIZE, index="o_orderkey")
+    try:
+        ingest(spark, spec("switched_accounts", ORDERS_PARTIAL), pages=second, layer=LAYER, target=_SwitchFails())
+    except Exception as failure:
+        if "UNABLE_TO_INFER_SCHEMA" not in str(failure):
+            raise
+    else:
+        raise AssertionError("the switch was to fail")
+    return _audited_view(spark.table(result.table))
+
+
 RUN_CONFIG = {
     "sources": {
         SOURCE: {
@@ -378,6 +408,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_documents": ingest_documents,
     "sink_overwrite": sink_overwrite,
     "sink_failed_load_keeps_table": sink_failed_load_keeps_table,
+    "sink_load_twice": sink_load_twice,
+    "sink_failed_switch_keeps_table": sink_failed_switch_keeps_table,
     "sql_parameters": sql_parameters,
     "multi_dataset_run": multi_dataset_run,
 }
@@ -437,6 +469,10 @@ ORACLES: dict[str, str] = {
         "CAST(n_regionkey AS INTEGER) AS n_regionkey FROM nation" for r in ("request", "file")),
     "sink_failed_load_keeps_table": f"SELECT {_CUSTOMER_FALLBACK}, {_CUSTOMER_FALLBACK_HASH} AS _rowHash, "
                                     "true AS has_ts FROM customer",
+    "sink_failed_switch_keeps_table": f"SELECT {_CUSTOMER_FALLBACK}, {_CUSTOMER_FALLBACK_HASH} AS _rowHash, "
+                                      "true AS has_ts FROM customer",
+    "sink_load_twice": f"SELECT {_EVENTS_TYPED}, {_EVENTS_HASH} AS _rowHash, true AS has_ts FROM events "
+                       f"WHERE event_id // 100 + 1 < {_HALF}",
     "sql_parameters": "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS "
                       "c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey < 10",
     "row_hash_customer": _hash_all("customer", "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"),

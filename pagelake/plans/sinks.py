@@ -22,6 +22,8 @@ from pagelake.session import remove_folder
 
 DEFAULT_LAYER = "bronze"
 SECRETS = {"password"}
+#: Table property with the folder of the load before, and suffix of a table that a load is taking the place of.
+BEFORE, ASIDE = "pagelake.before", "__before"
 
 
 def table_name(source: str, dataset: str) -> str:
@@ -51,9 +53,12 @@ class CatalogTarget:
     """Tables of a Spark catalog: the session catalog (``catalog=None``) or a named one.
 
     In the session catalog every load is written to a fresh folder beside the
-    namespace's tables; the table is pointed at it when the write has finished, and
-    the folder of the load before is deleted.  A failing write leaves the table as it
-    was.  The tables are external: DROP TABLE keeps the last load's folder.
+    namespace's tables, and a finished load takes the table's place without dropping it
+    first: with the same columns the table is pointed at the new folder; other columns
+    go in as a table of a second name, which takes the first one's name by renames.
+    A switch that fails is taken back.  The folder of the load before stays until the
+    next load, for queries that still read it.  The tables are external: DROP TABLE keeps
+    the last loads' folders.
     Named catalogs (v2) use ``createOrReplace``, which is theirs to make atomic.
     """
 
@@ -80,19 +85,56 @@ class CatalogTarget:
         folder = f"{root}/{table}-{uuid.uuid4().hex}"
         try:
             df.write.format(self.format).save(folder)
+            self._switch(spark, layer, table, df.schema, folder)
         except Exception:
             remove_folder(spark, folder)
             raise
-        before = self._location(spark, name) if spark.catalog.tableExists(name) else None
-        if before is not None and spark.table(name).schema == df.schema:
+        return name
+
+    def _switch(self, spark: SparkSession, layer: str, table: str, schema: T.StructType, folder: str) -> None:
+        """Let the table hold the load in ``folder``."""
+        name, aside = self.qualified(layer, table), self.qualified(layer, f"{table}{ASIDE}")
+        if not spark.catalog.tableExists(name) and spark.catalog.tableExists(aside):
+            run_sql(spark, f"ALTER TABLE {aside} RENAME TO {name}")  # a run ended between two renames
+        if not spark.catalog.tableExists(name):
+            self._create(spark, name, folder)
+            return
+        before, older = self._location(spark, name), self._property(spark, name, BEFORE)
+        if before is None:
+            raise ValueError(f"{name} is no table that a load can replace")
+        if spark.table(name).schema.simpleString() == schema.simpleString():  # columns and types; files hold any null
             run_sql(spark, f"ALTER TABLE {name} SET LOCATION {_text(folder)}")
-            spark.catalog.refreshTable(name)
         else:
-            run_sql(spark, f"DROP TABLE IF EXISTS {name}")
-            run_sql(spark, f"CREATE TABLE {name} USING {self.format} LOCATION {_text(folder)}")
-        if before is not None and before.rsplit("/", 1)[-1].startswith(f"{table}-"):
-            remove_folder(spark, before)
-        return name
+            self._rename_in(spark, layer, table, folder)
+        spark.catalog.refreshTable(name)
+        run_sql(spark, f"ALTER TABLE {name} SET TBLPROPERTIES ({_text(BEFORE)} = {_text(before)})")
+        if older is not None and older not in (before, folder) and older.rsplit("/", 1)[-1].startswith(f"{table}-"):
+            remove_folder(spark, older)
+
+    def _create(self, spark: SparkSession, name: str, folder: str) -> None:
+        run_sql(spark, f"CREATE TABLE {name} USING {self.format} LOCATION {_text(folder)}")
+
+    def _rename_in(self, spark: SparkSession, layer: str, table: str, folder: str) -> None:
+        """A table of other columns under a second name, then both renamed; the old one goes last."""
+        name, aside = self.qualified(layer, table), self.qualified(layer, f"{table}{ASIDE}")
+        loaded = self.qualified(layer, f"{table}_{folder.rsplit('-', 1)[-1]}")
+        self._create(spark, loaded, folder)
+        try:
+            run_sql(spark, f"DROP TABLE IF EXISTS {aside}")
+            run_sql(spark, f"ALTER TABLE {name} RENAME TO {aside}")
+            try:
+                run_sql(spark, f"ALTER TABLE {loaded} RENAME TO {name}")
+            except Exception:
+                run_sql(spark, f"ALTER TABLE {aside} RENAME TO {name}")
+                raise
+        except Exception:
+            run_sql(spark, f"DROP TABLE IF EXISTS {loaded}")
+            raise
+        run_sql(spark, f"DROP TABLE IF EXISTS {aside}")
+
+    def _property(self, spark: SparkSession, name: str, key: str) -> str | None:
+        rows = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == key).collect()
+        return rows[0]["value"] if rows else None
 
     def _location(self, spark: SparkSession, name: str) -> str | None:
         rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()

@@ -211,3 +211,17 @@ def test_non_object_roots_fail(spark, mode, broken):
 def test_whitespace_around_body(spark, mode):
     pages = [(1, 200, "  \n" + body(1, 2) + "\n  "), (2, 200, ' { "body" : [ ] } ')]
     assert run(spark, pages, spec(), mode) == [1, 2]
+
+
+@pytest.mark.parametrize("pages", [[32768, 32769, 65536, 65537], [0, 1, -1, -32768], list(range(1, 70000, 997))])
+def test_page_set_counts_every_number_once(spark, pages):
+    from pagelake.operators.pages import page_set
+
+    flags = spark.createDataFrame([(p,) for p in pages * 2], "page long")
+    rows = page_set(flags).select(F.sum(F.bitmap_count("seen")).alias("distinct"), F.sum("n").alias("n")).first()
+    assert (rows["distinct"], rows["n"]) == (len(pages), 2 * len(pages))
+
+
+def test_a_page_without_number_fails(spark):
+    with pytest.raises(PageError, match="repeated page numbers"):
+        read_records(make_pages(spark, [(1, 200, body(1)), (None, 200, body(2))]), spec())

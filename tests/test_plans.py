@@ -45,3 +45,12 @@ def test_replay_shuffles_rows_by_page_number(spark):
     df = spark.range(0, 300, 1, 3).selectExpr("cast(id as int) as id")
     plan = plan_of(records_as_pages(df, "body", 100, index="id"))
     assert "hashpartitioning(page" in plan and "REPARTITION_BY_COL" in plan
+
+
+def test_check_exchanges_bitmaps_not_page_numbers(spark):
+    _, staged = staged_with_end(spark)
+    plan = plan_of(_summary(_flags(staged)))
+    assert "partial_bitmap_construct_agg" in plan
+    keys = [line.split("hashpartitioning(")[1].split(",")[0] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert keys and all(k.startswith(("bucket", "bitmap_bucket_number", "_groupingexpression")) for k in keys), keys
+    assert "keys=[page" not in plan
