@@ -21,8 +21,9 @@ from pagelake.operators.pages import BODY, PAGE, STATUS, parse_pages, read_recor
 from pagelake.plans.ingest import ingest, run, stage_api_pages
 from pagelake.plans.registry import SourceSpec
 from pagelake.plans.sinks import CatalogTarget, table_name
-from pagelake.session import remove_folder, scratch_folder, write_bytes
-from pagelake.sources.landed import SINGLE_FILE, land_page_files, land_pages, read_landed_pages, read_page_files
+from pagelake.session import remove_folder, scratch_folder
+from pagelake.sources.landed import land_pages, read_landed_pages
+from pagelake.sources.packs import land_page_packs, read_page_packs
 from pagelake.sources.table_pages import records_as_pages
 
 PAGE_SIZE = 100
@@ -52,8 +53,6 @@ CUSTOMER_AUDITED = _cols(("c_custkey", "integer"), ("c_name", "string"), ("_rowH
                          ("_processedTimestamp", "timestamp"), ("c_nationkey", "integer"), ("c_acctbal", "float"),
                          ("c_mktsegment", "string"))
 CUSTOMER_AMOUNT = _cols(("c_custkey", "integer"), ("amount", "double"))
-NATION = _cols(("n_nationkey", "integer"), ("n_name", "string"), ("n_regionkey", "integer"))
-NATION_NAMES = [c["name"] for c in NATION]
 LINEITEM_NESTED = _cols(("l_orderkey", "integer"), ("l_linenumber", "integer")) + [
     {"name": "flags", "type": "dict", "columns": _cols(("returnflag", "string"), ("linestatus", "string"),
                                                        ("shipdate", "timestamp"), ("note", "string"))},
@@ -222,22 +221,22 @@ def audit_replace_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _landed_files(spark: SparkSession, sf_dir: str) -> str:
-    return land_page_files(event_pages(spark, sf_dir), scratch_folder(spark, "landed") + "/files")
+def _landed_packs(spark: SparkSession, sf_dir: str) -> str:
+    return land_page_packs(event_pages(spark, sf_dir), scratch_folder(spark, "landed") + "/packs")
 
 
 def pages_landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = _landed_files(spark, sf_dir)
-    records = read_records(read_page_files(spark, folder), spec("events_landed", EVENTS))
+    folder = _landed_packs(spark, sf_dir)
+    records = read_records(read_page_packs(spark, folder), spec("events_landed", EVENTS))
     remove_folder(spark, folder)  # the result reads the staged pages only
     return records
 
 
 def stream_landed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed page files parsed by a streaming query (available-now), then checked and written."""
+    """Landed packs parsed by a streaming query (available-now), then checked and written."""
     from pagelake.streaming.landing import ingest_landed
 
-    folder, root = _landed_files(spark, sf_dir), scratch_folder(spark, "stream")
+    folder, root = _landed_packs(spark, sf_dir), scratch_folder(spark, "stream")
     result = ingest_landed(spark, folder, spec("events_stream", EVENTS), layer=LAYER, root=root)
     remove_folder(spark, folder)
     remove_folder(spark, root)
@@ -246,7 +245,7 @@ def stream_landed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages_data_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages requested by the ``paged_json`` data source (folder transport), in waves of 16, 32 and 48 pages."""
-    folder = _landed_files(spark, sf_dir)
+    folder = _landed_packs(spark, sf_dir)
     src = SourceSpec(name=SOURCE, base_url=folder, first_wave=16, max_wave=48)
     ds = spec("events_api", EVENTS)
     result = ingest(spark, ds, source=src, target=CatalogTarget(), layer=LAYER)
@@ -255,16 +254,16 @@ def pages_data_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def single_request_api(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole nation table as the response of one request, through both readers of such a response."""
-    (page,) = records_as_pages(table(spark, sf_dir, "nation"), KEY, 1000, index="n_nationkey").collect()  # 25 records
-    folder = scratch_folder(spark, "response")
-    write_bytes(spark, f"{folder}/{SINGLE_FILE}", page[BODY].encode())
-    ds = spec("nations", NATION, paged=False)
+    """Orders as single responses, one for each range of 100 keys, through both readers of such responses."""
+    ranges = records_as_pages(table(spark, sf_dir, "orders"), KEY, PAGE_SIZE, index="o_orderkey")
+    folder = land_page_packs(ranges, scratch_folder(spark, "response") + "/packs")
+    ds = spec("order_ranges", ORDERS_PARTIAL, paged=False)
     requested = ingest(spark, ds, source=SourceSpec(name=SOURCE, base_url=folder), layer=LAYER)
-    read = read_records(read_page_files(spark, folder), ds)
+    read = read_records(read_page_packs(spark, folder), ds)
     remove_folder(spark, folder)
-    named = spark.table(requested.table).select(F.lit("request").alias("reader"), *NATION_NAMES)
-    return named.unionByName(read.select(F.lit("file").alias("reader"), *NATION_NAMES))
+    names = ds.schema.names
+    named = spark.table(requested.table).select(F.lit("request").alias("reader"), *names)
+    return named.unionByName(read.select(F.lit("file").alias("reader"), *names))
 
 
 # ---------------------------------------------------------------------------
@@ -465,8 +464,7 @@ ORACLES: dict[str, str] = {
     "pages_flags": _FLAGS,
     "schema_number_text": _NUMBER_TEXT,
     "single_request_api": " UNION ALL ".join(
-        f"SELECT '{r}' AS reader, CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name, "
-        "CAST(n_regionkey AS INTEGER) AS n_regionkey FROM nation" for r in ("request", "file")),
+        f"SELECT '{r}' AS reader, {_ORDERS_PARTIAL} FROM orders" for r in ("request", "file")),
     "sink_failed_load_keeps_table": f"SELECT {_CUSTOMER_FALLBACK}, {_CUSTOMER_FALLBACK_HASH} AS _rowHash, "
                                     "true AS has_ts FROM customer",
     "sink_failed_switch_keeps_table": f"SELECT {_CUSTOMER_FALLBACK}, {_CUSTOMER_FALLBACK_HASH} AS _rowHash, "

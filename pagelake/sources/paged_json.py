@@ -8,14 +8,17 @@ Options:
 
 * ``url`` - full endpoint URL (see :func:`endpoint_url`).  A URL that is not
   ``http(s)://`` names a folder of responses (:class:`ResponseFolder`:
-  ``page-<n>.json`` or ``page=<n>/``, ``response.json`` for single requests) on any
-  filesystem; a page missing from the middle of it fails, it never ends the data.
+  ``page-<n>.json`` or ``page=<n>/``, packs with their index, ``response.json`` for a single
+  request) on any filesystem; a page missing from the middle of it fails, it never ends the
+  data.  The folder is listed once, when the scan is planned, and every partition gets
+  the places of its own pages.
 * ``params`` / ``headers`` - JSON objects.  Header values may hold the
   ``{api_key}`` placeholder; ``apiKeyEnv`` names the environment variable that
   holds the key, looked up when the reader is built (the key never appears in
   options or plans).
 * ``paginate`` - ``true``: add ``page=<n>`` for n in ``firstPage..lastPage``;
-  ``false``: one request, no page parameter.
+  ``false``: one request, no page parameter.  A folder without ``response.json`` that holds
+  numbered responses is a set of single responses, all read by one scan.
 * ``timeout`` - seconds per request (default 30).
 * ``retries`` - extra attempts for transient failures (connection errors,
   timeouts, 429, 502-504), with exponential backoff (default 0).
@@ -35,7 +38,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
 from pyspark.sql.datasource import (
     DataSource,
@@ -51,6 +54,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.types import StructType
 
 from pagelake.operators.pages import PAGE_SCHEMA
+from pagelake.sources.packs import INDEX
 
 # --- Fixed values ---
 API_KEY_PLACEHOLDER = "{api_key}"
@@ -64,6 +68,8 @@ _FILE_PAGE = re.compile(r"page-(\d+)\.json$")
 _FOLDER_PAGE = re.compile(r"page=(\d+)/")
 _FOLDER_STATUS = re.compile(r"/status=(-?\d+)/")
 MAX_BACKOFF_SECONDS = 30.0
+#: Most tasks that a set of single responses in a folder is read by.
+SINGLE_TASKS = 512
 
 
 def is_http(url: str) -> bool:
@@ -85,11 +91,15 @@ def with_api_key(headers: Mapping[str, str], key: str) -> dict[str, str]:
     return {name: value.replace(API_KEY_PLACEHOLDER, key) for name, value in headers.items()}
 
 
+#: Where a response lies: path, status, and offset and length in a pack (None: the whole file).
+Place = tuple[str, int, int | None, int | None]
+
+
 class ResponseFolder:
-    """Responses in a folder, listed once: ``page-<n>.json`` files, or one file below each ``page=<n>/`` folder.
+    """Responses in a folder, listed once: ``page-<n>.json`` files, one file below each ``page=<n>/`` folder, and packs.
 
     A page that lies beyond the highest one present is an empty response (end of
-    data).  A page missing below it is a 404, and a page with several files is a
+    data).  A page missing below it is a 404, and a page with several responses is a
     failed request: neither may pass for the end.
     """
 
@@ -98,30 +108,70 @@ class ResponseFolder:
 
         from pagelake.session import resolve_filesystem
 
-        self.filesystem, root = resolve_filesystem(url)
-        self.files: dict[int | None, list[str]] = {}
-        selector = pafs.FileSelector(root, allow_not_found=True, recursive=True)
+        self.filesystem, self.root = resolve_filesystem(url)
+        self.places: dict[int | None, list[Place]] = {}
+        selector = pafs.FileSelector(self.root, allow_not_found=True, recursive=True)
+        packed = False
         for info in self.filesystem.get_file_info(selector):
-            inner = info.path[len(root):].lstrip("/")
+            inner = info.path[len(self.root):].lstrip("/")
             if info.type != pafs.FileType.File or any(p.startswith(("_", ".")) for p in inner.split("/")):
                 continue
             folder, name = _FOLDER_PAGE.match(inner), _FILE_PAGE.match(inner)
-            if folder or name:
-                self.files.setdefault(int((folder or name).group(1)), []).append(info.path)
+            if inner.startswith(f"{INDEX}/"):
+                packed = True
+            elif folder or name:
+                status = _FOLDER_STATUS.search(info.path)
+                place = (info.path, int(status.group(1)) if status else 200, None, None)
+                self.places.setdefault(int((folder or name).group(1)), []).append(place)
             elif inner == FILE_SINGLE:
-                self.files.setdefault(None, []).append(info.path)
-        self.last = max((p for p in self.files if p is not None), default=0)
+                self.places.setdefault(None, []).append((info.path, 200, None, None))
+        if packed:
+            self._list_packs()
+        self.last = max((p for p in self.places if p is not None), default=0)
+
+    def _list_packs(self) -> None:
+        import pyarrow.dataset as ds
+
+        index = ds.dataset(f"{self.root}/{INDEX}", filesystem=self.filesystem, format="parquet").to_table()
+        for page, status, file, offset, length in zip(*(index[c].to_pylist() for c in (
+                "page", "status", "file", "offset", "length")), strict=True):
+            self.places.setdefault(page, []).append((f"{self.root}/{file}", 200 if status is None else status, offset, length or 0))
+
+    def within(self, pages: range | list[int | None]) -> dict[int | None, list[Place]]:
+        """Places of these pages (a range may be far longer than the folder)."""
+        if len(pages) > len(self.places):
+            return {page: found for page, found in self.places.items() if page in pages}
+        return {page: self.places[page] for page in pages if page in self.places}
 
     def get(self, page: int | None) -> tuple[int, str]:
-        paths = self.files.get(page, [])
-        if not paths:
-            return (200, "{}") if page is not None and page > self.last else (404, "")
-        if len(paths) > 1:
-            return -1, f"{len(paths)} files for one page: {', '.join(sorted(paths))}"
-        with self.filesystem.open_input_stream(paths[0], compression=None) as file:
-            text = file.read().decode("utf-8")
-        status = _FOLDER_STATUS.search(paths[0])
-        return int(status.group(1)) if status else 200, text
+        return next((status, text) for _, status, text in served(self.filesystem, [page], self.within([page]), self.last))
+
+
+def served(filesystem, pages: Iterable[int | None], places: Mapping[int | None, list[Place]],
+           last: int) -> Iterator[tuple[int | None, int, str]]:
+    """The responses of some pages, read from their places; a pack stays open from page to page."""
+    opened = (None, None)
+    for page in pages:
+        found = places.get(page, [])
+        if not found:
+            yield (page, 200, "{}") if page is not None and page > last else (page, 404, "")
+            continue
+        if len(found) > 1:
+            yield page, -1, f"{len(found)} responses for one page: {', '.join(sorted(p[0] for p in found))}"
+            continue
+        path, status, offset, length = found[0]
+        if offset is None:
+            with filesystem.open_input_stream(path, compression=None) as file:
+                data = file.read()
+        else:
+            if opened[0] != path:
+                if opened[1] is not None:
+                    opened[1].close()
+                opened = (path, filesystem.open_input_file(path))
+            data = opened[1].read_at(length, offset)
+        yield page, status, data.decode("utf-8")
+    if opened[1] is not None:
+        opened[1].close()
 
 
 def fetch(url: str, params: Mapping[str, str], headers: Mapping[str, str], timeout: float,
@@ -156,11 +206,14 @@ def fetch(url: str, params: Mapping[str, str], headers: Mapping[str, str], timeo
 
 
 class PageRange(InputPartition):
-    """Pages of one fetch task: a ``range`` (compact however many pages), or an explicit list."""
+    """Pages of one fetch task: a ``range`` (compact however many pages) or an explicit list, and, for a folder,
+    where its own pages lie and what the folder's last page is."""
 
-    def __init__(self, pages: range | list[int | None]):
+    def __init__(self, pages: range | list[int | None], places: dict[int | None, list[Place]] | None = None, last: int = 0):
         super().__init__(pages)
         self.pages = pages
+        self.places = places
+        self.last = last
 
 
 def _chunks(first: int, last: int, size: int) -> list[PageRange]:
@@ -186,18 +239,34 @@ class PagedJsonReader(DataSourceReader):
         self.last = int(options.get("lastPage") or self.first)
         self.per_partition = max(1, int(options.get("pagesPerPartition") or 1))
 
-    def partitions(self) -> list[InputPartition]:
-        if not self.paginate:
-            return [PageRange([None])]
+    def planned(self) -> list[PageRange]:
+        """The pages of each task."""
         return _chunks(self.first, self.last, self.per_partition) or [PageRange([])]
 
+    def partitions(self) -> list[InputPartition]:
+        if is_http(self.url):
+            return self.planned() if self.paginate else [PageRange([None])]
+        folder = ResponseFolder(self.url)  # the only listing of this scan
+        if self.paginate:
+            parts = self.planned()
+        elif None in folder.places or not folder.places:
+            parts = [PageRange([None])]
+        else:
+            numbers = sorted(folder.places)
+            size = max(self.per_partition, -(-len(numbers) // SINGLE_TASKS))
+            parts = [PageRange(numbers[i:i + size]) for i in range(0, len(numbers), size)]
+        return [PageRange(p.pages, folder.within(p.pages), folder.last) for p in parts]
+
     def read(self, partition: PageRange) -> Iterator[tuple]:
-        folder = None if is_http(self.url) else ResponseFolder(self.url)
-        for page in partition.pages:
-            if folder is None:
-                status, text = fetch(self.url, self.params, self.headers, self.timeout, page, self.retries)
-            else:
-                status, text = folder.get(page)
+        if is_http(self.url):
+            for page in partition.pages:
+                yield (1 if page is None else page,
+                       *fetch(self.url, self.params, self.headers, self.timeout, page, self.retries))
+            return
+        from pagelake.session import resolve_filesystem
+
+        filesystem, _ = resolve_filesystem(self.url)
+        for page, status, text in served(filesystem, partition.pages, partition.places or {}, partition.last):
             yield (1 if page is None else page, status, text)
 
 
@@ -224,16 +293,13 @@ class PagePruningReader(PagedJsonReader):
             yield f
         self.only = wanted
 
-    def partitions(self) -> list[InputPartition]:
-        if not self.paginate:
-            return [PageRange([None])]
+    def planned(self) -> list[PageRange]:
         only = getattr(self, "only", None)
         if only is None:
-            return _chunks(self.first, self.last, self.per_partition) or [PageRange([])]
+            return super().planned()
         numbers = sorted(p for p in only if self.first <= p <= self.last)
-        if not numbers:
-            return [PageRange([])]
-        return [PageRange(numbers[i:i + self.per_partition]) for i in range(0, len(numbers), self.per_partition)]
+        return [PageRange(numbers[i:i + self.per_partition])
+                for i in range(0, len(numbers), self.per_partition)] or [PageRange([])]
 
 
 class PagedJsonDataSource(DataSource):

@@ -298,3 +298,83 @@ def test_filesystem_uris():
     assert filesystem_uri("file:///tmp/x") == "file:///tmp/x"
     assert filesystem_uri("hdfs://nn:8020/a") == "hdfs://nn:8020/a"
     assert filesystem_uri("s3a://bucket/key") == "s3://bucket/key"
+
+
+def page_rows(spark, rows):
+    return spark.createDataFrame(rows, "page long, status int, body string")
+
+
+def test_packs_give_back_every_response(spark):
+    from pagelake.sources.packs import land_page_packs, read_page_packs
+
+    rows = [(p, 200 if p % 5 else 503, None if p == 9 else "é\n{" * (p % 7) + str(p)) for p in range(1, 400)]
+    root = tempfile.mkdtemp(prefix="pagelake-packs-")
+    for size in (1, 300, 1 << 27):  # a pack for each page, for some, for all pages of a task
+        land_page_packs(page_rows(spark, rows).repartition(5), root, pack_bytes=size)
+        assert sorted(tuple(r) for r in read_page_packs(spark, root).collect()) == rows
+        packs = [f for d in os.listdir(root) if d.startswith("packs-") for f in os.listdir(f"{root}/{d}") if f.endswith(".pack")]
+        assert len({d for d in os.listdir(root) if d.startswith("packs-")}) == 1
+        assert (len(packs) == 5) == (size == 1 << 27)
+    more = [(p, 200, str(p)) for p in range(400, 420)]
+    land_page_packs(page_rows(spark, more), root, mode="append")
+    assert sorted(tuple(r) for r in read_page_packs(spark, root).collect()) == rows + more
+    empty = land_page_packs(page_rows(spark, []), tempfile.mkdtemp())
+    assert read_page_packs(spark, empty).collect() == []
+
+
+def test_a_failing_landing_keeps_the_packs_before(spark):
+    from pagelake.sources.packs import land_page_packs, read_page_packs
+
+    root = tempfile.mkdtemp(prefix="pagelake-packs-")
+    land_page_packs(page_rows(spark, [(1, 200, "kept")]), root)
+    broken = page_rows(spark, [(1, 200, "x"), (2, 200, "y")]).withColumn(
+        "body", F.when(F.col("page") == 2, F.raise_error(F.lit("no page 2"))).otherwise(F.col("body")))
+    with pytest.raises(Exception, match="no page 2"):
+        land_page_packs(broken, root, mode="append")
+    assert [r.body for r in read_page_packs(spark, root).collect()] == ["kept"]
+    assert len([d for d in os.listdir(root) if d.startswith("packs-")]) == 1
+
+
+def test_data_source_serves_packs_and_files_together(spark):
+    from pagelake.sources.packs import land_page_packs
+
+    d = folder_with_pages(2)
+    land_page_packs(page_rows(spark, [(p, 200, json.dumps({"data": [{"id": 100 + p}]})) for p in range(3, 8)]), d)
+    staged = stage_api_pages(spark, SourceSpec("api", base_url=d, first_wave=3, max_wave=4), spec())
+    check = check_pages(staged, spec())
+    assert (check.stop, check.pages, check.records) == (8, 7, 11)
+    land_page_packs(page_rows(spark, [(2, 200, "{}")]), d, mode="append")
+    assert fetch(d, {}, {}, 1, 2)[0] == -1  # a file and a pack hold page 2
+
+
+def test_one_listing_per_scan(spark, monkeypatch):
+    from pagelake.sources import paged_json
+
+    d = folder_with_pages(40)
+    listed = []
+    real = paged_json.ResponseFolder.__init__
+
+    def counting(self, url):
+        listed.append(url)
+        real(self, url)
+
+    monkeypatch.setattr(paged_json.ResponseFolder, "__init__", counting)
+    reader = paged_json.PagedJsonReader({"url": d, "firstPage": "1", "lastPage": "50", "pagesPerPartition": "4"})
+    parts = reader.partitions()
+    rows = [r for p in parts for r in reader.read(p)]
+    assert len(parts) == 13 and len(rows) == 50 and len(listed) == 1
+    assert {r[0]: r[1] for r in rows} == {p: 200 for p in range(1, 51)}
+    assert all(set(p.places) <= set(p.pages) for p in parts)  # a task gets the places of its own pages only
+
+
+def test_single_responses_of_a_folder_are_one_scan(spark):
+    single = dataset_spec({"responsePath": "data", "pagination": {"enabled": False}, "columns": COLS},
+                          source="api", name="ranges")
+    d = folder_with_pages(30)
+    pages = api_pages(spark, SourceSpec("api", base_url=d), single, pages_per_partition=4)
+    assert pages.rdd.getNumPartitions() == 8
+    assert sorted(r.id for r in read_records(pages, single).collect()) == list(range(90))
+    with open(os.path.join(d, "page-7.json"), "w") as fh:
+        fh.write('{"other": []}')
+    with pytest.raises(PageError, match="page 7 has no list"):
+        read_records(pages, single)
