@@ -36,6 +36,7 @@ from pagelake.plans.registry import SourceSpec, select_datasets
 from pagelake.plans.sinks import DEFAULT_LAYER, CatalogTarget, table_name
 from pagelake.session import qualified, remove_folder
 from pagelake.sources.paged_json import endpoint_url, is_http, pushdown_enabled, register
+from pagelake.sources.requests import asked_pages
 
 log = logging.getLogger(__name__)
 
@@ -51,9 +52,11 @@ class IngestResult:
 
 def api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, first: int = 1, last: int | None = None,
               pages_per_partition: int = 1) -> DataFrame:
-    """Responses of ``source``/``spec`` fetched on executors by the ``paged_json`` data source."""
+    """Responses of ``source``/``spec`` fetched on executors by the ``paged_json`` data source, or by the source's transport."""
     if spec.paging.enabled and last is not None and last < first:
         return spark.createDataFrame([], PAGE_SCHEMA)
+    if source.transport:
+        return asked_pages(spark, source, spec, first, last, pages_per_partition)
     register(spark)
     url = endpoint_url(source.base_url, spec.endpoint)
     options = {
@@ -66,6 +69,7 @@ def api_pages(spark: SparkSession, source: SourceSpec, spec: DatasetSpec, first:
         "firstPage": str(first),
         "lastPage": str(first if last is None else last),
         "pagesPerPartition": str(pages_per_partition),
+        "singleTasks": str(2 * spark.sparkContext.defaultParallelism),
     }
     if source.key_env:
         options["apiKeyEnv"] = source.key_env

@@ -24,6 +24,7 @@ from pagelake.plans.sinks import CatalogTarget, table_name
 from pagelake.session import remove_folder, scratch_folder
 from pagelake.sources.landed import land_pages, read_landed_pages
 from pagelake.sources.packs import land_page_packs, read_page_packs
+from pagelake.sources.requests import TABLE, shape_requests, transport_of
 from pagelake.sources.table_pages import records_as_pages
 
 PAGE_SIZE = 100
@@ -244,9 +245,9 @@ def stream_landed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages_data_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages requested by the ``paged_json`` data source (folder transport), in waves of 16, 32 and 48 pages."""
+    """Pages requested by the ``paged_json`` data source (folder transport), in waves of 16 pages and twice as many each time."""
     folder = _landed_packs(spark, sf_dir)
-    src = SourceSpec(name=SOURCE, base_url=folder, first_wave=16, max_wave=48)
+    src = SourceSpec(name=SOURCE, base_url=folder, first_wave=16)
     ds = spec("events_api", EVENTS)
     result = ingest(spark, ds, source=src, target=CatalogTarget(), layer=LAYER)
     remove_folder(spark, folder)
@@ -266,6 +267,56 @@ def single_request_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.unionByName(read.select(F.lit("file").alias("reader"), *names))
 
 
+# ---------------------------------------------------------------------------
+# S5: requests as rows, answered by a table
+# ---------------------------------------------------------------------------
+
+SERVICE = "https://api.example.test/v2/"
+SERVICE_HEADERS = {"x-client": "pagelake", "accept": "application/json"}
+ORDERS_FEED = dataset_spec(
+    {"responsePath": KEY, "pagination": {"enabled": True}, "columns": ORDERS_PARTIAL}, source=SOURCE, name="orders_feed",
+    endpoint="/orders", params={"type": "ORDERS & returns", "sort": "key*~", "page": "0"})
+
+
+def _orders_service(spark: SparkSession, sf_dir: str, name: str) -> SourceSpec:
+    """A source whose transport is a table of what a service of all orders says to each attempt of each request.
+
+    Pages 3, 10, 17 .. answer 503 at first, pages 5, 16, 27 .. answer 429 and then nothing at all before they succeed.
+    The page after the last one is empty; requests without the client's header are refused.
+    """
+    pages = records_as_pages(table(spark, sf_dir, "orders"), KEY, PAGE_SIZE, index="o_orderkey")
+    end = pages.agg((F.max(PAGE) + 1).alias(PAGE)).select(PAGE, F.lit(200).alias(STATUS), F.lit('{"body":[]}').alias(BODY))
+    first = (F.when(F.col(PAGE) % 11 == 5, F.array(F.lit(429), F.lit(-1))).when(F.col(PAGE) % 7 == 3, F.array(F.lit(503)))
+             .otherwise(F.array().cast("array<int>")))
+    said = pages.unionByName(end).select(PAGE, BODY, F.posexplode(F.concat(first, F.array(F.lit(200)))).alias("attempt", STATUS))
+    request = F.concat(F.lit(f"{SERVICE}orders?type=ORDERS+%26+returns&sort=key%2A~&page="), F.col(PAGE).cast("string"))
+    answers = said.select(request.alias("request"), "attempt", STATUS,
+                          F.when(F.col(STATUS) == 200, F.col(BODY)).otherwise(F.lit("later")).alias(BODY),
+                          F.create_map(F.lit("x-client"), F.lit(SERVICE_HEADERS["x-client"])).alias("headers"))
+    target = CatalogTarget()
+    target.ensure_namespace(spark, LAYER)
+    recorded = target.overwrite(answers, LAYER, name)
+    return SourceSpec(SOURCE, base_url=SERVICE, headers=SERVICE_HEADERS, timeout=12.5, retries=2,
+                      transport=f"{TABLE}{recorded}")
+
+
+def requests_shaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request that a load of all orders sends, transient failures and the empty last page included."""
+    source = _orders_service(spark, sf_dir, "orders_said")
+    last = -(-table(spark, sf_dir, "orders").count() // PAGE_SIZE) + 1
+    sent = transport_of(spark, source).attempts(shape_requests(spark, source, ORDERS_FEED, 1, last))
+    params, headers = F.col("params"), F.col("headers")
+    return sent.select(PAGE, "attempt", "request", "url", params["type"].alias("type"), params["page"].alias("page_param"),
+                       F.size(params).cast("int").alias("n_params"), headers["x-client"].alias("client"),
+                       headers["accept"].alias("accept"), "timeout", "attempts", STATUS)
+
+
+def requests_answered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders loaded through the transport, in waves that end with the empty page."""
+    result = ingest(spark, ORDERS_FEED, source=_orders_service(spark, sf_dir, "orders_answered"), layer=LAYER)
+    return _audited_view(spark.table(result.table))
+
+
 # ---------------------------------------------------------------------------
 # W1-W4, C1, C2: ingest into catalog tables
 # ---------------------------------------------------------------------------
@@ -395,6 +446,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pages_flags": pages_flags,
     "single_request_api": single_request_api,
     "single_request_events": single_request_events,
+    "requests_shaped": requests_shaped,
+    "requests_answered": requests_answered,
     "schema_fallback_string": schema_fallback_string,
     "schema_missing_and_extra": schema_missing_and_extra,
     "schema_number_text": schema_number_text,
@@ -460,7 +513,20 @@ SELECT CAST(c_custkey AS INTEGER) AS c_custkey, CASE WHEN v < 0 THEN '-' ELSE ''
                || (length(n::VARCHAR) - 1) END AS amount
 FROM (SELECT c_custkey, CAST(round(c_acctbal * 100) AS BIGINT) * 10000 AS v, abs(v) AS n FROM customer)"""
 
+_REQUESTS = """
+WITH p AS (SELECT unnest(range(1, (SELECT max(o_orderkey) // 100 + 3 FROM orders))) AS page),
+said AS (SELECT page, CASE WHEN page % 11 = 5 THEN [429, -1, 200] WHEN page % 7 = 3 THEN [503, 200] ELSE [200] END AS s FROM p),
+sent AS (SELECT page, s, unnest(range(len(s))) AS attempt FROM said)
+SELECT page, CAST(attempt AS INTEGER) AS attempt,
+       'https://api.example.test/v2/orders?type=ORDERS+%26+returns&sort=key%2A~&page=' || page AS request,
+       'https://api.example.test/v2/orders' AS url, 'ORDERS & returns' AS type, CAST(page AS VARCHAR) AS page_param,
+       3 AS n_params, 'pagelake' AS client, 'application/json' AS accept, CAST(12.5 AS DOUBLE) AS timeout, 3 AS attempts,
+       s[attempt + 1] AS status
+FROM sent"""
+
 ORACLES: dict[str, str] = {
+    "requests_shaped": _REQUESTS,
+    "requests_answered": f"SELECT {_ORDERS_PARTIAL}, {_ORDERS_PARTIAL_HASH} AS _rowHash, true AS has_ts FROM orders",
     "pages_flags": _FLAGS,
     "schema_number_text": _NUMBER_TEXT,
     "single_request_api": " UNION ALL ".join(

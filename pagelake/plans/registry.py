@@ -32,6 +32,8 @@ class SourceSpec:
     both to 1 for an API that must see one request beyond the end and no more.
     ``pages_per_task``: pages that one task requests, one after another (default: two
     tasks per core); with the wave size it bounds the requests in flight.
+    ``transport``: what answers the requests (see :mod:`pagelake.sources.requests`); by
+    default they go to ``base_url``.
     An ``http(s)`` source must have request headers.
     """
 
@@ -44,6 +46,7 @@ class SourceSpec:
     first_wave: int = 64
     max_wave: int = 8192
     pages_per_task: int | None = None
+    transport: str = ""
 
     def __post_init__(self) -> None:
         nested = [name for name, value in self.headers.items() if isinstance(value, Mapping)]
@@ -69,7 +72,7 @@ def source_spec(
     """Source from its config document.
 
     Read are ``name``, ``variables`` (``base_url``, ``timeout``, ``retry_attempts``, ``first_wave``,
-    ``max_wave``, ``pages_per_task``) and ``headers``: the headers themselves, or
+    ``max_wave``, ``pages_per_task``, ``transport``) and ``headers``: the headers themselves, or
     groups of them.  ``headers_group`` names the group; a single group needs no name.
     """
     d = yaml_document(doc)
@@ -95,6 +98,7 @@ def source_spec(
         first_wave=first,
         max_wave=int(variables.get("max_wave") or max(first, 8192)),
         pages_per_task=None if per_task is None else int(per_task),
+        transport=str(variables.get("transport") or ""),
     )
 
 

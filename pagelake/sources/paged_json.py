@@ -19,6 +19,7 @@ Options:
 * ``paginate`` - ``true``: add ``page=<n>`` for n in ``firstPage..lastPage``;
   ``false``: one request, no page parameter.  A folder without ``response.json`` that holds
   numbered responses is a set of single responses, all read by one scan.
+* ``singleTasks`` - most tasks that read such a set (default 256).
 * ``timeout`` - seconds per request (default 30).
 * ``retries`` - extra attempts for transient failures (connection errors,
   timeouts, 429, 502-504), with exponential backoff (default 0).
@@ -64,12 +65,11 @@ FILE_SINGLE = "response.json"
 # --- end of fixed values ---
 TRANSIENT_STATUS = frozenset({429, 502, 503, 504})
 BACKOFF_SECONDS = 0.5
+DEFAULT_SINGLE_TASKS = 256
 _FILE_PAGE = re.compile(r"page-(\d+)\.json$")
 _FOLDER_PAGE = re.compile(r"page=(\d+)/")
 _FOLDER_STATUS = re.compile(r"/status=(-?\d+)/")
 MAX_BACKOFF_SECONDS = 30.0
-#: Most tasks that a set of single responses in a folder is read by.
-SINGLE_TASKS = 512
 
 
 def is_http(url: str) -> bool:
@@ -174,35 +174,43 @@ def served(filesystem, pages: Iterable[int | None], places: Mapping[int | None,
         opened[1].close()
 
 
+def retried(send, attempts: int, backoff: float = BACKOFF_SECONDS) -> tuple[int, str]:
+    """The first answer of ``send()`` that is not transient (no answer, 429, 502-504), else the last one."""
+    import time
+
+    outcome = (-1, "not requested")
+    for attempt in range(max(1, attempts)):
+        if attempt:
+            time.sleep(min(backoff * 2 ** (attempt - 1), MAX_BACKOFF_SECONDS))
+        outcome = send()
+        if outcome[0] >= 0 and outcome[0] not in TRANSIENT_STATUS:
+            break
+    return outcome
+
+
+def http_get(url: str, params: Mapping[str, str], headers: Mapping[str, str], timeout: float) -> tuple[int, str]:
+    """One GET; ``(-1, error)`` where no answer came."""
+    import requests
+
+    try:
+        response = requests.get(url, headers=dict(headers), params=params, timeout=timeout)
+    except requests.RequestException as exc:
+        return -1, f"{type(exc).__name__}: {exc}"
+    return response.status_code, response.text
+
+
 def fetch(url: str, params: Mapping[str, str], headers: Mapping[str, str], timeout: float,
           page: int | None, retries: int = 0, backoff: float = BACKOFF_SECONDS) -> tuple[int, str]:
-    """One GET; returns ``(status, text)``.  ``page=None``: no page parameter.
+    """One response: ``(status, text)``.  ``page=None``: no page parameter.
 
-    Transient failures (connection errors, timeouts, 429, 502-504) are retried
-    ``retries`` times with exponential backoff; the last outcome is returned.
+    Transient failures are retried ``retries`` times with exponential backoff.
     """
     if not is_http(url):
         return ResponseFolder(url).get(page)
-    import time
-
-    import requests
-
     query = dict(params)
     if page is not None:
         query[PAGE_PARAM] = str(page)
-    outcome = (-1, "not requested")
-    for attempt in range(max(0, retries) + 1):
-        if attempt:
-            time.sleep(min(backoff * 2 ** (attempt - 1), MAX_BACKOFF_SECONDS))
-        try:
-            response = requests.get(url, headers=dict(headers), params=query, timeout=timeout)
-        except requests.RequestException as exc:
-            outcome = (-1, f"{type(exc).__name__}: {exc}")
-            continue
-        outcome = (response.status_code, response.text)
-        if response.status_code not in TRANSIENT_STATUS:
-            break
-    return outcome
+    return retried(lambda: http_get(url, query, headers, timeout), retries + 1, backoff)
 
 
 class PageRange(InputPartition):
@@ -238,6 +246,7 @@ class PagedJsonReader(DataSourceReader):
         self.first = int(options.get("firstPage") or 1)
         self.last = int(options.get("lastPage") or self.first)
         self.per_partition = max(1, int(options.get("pagesPerPartition") or 1))
+        self.most_tasks = max(1, int(options.get("singleTasks") or DEFAULT_SINGLE_TASKS))
 
     def planned(self) -> list[PageRange]:
         """The pages of each task."""
@@ -253,7 +262,7 @@ class PagedJsonReader(DataSourceReader):
             parts = [PageRange([None])]
         else:
             numbers = sorted(folder.places)
-            size = max(self.per_partition, -(-len(numbers) // SINGLE_TASKS))
+            size = max(self.per_partition, -(-len(numbers) // self.most_tasks))
             parts = [PageRange(numbers[i:i + size]) for i in range(0, len(numbers), size)]
         return [PageRange(p.pages, folder.within(p.pages), folder.last) for p in parts]
 
