@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagelake.functions.numbers import kinds_schema, with_number_texts
 from pagelake.functions.schema import DatasetSpec
 from pagelake.session import remove_folder, scratch_folder
 
@@ -125,6 +126,12 @@ def parse_pages(pages: DataFrame, spec: DatasetSpec) -> DataFrame:
                    .otherwise(c("_doc").isNotNull()), F.lit(False)).alias("_object"),
         F.when(c("_corrupt"), value).alias("_value"),
     )
+    kinds_of = kinds_schema(spec.schema)
+    if kinds_of is not None:  # numbers in string columns: a third parse, of pages that have some
+        kinds = F.get(F.from_json(enclosed, _enclosed(T.StructType([T.StructField(key, T.ArrayType(kinds_of))])), _JSON_OPTIONS)
+                      .getField(_DOCUMENT), F.lit(0)).getField(key)
+        texts = with_number_texts(c("_arr"), T.ArrayType(spec.schema), kinds)
+        parsed = parsed.withColumn("_arr", F.when(c("_corrupt"), c("_arr")).otherwise(texts))
     parsed = parsed.select("*", (c("_whole") & F.coalesce(_falsy(c("_value")), F.lit(False))).alias("_falsy"))
     parsed = parsed.select("*", (~c("_whole") | ~c("_object")).alias("_unparsed"))
     http_error = (F.coalesce(c(STATUS), F.lit(200)) >= 400) | (c(STATUS) < 0)

@@ -179,13 +179,17 @@ def schema_missing_and_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(pages, spec("orders_partial", ORDERS_PARTIAL))
 
 
+NUMBER_POWERS = range(-8, 19)
+
+
 def schema_number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers in a text column: from ten millions on they are written with an exponent."""
+    """Numbers from 1e-8 to 1e23 in a text column, and the row hash over their texts."""
     c = table(spark, sf_dir, "customer")
-    amount = (F.round(F.col("c_acctbal") * 100) * 10_000).cast("double")
+    power = F.get(F.array(*[F.lit(float(f"1e{k}")) for k in NUMBER_POWERS]),
+                  (F.col("c_custkey") % len(NUMBER_POWERS)).cast("int"))
     pages = records_as_pages(c, KEY, PAGE_SIZE, index="c_custkey",
-                             record=F.struct("c_custkey", amount.alias("amount")))
-    return read_records(pages, spec("customer_amounts", CUSTOMER_AMOUNT))
+                             record=F.struct("c_custkey", (F.col("c_acctbal") * power).alias("amount")))
+    return with_row_hash(read_records(pages, spec("customer_amounts", CUSTOMER_AMOUNT)))
 
 
 def lineitem_nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -505,13 +509,11 @@ SELECT page, CAST(CASE WHEN kind = 2 THEN 500 ELSE 200 END AS INTEGER) AS status
          WHEN 9 THEN ' has a null record: {"body":[null]}' END AS problem
 FROM k"""
 
-# digits of the whole number n as Java writes the double: an exponent from ten millions on
-_NUMBER_TEXT = """
-SELECT CAST(c_custkey AS INTEGER) AS c_custkey, CASE WHEN v < 0 THEN '-' ELSE '' END
-       || CASE WHEN n < 10000000 THEN n || '.0'
-          ELSE left(n::VARCHAR, 1) || '.' || coalesce(nullif(rtrim(substr(n::VARCHAR, 2), '0'), ''), '0') || 'E'
-               || (length(n::VARCHAR) - 1) END AS amount
-FROM (SELECT c_custkey, CAST(round(c_acctbal * 100) AS BIGINT) * 10000 AS v, abs(v) AS n FROM customer)"""
+_NUMBER_TEXT = f"""
+SELECT c_custkey, amount, sha256(concat_ws('||', c_custkey, amount)) AS _rowHash
+FROM (SELECT CAST(c_custkey AS INTEGER) AS c_custkey, CAST(c_acctbal * CAST(
+        [{", ".join(f"'1e{k}'" for k in NUMBER_POWERS)}][c_custkey % {len(NUMBER_POWERS)} + 1] AS DOUBLE) AS VARCHAR) AS amount
+      FROM customer)"""
 
 _REQUESTS = """
 WITH p AS (SELECT unnest(range(1, (SELECT max(o_orderkey) // 100 + 3 FROM orders))) AS page),
