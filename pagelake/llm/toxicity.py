@@ -6,19 +6,18 @@ the toxic dictionary at hand than with the ordinary one alone.  A logistic model
 the windows' savings, calibrated on labelled documents, turns them into a score.
 
 The labelled sample is bounded by :data:`TOXIC_DOCUMENTS` and :data:`ORDINARY_DOCUMENTS`
-(those with the smallest hash of their id); scoring covers every whole text.  For
+different texts (of the ids with the smallest hashes); scoring covers every whole text.  For
 calibration each of :data:`FOLDS` parts of the sample is measured with dictionaries of
 the others.  Toxic samples are reduced to the words that are typical of toxic documents,
 since a dictionary holds only what recurs.  The beginning of each word is put in
 capitals, so that it does not match the inside of longer words.
 
-Each language with :data:`LEAST_LABELLED` documents of either class has a model of its
-own, since what is typical in a rare language is rare in the whole sample.  Documents of
-other languages, or of none, are scored by a model of the whole sample.
+One model serves all documents: language, source, ids and labels are no inputs of a score.
 
 A null text counts as empty and is scored like one.  Documents without labels, with
 null labels or with a null id are scored, never learned from.  If one of the classes
-has no labelled document, every score is the share of toxic labels (0 without any).
+has no labelled document, every score is the share of toxic labels (0 without any).  An
+empty table gives no rows; equal texts have equal scores.
 """
 
 from __future__ import annotations
@@ -40,7 +39,7 @@ from pagelake.llm.common import on_workers, slices
 TOXIC_DOCUMENTS = 2000
 ORDINARY_DOCUMENTS = 4000
 WINDOW_WORDS = 5
-DICTIONARY_BYTES = 4096
+DICTIONARY_BYTES = 8192
 LEVEL, SHORTEST_MATCH = 9, 6
 #: A word is typical if its excess in toxic documents is so many standard deviations.
 LEAST_EXCESS = 5.0
@@ -48,8 +47,6 @@ LEAST_EXCESS = 5.0
 BEGINNING = 8
 #: Parts of the sample for calibration.
 FOLDS = 5
-#: Labelled documents of either class that a language's own model takes.
-LEAST_LABELLED = 10
 #: Savings, in bytes, from which windows are counted.
 SAVINGS = (4, 6, 8)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -117,23 +114,6 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(rows @ self.weights[:-1] + self.weights[-1], -50, 50)))
 
 
-@dataclass
-class Models:
-    """A model of the whole sample, and those of single languages."""
-
-    whole: Model
-    own: dict[str, Model]
-
-    def scores(self, texts: Iterable[str | None], langs: Iterable[str | None] | None = None) -> np.ndarray:
-        texts = list(texts)
-        langs = [None] * len(texts) if langs is None else [lang if lang in self.own else None for lang in langs]
-        out = np.zeros(len(texts))
-        for lang in set(langs):
-            at = [k for k, own in enumerate(langs) if own == lang]
-            out[at] = self.own.get(lang, self.whole).scores([texts[k] for k in at])
-        return out
-
-
 def typical_words(own: list[list[bytes]], other: list[list[bytes]]) -> set[bytes]:
     """Words in far more documents of the first class than chance would have there."""
     mine, theirs = Counter(), Counter()
@@ -224,55 +204,40 @@ def held_out(id_col: str):
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", lang_col: str = "lang") -> Models:
-    """Learn from labelled documents that are not held out: at most the documented number of each class.
-
-    Without a column ``lang_col`` one model serves all documents.
-    """
+          label_col: str = "toxic") -> Model:
+    """Learn from labelled documents that are not held out: at most the documented number of texts of each class."""
     marked = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
               .dropna().filter(~held_out("id")).groupBy("id").agg(F.max("label").alias("label")))
-    counts = {r.label: r["count"] for r in marked.groupBy((F.col("label") > 0).cast("int").alias("label"))
-              .count().collect()}
-    chosen = None
-    for kind, most in ((1, TOXIC_DOCUMENTS), (0, ORDINARY_DOCUMENTS)):
-        some = (marked.filter((F.col("label") > 0).cast("int") == kind).orderBy(F.xxhash64("id"), "id").limit(most)
-                .select("id", F.lit(kind).alias("label")))
-        chosen = some if chosen is None else chosen.unionByName(some)
-    lang = F.col(lang_col) if lang_col in docs.columns else F.lit(None).cast("string")
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang"))
-            .join(chosen, "id").select("text", "label", "lang").collect())
+    kind = (F.col("label") > 0).cast("int")
+    counts = {r.label: r["count"] for r in marked.groupBy(kind.alias("label")).count().collect()}
+
+    def some(df: DataFrame, key: str) -> DataFrame:
+        """The documented number of rows of each class, by their key's hash."""
+        parts = [df.filter(kind == k).orderBy(F.xxhash64(key), key).limit(most)
+                 for k, most in ((1, TOXIC_DOCUMENTS), (0, ORDINARY_DOCUMENTS))]
+        return parts[0].unionByName(parts[1])
+
+    chosen = some(marked, "id").select("id", kind.alias("label"))
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(chosen, "id")
+    texts = texts.groupBy(F.sha2("text", 256).alias("digest")).agg(  # rows that repeat an id or a text count once
+        F.first("text").alias("text"), F.max("label").alias("label"))
+    rows = some(texts, "digest").select("text", "label").collect()
     total = sum(counts.values())
-    # labelled documents for which one in the sample stands
-    stands = {kind: counts.get(kind, 0) / max(1, sum(r.label == kind for r in rows)) for kind in (0, 1)}
-    by_lang: dict[str, list] = {}
-    for r in rows:
-        if r.lang is not None:
-            by_lang.setdefault(r.lang, []).append(r)
-    own = {}
-    for name, some in sorted(by_lang.items()):
-        toxic = sum(r.label for r in some)
-        if min(toxic, len(some) - toxic) >= LEAST_LABELLED:
-            of_all = toxic * stands[1], (len(some) - toxic) * stands[0]
-            own[name] = fit([r.text or "" for r in some], [r.label for r in some], of_all[0] / sum(of_all))
-    return Models(fit([r.text or "" for r in rows], [r.label for r in rows], counts.get(1, 0) / total if total else None),
-                  own)
-
-
-def score_documents(docs: DataFrame, model: Model | Models, id_col: str = "doc_id", text_col: str = "text",
-                    lang_col: str = "lang") -> DataFrame:
+    return fit([r.text for r in rows], [r.label for r in rows], counts.get(1, 0) / total if total else None)
+
+
+def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id, whether it is held out, ``score`` (0 to 1) and ``predicted``."""
     spark = docs.sparkSession
     on_workers(spark)
-    model = model if isinstance(model, Models) else Models(model, {})
-    shared = spark.sparkContext.broadcast(model)  # two dictionaries of a few kilobytes, for each language
-    lang = F.col(lang_col) if lang_col in docs.columns else F.lit(None).cast("string")
-    narrow = docs.select(id_col, text_col, held_out(id_col).alias("held_out"), lang.alias("_lang"))
+    shared = spark.sparkContext.broadcast(model)  # two dictionaries of a few kilobytes
+    narrow = docs.select(id_col, text_col, held_out(id_col).alias("held_out"))
     schema = T.StructType([narrow.schema[id_col], T.StructField("held_out", T.BooleanType()),
                            T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
-            scores = shared.value.scores(batch.column(text_col).to_pylist(), batch.column("_lang").to_pylist())
+            scores = shared.value.scores(batch.column(text_col).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_col), batch.column("held_out"), pa.array(scores, pa.float64()),
                  pa.array(scores >= 0.5).cast(pa.int32())], names=schema.names)

@@ -8,12 +8,12 @@ from pagelake.llm.common import table
 
 def shingles(line):
     raw = line.encode()
-    return {raw[k:k + line_dedup.SHINGLE] for k in range(len(raw) - line_dedup.SHINGLE + 1)}
+    return {raw[k:k + line_dedup.SHINGLE] for k in range(max(1, len(raw) - line_dedup.SHINGLE + 1))}
 
 
 def lines_of(rows):
     return [((i is None, i or 0, k), line) for i, t in rows for k, line in enumerate((t or "").split("\n"))
-            if t is not None and len(line) >= line_dedup.LEAST_CHARS]
+            if t is not None and line.strip(" \t\n\x0b\x0c\r")]
 
 
 def brute_force(rows):

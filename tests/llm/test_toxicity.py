@@ -75,3 +75,25 @@ def test_dictionaries_see_whole_texts():
     late = [toxicity.words_of(prose(k, 300) + " latecoming passage of every ordinary text") for k in range(200)]
     model = toxicity.dictionaries([[b"insult"]] * 40, late)
     assert b"LATECOMI" in model.ordinary
+
+
+def test_language_source_and_ids_are_no_inputs(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    model = toxicity.learn(docs, labels)
+    plain = {r.doc_id: r.score for r in toxicity.score_documents(docs, model).collect()}
+    other = docs.selectExpr("doc_id + 1000000 as doc_id", "text", "reverse(source) as lang", "lang as source", "n_chars")
+    moved = {r.doc_id - 1_000_000: r.score for r in toxicity.score_documents(other, model).collect()}
+    assert moved == plain
+    again = toxicity.learn(docs.selectExpr("doc_id", "text", "'xx' as lang", "lang as source"), labels)
+    assert {r.doc_id: r.score for r in toxicity.score_documents(docs, again).collect()} == plain
+
+
+def test_rows_of_one_id_do_not_pass_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TOXIC_DOCUMENTS", 4)
+    monkeypatch.setattr(toxicity, "ORDINARY_DOCUMENTS", 6)
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, share: seen.update(t=texts, y=labels))
+    rows = [(1, f"text {k}") for k in range(300)] + [(1, "text 0")] * 200 + [(2, "other")]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    toxicity.learn(documents(spark, rows), labels)
+    assert len(seen["t"]) == len(set(seen["t"])) <= 10 and set(seen["y"]) == {0, 1}
