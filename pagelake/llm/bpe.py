@@ -14,12 +14,14 @@ rows give repeated results.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ LEXICON_WORDS = 65_536
 LEXICON_BYTES = 48
 #: Distinct words that a counting task holds before it passes them on.
 COUNTED_AT_ONCE = 500_000
+#: Distinct pieces whose ids a task keeps from slice to slice before it starts anew, and bytes of text in a slice.
+KNOWN_PIECES, SLICE = 400_000, 4 << 20
 #: Symbols up to which words are merged side by side; longer ones one by one with a heap.
 SIDE_BY_SIDE = 48
 NONE = np.int64(1 << 40)
@@ -81,6 +85,14 @@ def read_vocabulary(path: str) -> dict[str, np.ndarray]:
             "special": np.array(sorted(special), np.int64)}
 
 
+class Numbers(dict):
+    """Keys numbered as they are asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 class Codec:
     """Encodes pieces with a vocabulary and, if it has one, a word automaton."""
 
@@ -96,7 +108,12 @@ class Codec:
         self.special = {self.id_bytes[i].decode(): i for i in arrays["special"].tolist()}
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
                                         + ")").split if self.special else lambda text: [text]
-        self.words: dict[int, tuple[str, int, bytes]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the pieces that are known so far."""
+        self.known = Numbers()
+        self.described_as: tuple[list[str], list[int], list[bytes]] = ([], [], [])
 
     # -- merging ---------------------------------------------------------------
 
@@ -214,46 +231,58 @@ class Codec:
         """Of each distinct piece: its ids joined by commas, how many they are, and the bytes they stand for."""
         out: list = [None] * len(pieces)
         plain = [i for i, p in enumerate(pieces) if p[:1] not in (FIRST, SPECIAL)]
-        if "edge_key" in self.arrays:
-            number = lexicon.find(self.arrays, [b" " + pieces[i].encode() for i in plain])
-            starts, flat = self.arrays["word_start"], self.arrays["word_ids"]
-            for i, word in zip(plain, number.tolist(), strict=True):
-                if word >= 0:
-                    if word not in self.words:
-                        self.words[word] = self.described(flat[starts[word]:starts[word + 1]].tolist())
-                    out[i] = self.words[word]
+        for i, found in zip(plain, self.in_lexicon([b" " + pieces[i].encode() for i in plain]), strict=True):
+            out[i] = found
         open_: list[tuple[int, list[str]]] = []
-        distinct: dict[str, int] = {}
+        distinct = Numbers()
         for i, piece in enumerate(pieces):
             if out[i] is None:
                 if piece[:1] == SPECIAL:
                     out[i] = self.described([self.special[piece[1:]]])
                     continue
                 tokens = self.tokens(piece)
-                for token in tokens:
-                    distinct.setdefault(token, len(distinct))
-                open_.append((i, tokens))
-        merged = [self.described(ids) for ids in self.merge([t.encode() for t in distinct])]
+                open_.append((i, [distinct[token] for token in tokens]))
+        words = [t.encode() for t in distinct]
+        merged = self.in_lexicon(words)
+        rest = [i for i, found in enumerate(merged) if found is None]
+        for i, ids in zip(rest, self.merge([words[i] for i in rest]), strict=True):
+            merged[i] = self.described(ids)
         for i, tokens in open_:
             if len(tokens) == 1:
-                out[i] = merged[distinct[tokens[0]]]
+                out[i] = merged[tokens[0]]
             else:
-                found = [merged[distinct[t]] for t in tokens]
+                found = [merged[t] for t in tokens]
                 out[i] = (",".join(f[0] for f in found), sum(f[1] for f in found), b"".join(f[2] for f in found))
         return out
 
+    def in_lexicon(self, words: list[bytes]) -> list[tuple[str, int, bytes] | None]:
+        """What the automaton holds of these words (with the space before them), None for others."""
+        if "edge_key" not in self.arrays or not words:
+            return [None] * len(words)
+        starts, flat = self.arrays["word_start"], self.arrays["word_ids"]
+        number = lexicon.find(self.arrays, words)
+        at = np.maximum(number, 0)
+        return [self.described(flat[a:b].tolist()) if n >= 0 else None for n, a, b in zip(
+            number.tolist(), starts[at].tolist(), starts[at + 1].tolist(), strict=True)]
+
     def described(self, ids: list[int]) -> tuple[str, int, bytes]:
         return ",".join([self.names[i] for i in ids]), len(ids), b"".join([self.id_bytes[i] for i in ids])
 
     def encode_texts(self, texts: list[str | None]) -> Iterator[tuple[str, int, bytes]]:
         """Of each text: ids joined by commas, their number, and the decoded bytes."""
-        known: dict[str, int] = {}
-        coded = [[known.setdefault(p, len(known)) for p in self.pieces(t or "")] for t in texts]
-        found = self.encode_pieces(list(known))
-        names, counts, raw = zip(*found, strict=True) if found else ((), (), ())
+        if len(self.known) > KNOWN_PIECES:
+            self.forget()
+        known = self.known
+        before = len(known)
+        coded = [list(map(known.__getitem__, self.pieces(t or ""))) for t in texts]
+        names, counts, raw = self.described_as
+        with collector_paused():
+            found = self.encode_pieces(list(known)[before:])
+        for column, values in zip(self.described_as, zip(*found, strict=True), strict=False):
+            column.extend(values)
         for codes in coded:
-            yield (",".join([names[c] for c in codes]), sum([counts[c] for c in codes]),
-                   b"".join([raw[c] for c in codes]))
+            yield (",".join(map(names.__getitem__, codes)), sum(map(counts.__getitem__, codes)),
+                   b"".join(map(raw.__getitem__, codes)))
 
     def encode(self, text: str | None) -> list[int]:
         ids = next(self.encode_texts([text]))[0]
@@ -263,6 +292,18 @@ class Codec:
         return b"".join([self.id_bytes[i] for i in ids]).decode("utf-8", "replace")
 
 
+@contextmanager
+def collector_paused() -> Iterator[None]:
+    """No search for reference cycles meanwhile: the many small tuples of a slice make none."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def count_words(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, n): how often each word that follows a space occurs, over all documents."""
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,15 +395,14 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(model)
-        for batch in slices(batches, text_col, 8 << 20):
+        for batch in slices(batches, text_col, SLICE):
             found = codec.encode_texts(batch.column(text_col).to_pylist())
             if digests:
                 made = [(n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(
                     raw.decode("utf-8", "replace").encode()).hexdigest()) for ids, n, raw in found]
                 kinds = [pa.int64(), pa.string(), pa.string()]
             else:
-                made = [(np.array(ids.split(",") if ids else [], np.int32), raw.decode("utf-8", "replace"))
-                        for ids, n, raw in found]
+                made = [(np.fromstring(ids, np.int32, sep=","), raw.decode("utf-8", "replace")) for ids, n, raw in found]
                 kinds = [pa.list_(pa.int32()), pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_col), *(pa.array([m[k] for m in made], kind) for k, kind in enumerate(kinds))],
