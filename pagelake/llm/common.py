@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.session import scratch_folder, ship_package, write_bytes
+from pagelake.session import remove_folder, scratch_folder, ship_package, write_bytes
 
 #: The white space that separates words in every contract: space and U+0009 to U+000D.
 WHITE = " \t\n\x0b\x0c\r"
@@ -39,11 +39,21 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     """The frame written to a scratch folder on shared storage and read again.
 
     Cuts the lineage: a lost executor never repeats what came before.  The
-    folder goes when the application ends.
+    folder goes when the application ends, or with :func:`forget`.
     """
-    folder = f"{scratch_folder(df.sparkSession, purpose)}/table"
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    folder = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(f"{folder}/table")
+    out = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/table")
+    out.staged_folder = folder
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of :func:`staged` once what was made of them is written itself."""
+    for table_ in tables:
+        folder = getattr(table_, "staged_folder", None)
+        if isinstance(folder, str):
+            remove_folder(table_.sparkSession, folder)
 
 
 def small(df: DataFrame, most: int = SENT_ROWS) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import staged
+from pagelake.llm.common import forget, staged
 
 
 def connected_components(edges: DataFrame, purpose: str, most_rounds: int = 40) -> DataFrame:
@@ -37,5 +37,7 @@ def connected_components(edges: DataFrame, purpose: str, most_rounds: int = 40)
         lowest = large.groupBy("v").agg(F.min("u").alias("low"))
         small = (large.join(lowest, "v").filter("u > low").select(F.col("low").alias("u"), F.col("u").alias("v"))
                  .union(lowest.select("low", "v"))).distinct()
-        now = staged(small, f"{purpose}-edges")
+        then = staged(small, f"{purpose}-edges")
+        forget(now)
+        now = then
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelake.llm.common import on_workers, slices, staged
+from pagelake.llm.common import forget, on_workers, slices, staged
 
 ORDER = 5
 BITS = 12
@@ -111,7 +111,7 @@ def train(trusted: DataFrame, text_col: str = "text") -> DataFrame:
         counted[order] = staged(counted[order + 1].groupBy(F.col("gram").bitwiseAND(F.lit(mask(order))).alias("gram"))
                                 .agg(F.count("*").alias("n")), "kn-counts")
     types = counted[1].count()
-    lower, parts = None, []
+    lower, parts, steps = None, [], list(counted.values())
     for order in range(1, ORDER + 1):
         d1, d2, d3 = discounts(counted[order])
         cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
@@ -127,6 +127,7 @@ def train(trusted: DataFrame, text_col: str = "text") -> DataFrame:
             probable = joined.withColumn("suffix", F.col("gram").bitwiseAND(F.lit(mask(order - 1)))).join(
                 below, "suffix").select("gram", (share + F.col("left") * F.col("below")).alias("p"))
         lower = staged(probable, "kn-probabilities")
+        steps += [contexts, lower]
         parts += [lower.select(F.lit("p").alias("kind"), F.lit(order).alias("order"), "gram", F.log("p").alias("value")),
                   contexts.select(F.lit("g").alias("kind"), F.lit(order).alias("order"),
                                   F.col("context").alias("gram"), F.log("left").alias("value"))]
@@ -134,7 +135,9 @@ def train(trusted: DataFrame, text_col: str = "text") -> DataFrame:
     parts.append(trusted.sparkSession.range(1).select(F.lit("p").alias("kind"), F.lit(0).alias("order"),
                                                       F.lit(0).cast("long").alias("gram"),
                                                       F.lit(-float(np.log(types + 1))).alias("value")))
-    return staged(reduce(DataFrame.unionByName, parts), "kn-model")
+    model = staged(reduce(DataFrame.unionByName, parts), "kn-model")
+    forget(*steps)
+    return model
 
 
 class Table:
@@ -272,8 +275,10 @@ def unseen_scores(trusted: DataFrame) -> DataFrame:
         own, others = dealt.filter(F.col("_part") == k), dealt.filter(F.col("_part") != k)
         if others.filter(F.length("_text") > 0).isEmpty():
             others = dealt  # nothing else to learn from
-        scored.append(score(own.select("_lang", "_text"), train(others.select("_text"), "_text"), "_text"))
-    return staged(reduce(DataFrame.unionByName, scored), "kn-unseen")
+        model = train(others.select("_text"), "_text")
+        scored.append(staged(score(own.select("_lang", "_text"), model, "_text"), "kn-unseen"))
+        forget(model)
+    return reduce(DataFrame.unionByName, scored)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -290,9 +295,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     if trusted.filter(F.length("_text") > 0).isEmpty():
         return docs.select(F.col(id_col), F.col(lang_col), F.lit(None).cast("double").alias("perplexity"),
                            F.lit(None).cast("double").alias("threshold"), F.lit(False).alias("kept"))
-    model = train(trusted.select("_text"), "_text")
     unseen = unseen_scores(trusted)
+    model = train(trusted.select("_text"), "_text")
     scored = staged(score(known.select("_id", "_lang", "_text"), model, "_text"), "kn-scores")
+    forget(model)
     level = F.expr(f"percentile_approx(perplexity, {quantile}, 10000)")
     whole = unseen.agg(level.alias("t")).first().t
     by_lang = unseen.groupBy(F.col("_lang").alias("_of")).agg(level.alias("_t"))
