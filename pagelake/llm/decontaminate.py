@@ -12,15 +12,15 @@ item:
    moves on or stays by a random bit of (step, word) writes the word it stands on, so
    that few edits become few differing places.  Repeated bit sampling of two places per
    repetition gives candidates.  The number of repetitions is chosen, size by size, by
-   embedding randomly edited copies of the items until :data:`TARGET_RECALL` of them,
-   with the most edits allowed, are found.  For a size (long items) of which :data:`WALKS`
+   embedding copies of the items with the most edits allowed until :data:`TARGET_RECALL` of them
+   are found, of those with only replaced, only inserted, only deleted and mixed words alike.  For a size (long items) of which :data:`WALKS`
    walks do not find that share, every window and item that pass the first step are
    candidates, so no leak is lost.
 3. Candidates are verified by the exact edit distance.
 
 The benchmark is the stated query set; it is read in blocks of at most
-:data:`BLOCK_WORDS` words, and each block is sought in all documents.  Items of fewer
-than :data:`LEAST_WORDS` words, and null texts, are not sought.  Documents with null
+:data:`BLOCK_WORDS` words, and each block is sought in all documents.  Items
+without a word, and null texts, are not sought; items of fewer than five words allow no edit.  Documents with null
 or empty text leak nothing.  Repeated rows give repeated results.
 """
 
@@ -39,11 +39,11 @@ from pyspark.sql import types as T
 from pagelake.llm.common import on_workers, slices
 
 MAX_EDITS = 0.2
-LEAST_WORDS = 5
+LEAST_WORDS = 1
 BLOCK_WORDS = 50_000
 TARGET_RECALL = 0.99
-WALKS, SAMPLES, PLACES = 16, 6, 2
-TRIALS = 200
+WALKS, SAMPLES, PLACES = 24, 6, 2
+TRIALS = 1000
 #: Bytes of text that are searched at a time.
 SEARCHED_BYTES = 16 << 20
 #: Window positions whose running sums are looked at together (they stay in the processor's cache).
@@ -85,10 +85,8 @@ class Size:
         self.distinct = min(len(own) for own, *_ in self.counts)
         self.places = rng.integers(0, self.length, (WALKS, SAMPLES, PLACES))
         self.base = vocabulary + 2
-        self.walks = WALKS
-        own = self.keys(items)
-        self.walks = self.enough(own, rng)
-        self.own = own[:, :self.walks * SAMPLES]
+        self.own = np.zeros((len(items), 0), np.int64)
+        self.walks = self.enough(rng)
 
     def walk(self, words: np.ndarray, number: int) -> np.ndarray:
         """The embedding of rows of words by one walk: row, step."""
@@ -102,37 +100,48 @@ class Size:
             at += (self.bits[number, step >> 6, word] >> np.uint64(step & 63) & one).astype(np.int64)
         return out
 
+    def keys_of(self, words: np.ndarray, number: int) -> np.ndarray:
+        """The places that one walk's repetitions sample of each row, as one number per repetition."""
+        out = self.walk(words, number).astype(np.int64)
+        return np.stack([reduce(lambda key, place: key * self.base + out[:, place], places, np.zeros(len(words), np.int64))
+                         for places in self.places[number]], axis=1)
+
     def keys(self, words: np.ndarray) -> np.ndarray:
-        """The sampled places of each row as one number per repetition."""
-        keys = []
-        for number in range(self.walks):
-            out = self.walk(words, number).astype(np.int64)
-            for places in self.places[number]:
-                keys.append(reduce(lambda key, place: key * self.base + out[:, place], places, np.zeros(len(words),
-                                                                                                         np.int64)))
-        return np.stack(keys, axis=1)
-
-    def enough(self, own: np.ndarray, rng: np.random.Generator) -> int:
-        """How many walks find the target share of randomly edited copies; 0 if :data:`WALKS` do not."""
+        return np.concatenate([self.keys_of(words, number) for number in range(self.walks)], axis=1)
+
+    def edited_copies(self, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+        """(copy, item): windows of copies of the items with the most edits, :data:`TRIALS` of each kind of edit
+        (replaced, inserted, deleted, all mixed), kind by kind."""
         pick = random.Random(int(rng.integers(1 << 30)))
-        which = [pick.randrange(len(self.items)) for _ in range(TRIALS)]
-        copies = np.full((TRIALS, self.n), UNKNOWN, np.int64)
+        which = [pick.randrange(len(self.items)) for _ in range(4 * TRIALS)]
+        copies = np.full((len(which), self.n), UNKNOWN, np.int64)
         for t, item in enumerate(which):
-            words = self.items[item].tolist()
+            words, kind = self.items[item].tolist(), t // TRIALS
             for _ in range(self.edits):
-                at, kind = pick.randrange(len(words)), pick.randrange(3)
-                if kind == 0:
+                at, edit = pick.randrange(len(words)), kind if kind < 3 else pick.randrange(3)
+                if edit == 0:
                     words[at] = UNKNOWN
-                elif kind == 1:
+                elif edit == 1:
                     words.insert(at, UNKNOWN)
                 elif len(words) > 1:
                     del words[at]
             words = words[:self.n]
             copies[t, :len(words)] = words
-        hit = self.keys(copies) == own[which]
-        for walks in range(2, WALKS + 1):
-            if hit[:, :walks * SAMPLES].any(1).mean() >= TARGET_RECALL:
-                return walks
+        return copies, np.array(which)
+
+    def enough(self, rng: np.random.Generator) -> int:
+        """How many walks find the target share of edited copies, whatever the kind of edit; 0 if :data:`WALKS` do not.
+
+        Leaves the items' keys of these walks in ``own``.
+        """
+        copies, which = self.edited_copies(rng)
+        missed = np.arange(len(which))
+        for number in range(WALKS):
+            own = self.keys_of(self.items, number)
+            self.own = np.concatenate([self.own, own], axis=1)
+            missed = missed[~(self.keys_of(copies[missed], number) == own[which[missed]]).any(1)]
+            if np.bincount(missed // TRIALS, minlength=4).max() <= (1 - TARGET_RECALL) * TRIALS:
+                return number + 1
         return 0
 
     def promising(self, windows: np.ndarray) -> np.ndarray:
@@ -208,6 +217,11 @@ class Block:
                                                     np.uint64)
         self.sizes = [Size(rows, np.array([coded[r] for r in rows], np.int64), bits, seed + n)
                       for n, rows in sorted(by_size.items())]
+        sampled = [s for s in self.sizes if s.walks]
+        kept = bits[:max((s.walks for s in sampled), default=0),
+                    :2 * max((s.n for s in sampled), default=0) // 64 + 1].copy()
+        for size in self.sizes:
+            size.bits = kept
 
     def search(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, edits, first word) of every leak; of an item in a text the closest, then the first passage."""
@@ -218,6 +232,13 @@ class Block:
         words = np.concatenate([*coded, np.zeros(reach, np.int32)])
         total = np.zeros(len(words) + 1, np.int32)
         np.cumsum(words != UNKNOWN, out=total[1:])
+
+        def within(begin: np.ndarray, n: int) -> np.ndarray:
+            """``n`` words from each place on; END behind the last word of its text."""
+            place = begin[:, None] + np.arange(n)
+            end = starts[np.searchsorted(starts, begin, side="right")]
+            return np.where(place < end[:, None], words[place], END)
+
         best: dict[tuple[int, int], tuple[int, int]] = {}
         places: list[list[np.ndarray]] = [[] for _ in self.sizes]
         for begin in range(0, int(starts[-1]), POSITIONS):  # a part of the running sum at a time, for all sizes
@@ -229,20 +250,18 @@ class Block:
             at = np.concatenate(found) if found else np.zeros(0, np.int64)
             kept = []
             for some in np.split(at, range(4096, len(at), 4096)):
-                kept.append(some[size.promising(words[some[:, None] + np.arange(size.n)])])
+                kept.append(some[size.promising(within(some, size.n))])
             at = np.concatenate(kept)
             for some in np.split(at, range(8192, len(at), 8192)):
                 if not len(some):
                     continue
-                windows = words[some[:, None] + np.arange(size.n)]
+                windows = within(some, size.n)
                 row, item = size.candidates(windows)
                 begin = some[row]
                 text = np.searchsorted(starts, begin, side="right") - 1
                 for k in range(0, len(begin), 4096):
                     b, t, i = begin[k:k + 4096], text[k:k + 4096], item[k:k + 4096]
-                    place = b[:, None] + np.arange(size.n + size.edits)
-                    passage = np.where(place < starts[t + 1][:, None], words[place], END)
-                    found = edit_distances(size.items[i], passage, size.edits)
+                    found = edit_distances(size.items[i], within(b, size.n + size.edits), size.edits)
                     for r in np.flatnonzero(found <= size.edits).tolist():
                         key = int(t[r]), int(size.rows[i[r]])
                         value = int(found[r]), int(b[r] - starts[t[r]])

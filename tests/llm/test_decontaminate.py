@@ -54,6 +54,59 @@ def test_recall_at_the_most_edits():
     assert found / tried >= 0.95
 
 
+def kind_edited(words, edits, kind, rnd):
+    words = list(words)
+    for _ in range(edits):
+        at, edit = rnd.randrange(len(words)), kind if kind < 3 else rnd.randrange(3)
+        if edit == 0:
+            words[at] = "other"
+        elif edit == 1:
+            words.insert(at, "more")
+        elif len(words) > 1:
+            del words[at]
+    return words
+
+
+def test_every_kind_of_edit_is_found_on_the_real_items(spark):
+    """Replaced, inserted, deleted and mixed words apart, with the most edits, in running text and at its end."""
+    items = [w for w in (d.words_of(r.text) for r in table(spark, "/root/testdata/sf0.01", "benchmark").collect()) if w]
+    block = d.Block(items)
+    rnd = random.Random(11)
+    for kind in range(4):
+        texts, wanted = [], []
+        for k, item in enumerate(items):
+            for copy in range(8):
+                words = kind_edited([w.decode() for w in item], d.edits_allowed(len(item)), kind, rnd)
+                texts.append(prose(rnd.random(), 20) + " " + " ".join(words) + (" " + prose(rnd.random(), 20) if copy % 2 else ""))
+                wanted.append(k)
+        found = {(t, i) for t, i, *_ in block.search(texts)}
+        got = sum((t, k) in found for t, k in enumerate(wanted)) / len(wanted)
+        assert got >= 0.97, (kind, got)
+    hard = d.Block([[f"w{k}".encode() for k in range(59)]])
+    texts = [" ".join(kind_edited([f"w{k}" for k in range(59)], 11, 2, rnd)) for _ in range(200)]
+    assert len({t for t, *_ in hard.search(texts)}) >= 194
+
+
+def test_a_text_is_searched_alone():
+    """What stands in the texts beside it changes nothing, also for passages at the end of a text."""
+    rnd = random.Random(12)
+    items = [d.words_of(prose(k, 15 + k)) for k in range(25)]
+    block = d.Block(items)
+    texts = [prose(rnd.random(), 10) + " " + " ".join(kind_edited([w.decode() for w in items[k % 25]],
+             d.edits_allowed(15 + k % 25), k % 4, rnd)) for k in range(160)]
+    together = {}
+    for t, *rest in block.search(texts):
+        together.setdefault(t, []).append(rest)
+    for t, text in enumerate(texts):
+        assert [r[1:] for r in map(list, block.search([text]))] == together.get(t, [])
+
+
+def test_short_items_are_sought_exactly():
+    block = d.Block([[b"one"], [b"two", b"words"], [b"now", b"three", b"words"]])
+    got = [(t, i, e) for t, i, e, _ in block.search(["say two words", "two other words", "one", "now three words", None, ""])]
+    assert got == [(0, 1, 0), (2, 0, 0), (3, 2, 0)]
+
+
 def test_long_items_are_found_at_the_most_edits():
     rnd = random.Random(5)
     for n in (500, 1000):
