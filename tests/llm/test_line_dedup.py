@@ -94,7 +94,7 @@ def test_short_lines_are_nodes(spark):
     rows = [(1, "All rights reserved.\n\n# Notes\nok"), (2, "All rights reserved.\n \t\n# Notes\nok\n####"),
             (3, "ok!\nAll rights reserved?\n# Notes\n")]
     got = {(place(r.doc_id, r.line), place(r.class_doc_id, r.class_line))
-           for r in line_dedup.line_classes(documents(spark, rows), least_chars=0).collect()}
+           for r in line_dedup.line_classes(documents(spark, rows)).collect()}
     first = {place(1, 0): 0, place(1, 2): 2, place(1, 3): 3}
     expected = {(p, p) for p in first} | {(place(2, 0), place(1, 0)), (place(2, 2), place(1, 2)), (place(2, 3), place(1, 3)),
                                           (place(2, 4), place(2, 4)), (place(3, 0), place(3, 0)),
@@ -102,7 +102,7 @@ def test_short_lines_are_nodes(spark):
     alone = (place(3, 1), place(3, 1)) if jaccard("All rights reserved.", "All rights reserved?") < line_dedup.SIMILARITY \
         else (place(3, 1), place(1, 0))
     assert got == expected | {alone}
-    kept = {r.doc_id: r.text for r in line_dedup.clean_documents(documents(spark, rows), least_chars=0).collect()}
+    kept = {r.doc_id: r.text for r in line_dedup.clean_documents(documents(spark, rows)).collect()}
     assert kept[1] == rows[0][1] and kept[2] == " \t\n####"
 
 
