@@ -2,7 +2,7 @@
 
 Lines (split at ``\\n``) of at least ``least_chars`` characters count (0 unless the caller sets it);
 blank ones never do, they are always kept.  Two lines are linked if the Jaccard
-similarity of their character shingles (every five bytes of the UTF-8 form; the line itself if it is
+similarity of their character shingles (every eight bytes of the UTF-8 form; the line itself if it is
 shorter) is at least :data:`SIMILARITY`; equal lines are one node from the start.  Of every component the first
 line is kept, by document id, then place in the text.
 
@@ -31,12 +31,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagelake.llm.common import SENT_ROWS, fresh, small, staged
+from pagelake.llm.common import SENT_ROWS, forget, fresh, small, staged
 from pagelake.llm.graph import connected_components
 
 #: The least characters of a line that counts, where the caller sets no other.
 LEAST_CHARS = 0
-SHINGLE = 5
+SHINGLE = 8
 #: Shingles that one row of the signature's aggregate takes in.
 AT_ONCE = 4
 SIMILARITY = 0.8
@@ -142,12 +142,16 @@ def links(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col:
                   .filter("_least < _most").select("_band"), "lines-bands")
     buckets = staged(sized(rows.join(small(live), "_band", "left_semi")
                     .dropDuplicates(["_node", "_band"])), "lines-buckets")
-    wanted = staged(buckets.select(F.col("_node").alias("_w")).distinct(), "lines-wanted")
+    pairs = staged(pairs_within(buckets.filter(F.col("_n") <= BUCKET)), "lines-candidates")
+    crowded = staged(buckets.filter(F.col("_n") > BUCKET).select("_band", "_node", "_low"), "lines-crowded")
+    forget(live, buckets)
+    wanted = staged(pairs.select(F.explode(F.array("u", "v")).alias("_w")).union(crowded.select("_node")).distinct(),
+                    "lines-wanted")
     texts = lines_of(docs, id_col, text_col, least_chars).select(F.xxhash64("_line").alias("_node"), "_line")
     texts = staged(texts.join(small(wanted), F.col("_node") == F.col("_w"), "left_semi").groupBy("_node").agg(
         F.first("_line").alias("_line")), "lines-texts")
-    found = staged(similar(pairs_within(buckets.filter(F.col("_n") <= BUCKET)), texts), "lines-links")
-    crowded = staged(buckets.filter(F.col("_n") > BUCKET).select("_band", "_node", "_low"), "lines-crowded")
+    found = staged(similar(pairs, texts), "lines-links")
+    forget(pairs, wanted)
     return found if crowded.isEmpty() else crowded_links(found, crowded, texts)
 
 
