@@ -37,8 +37,9 @@ LEXICON_WORDS = 65_536
 LEXICON_BYTES = 48
 #: Distinct words that a counting task holds before it passes them on.
 COUNTED_AT_ONCE = 500_000
-#: Distinct pieces whose ids a task keeps from slice to slice before it starts anew, and bytes of text in a slice.
-KNOWN_PIECES, SLICE = 400_000, 4 << 20
+#: Distinct pieces whose ids a task keeps from slice to slice before it starts anew (fewer where the ids themselves
+#: are returned, which takes more memory), and bytes of text in a slice.
+KNOWN_PIECES, KNOWN_WITH_IDS, SLICE = 400_000, 80_000, 4 << 20
 #: Symbols up to which words are merged side by side; longer ones one by one with a heap.
 SIDE_BY_SIDE = 48
 NONE = np.int64(1 << 40)
@@ -268,9 +269,9 @@ class Codec:
     def described(self, ids: list[int]) -> tuple[str, int, bytes]:
         return ",".join([self.names[i] for i in ids]), len(ids), b"".join([self.id_bytes[i] for i in ids])
 
-    def encode_texts(self, texts: list[str | None]) -> Iterator[tuple[str, int, bytes]]:
+    def encode_texts(self, texts: list[str | None], most_known: int = KNOWN_PIECES) -> Iterator[tuple[str, int, bytes]]:
         """Of each text: ids joined by commas, their number, and the decoded bytes."""
-        if len(self.known) > KNOWN_PIECES:
+        if len(self.known) > most_known:
             self.forget()
         known = self.known
         before = len(known)
@@ -395,8 +396,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(model)
-        for batch in slices(batches, text_col, SLICE):
-            found = codec.encode_texts(batch.column(text_col).to_pylist())
+        for batch in slices(batches, text_col, SLICE if digests else SLICE // 2):
+            found = codec.encode_texts(batch.column(text_col).to_pylist(), KNOWN_PIECES if digests else KNOWN_WITH_IDS)
             if digests:
                 made = [(n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(
                     raw.decode("utf-8", "replace").encode()).hexdigest()) for ids, n, raw in found]
