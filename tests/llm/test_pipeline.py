@@ -60,4 +60,4 @@ def test_stages_keep_the_columns_and_cope_with_odd_rows(spark):
 def test_registered():
     names = __spark_entry__.queries()
     assert names["pipeline"] is corpus_pipeline.run
-    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{k}" for k in range(1, 14)]
