@@ -143,7 +143,7 @@ def coalesced(ranges: list[tuple[int, int]], gap: int = GAP, most: int = READ) -
     """Sorted (offset, length) ranges as (begin, end, number of ranges) of the reads that cover them."""
     reads: list[list[int]] = []
     for offset, length in ranges:
-        if reads and offset - reads[-1][1] <= gap and offset + length - reads[-1][0] <= most:
+        if reads and offset - reads[-1][1] <= gap and max(reads[-1][1], offset + length) - reads[-1][0] <= most:
             reads[-1][1] = max(reads[-1][1], offset + length)
             reads[-1][2] += 1
         else:
