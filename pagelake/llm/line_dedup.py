@@ -16,6 +16,8 @@ line is kept, by document id, then place in the text.
    which 99.9 % of the pairs at similarity 0.8 do, and few of those below 0.5.
 3. Verification: all candidates of a bucket of up to :data:`BUCKET` lines are compared exactly.
    Larger ones are connected over a central line (:func:`crowded_links`), with the same result.
+   Parity sketches of the shingle sets (:func:`sketched`) come first: the bits in which two of them
+   differ are never more than the shingles that only one line has, so no similar pair is ruled out.
 4. Union-find: :func:`pagelake.llm.graph.connected_components`.
 
 Lines are told apart by their 64-bit hash.  A null text has no lines.  Null ids come
@@ -43,6 +45,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
 #: Minima, of all, that two candidates share at least.
 AGREEING = 18
+#: Words of 64 bits in a parity sketch.
+WORDS = 16
 #: Lines in a bucket up to which all its pairs are compared.
 BUCKET = 16
 
@@ -107,16 +111,35 @@ def alike(a: Column, b: Column) -> Column:
     return differing <= BANDS * ROWS - AGREEING
 
 
+def sketched(texts: DataFrame) -> DataFrame:
+    """(_node, _line) with the number of different shingles ``_n`` and their parity sketch ``_odd``.
+
+    Each shingle flips one bit of the sketch.  A shingle that two lines share flips the same bit of both.
+    """
+    cut = texts.select("_node", F.explode(F.array_distinct(shingles_of(F.col("_line")))).alias("_cut"))
+    cut = cut.select("_node", F.xxhash64("_cut").alias("_h"))
+    cut = cut.select("_node", F.col("_h").bitwiseAND(F.lit(WORDS - 1)).alias("_word"),
+                     F.expr("shiftleft(1L, cast(shiftright(_h, 32) & 63 as int))").alias("_bit"))
+    odd = [F.bit_xor(F.when(F.col("_word") == w, F.col("_bit")).otherwise(F.lit(0).cast("long"))) for w in range(WORDS)]
+    made = cut.groupBy("_node").agg(F.count("*").alias("_n"), F.array(*odd).alias("_odd"))
+    return texts.select("_node", "_line").join(made, "_node")
+
+
+def near(a: Column, a_n: Column, b: Column, b_n: Column) -> Column:
+    """Whether two lines can be similar enough, given their sketches and numbers of shingles."""
+    apart = reduce(Column.__add__, [F.bit_count(F.get(a, w).bitwiseXOR(F.get(b, w))) for w in range(WORDS)])
+    return F.greatest(apart, F.abs(a_n - b_n)) * (1 + SIMILARITY) <= (a_n + b_n) * (1 - SIMILARITY) + 1e-6
+
+
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose lines are similar enough; ``texts``: node, line."""
-    lines = texts.select("_node", "_line")
-    joined = pairs.join(lines.toDF("u", "_x"), "u").join(lines.toDF("v", "_y"), "v")
-    # inline() of one row keeps the optimizer from moving these into the join's condition, where each would run twice
-    sets = joined.select("u", "v", F.inline(F.array(F.struct(shingles_of(F.col("_x")).alias("_x"),
-                                                             shingles_of(F.col("_y")).alias("_y")))))
-    both, either = F.size(F.array_intersect("_x", "_y")), F.size(F.array_union("_x", "_y"))
-    counted = sets.select("u", "v", F.inline(F.array(F.struct(both.alias("_both"), either.alias("_either")))))
-    return counted.filter(F.col("_both") / F.col("_either") >= SIMILARITY).select("u", "v")
+    """The pairs (u, v) whose lines are similar enough; ``texts`` as of :func:`sketched`."""
+    x = texts.select(F.col("_node").alias("u"), F.col("_line").alias("_x"), F.col("_n").alias("_xn"), F.col("_odd").alias("_xo"))
+    y = texts.select(F.col("_node").alias("v"), F.col("_line").alias("_y"), F.col("_n").alias("_yn"), F.col("_odd").alias("_yo"))
+    joined = pairs.join(x, "u").join(y, "v").filter(near(F.col("_xo"), F.col("_xn"), F.col("_yo"), F.col("_yn")))
+    # inline() of one row keeps the optimizer from moving this into the join's condition, where it would run twice
+    both = F.size(F.array_intersect(shingles_of(F.col("_x")), shingles_of(F.col("_y"))))
+    counted = joined.select("u", "v", "_xn", "_yn", F.inline(F.array(F.struct(both.alias("_both")))))
+    return counted.filter(F.col("_both") / (F.col("_xn") + F.col("_yn") - F.col("_both")) >= SIMILARITY).select("u", "v")
 
 
 def pairs_within(buckets: DataFrame) -> DataFrame:
@@ -148,8 +171,10 @@ def links(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col:
     wanted = staged(pairs.select(F.explode(F.array("u", "v")).alias("_w")).union(crowded.select("_node")).distinct(),
                     "lines-wanted")
     texts = lines_of(docs, id_col, text_col, least_chars).select(F.xxhash64("_line").alias("_node"), "_line")
-    texts = staged(texts.join(small(wanted), F.col("_node") == F.col("_w"), "left_semi").groupBy("_node").agg(
+    plain = staged(texts.join(small(wanted), F.col("_node") == F.col("_w"), "left_semi").groupBy("_node").agg(
         F.first("_line").alias("_line")), "lines-texts")
+    texts = staged(sketched(plain), "lines-texts")
+    forget(plain)
     found = staged(similar(pairs, texts), "lines-links")
     forget(pairs, wanted)
     return found if crowded.isEmpty() else crowded_links(found, crowded, texts)
@@ -161,46 +186,51 @@ def crowded_links(found: DataFrame, crowded: DataFrame, texts: DataFrame) -> Dat
     A bucket's pivot is the line with the largest share of shingles that other crowded
     lines have too, the one the others are variants of.  All lines are compared with it.
     Lines that are not in its component then are compared with every line of the bucket
-    outside their own component.  Pairs are left out where the shingles that no other
-    crowded line has rule the similarity out.  That connects what all pairs of the
+    outside their own component.  Pairs are left out where the sketches, or the shingles that no other
+    crowded line has, rule the similarity out.  That connects what all pairs of the
     bucket would connect.
     """
     own = staged(texts.join(crowded.select("_node").distinct(), "_node", "left_semi"), "lines-crowded")
     shingles = own.select("_node", F.explode(shingles_of(F.col("_line"))).alias("_shingle"))
     alone = (shingles.groupBy("_shingle").agg(F.min("_node").alias("_node"), F.max("_node").alias("_other"))
              .filter("_node = _other").groupBy("_node").agg(F.count("*").alias("_alone")))
-    counted = own.select("_node", F.size(F.array_distinct(shingles_of(F.col("_line")))).alias("_n"))
-    counted = counted.join(alone, "_node", "left").select(
-        "_node", "_n", (F.col("_n") - F.coalesce("_alone", F.lit(0))).alias("_common"))
+    counted = own.join(alone, "_node", "left").select(
+        "_node", "_n", "_odd", (F.col("_n") - F.coalesce("_alone", F.lit(0))).alias("_common"))
     members = staged(crowded.join(counted, "_node"), "lines-members")
     best = F.max(F.struct((F.col("_common") / F.col("_n")).alias("share"), F.col("_node").alias("node"),
-                          F.col("_n").alias("n"), F.col("_common").alias("common"), F.col("_low").alias("low")))
+                          F.col("_n").alias("n"), F.col("_common").alias("common"), F.col("_low").alias("low"), F.col("_odd").alias("odd")))
     pivots = staged(members.groupBy("_band").agg(best.alias("p")).select(
         "_band", F.col("p.node").alias("_node"), F.col("p.n").alias("_n"), F.col("p.common").alias("_common"),
-        F.col("p.low").alias("_low")), "lines-pivots")
+        F.col("p.low").alias("_low"), F.col("p.odd").alias("_odd")), "lines-pivots")
     m, p = members.alias("m"), pivots.alias("p")
     star = m.join(p, (F.col("m._band") == F.col("p._band")) & (F.col("m._node") != F.col("p._node")) & _possible("m", "p"))
     found = staged(found.unionByName(similar(_pairs(star, "m", "p"), texts)), "lines-links")
 
     parts = staged(connected_components(found, "lines-found"), "lines-found")
     placed = members.join(small(parts), F.col("_node") == F.col("node"), "left").select(
-        "_band", "_node", "_low", "_n", "_common", F.coalesce("root", "_node").alias("_part"))
+        *members.columns, F.coalesce("root", "_node").alias("_part"))
     hub = pivots.select(F.col("_band").alias("_b"), F.col("_node").alias("_pivot"))
     placed = placed.join(hub, F.col("_band") == F.col("_b")).drop("_b")
     of_pivot = placed.filter("_node = _pivot").select(F.col("_band").alias("_b"), F.col("_part").alias("_main"))
     placed = staged(placed.filter("_node <> _pivot").join(of_pivot, F.col("_band") == F.col("_b")).drop("_b"),
                     "lines-placed")
+    of_line = placed.groupBy("_node").agg(F.collect_set("_band").alias("_bands")).withColumnRenamed("_node", "_of")
+    placed = staged(placed.join(of_line, F.col("_node") == F.col("_of")).drop("_of"), "lines-placed")
     out, rest = placed.filter("_part <> _main").alias("o"), placed.alias("m")
+    # once: if both are outside, from the smaller one; of the buckets that they share, in the first
+    once = (((F.col("m._part") == F.col("m._main")) | (F.col("o._node") < F.col("m._node")))
+            & (F.array_min(F.array_intersect("o._bands", "m._bands")) == F.col("o._band")))
     apart = out.join(rest, (F.col("o._band") == F.col("m._band")) & (F.col("o._part") != F.col("m._part"))
-                     & _possible("o", "m"))
+                     & _possible("o", "m") & once)
     more = staged(similar(_pairs(apart, "o", "m"), texts), "lines-links")
     return parts.select(F.col("root").alias("u"), F.col("node").alias("v")).unionByName(more)
 
 
 def _possible(a: str, b: str) -> Column:
-    """Whether two lines are candidates, and can be similar enough, given the shingles that only one line has."""
+    """Whether two lines are candidates, and can be similar enough, given their sketches and the shingles that only one line has."""
+    sketch = near(F.col(f"{a}._odd"), F.col(f"{a}._n"), F.col(f"{b}._odd"), F.col(f"{b}._n"))
     most = F.least(f"{a}._common", f"{b}._common")
-    return alike(F.col(f"{a}._low"), F.col(f"{b}._low")) & (most >= (SIMILARITY - 1e-9) * (F.col(f"{a}._n") + F.col(f"{b}._n") - most))
+    return sketch & alike(F.col(f"{a}._low"), F.col(f"{b}._low")) & (most >= (SIMILARITY - 1e-9) * (F.col(f"{a}._n") + F.col(f"{b}._n") - most))
 
 
 def _pairs(joined: DataFrame, a: str, b: str) -> DataFrame:
