@@ -80,7 +80,8 @@ class TableTransport:
     """Answers from a table ``request, attempt, status, body``: what the service says to each attempt (from 0).
 
     With a ``headers`` column, a map, a request must carry these headers, else it is refused (401).  A request that
-    the table does not know is not found (404).  Requests and answers meet in one equi-join.
+    the table does not know is not found (404).  Answers to other requests are left out where they are read, before the
+    equi-join in which requests and answers meet.
     """
 
     answers: DataFrame
@@ -94,6 +95,8 @@ class TableTransport:
         known = self.answers.select(F.col("request").alias("_request"), F.col("attempt").cast("int").alias("attempt"),
                                     F.col("status").cast("int").alias(STATUS), F.col("body").alias(BODY),
                                     *([F.col("headers").alias("_needs")] if "headers" in self.answers.columns else []))
+        # a wave asks for a bounded part of the table: its requests go to the answers, the rest of the answers never moves
+        known = known.join(requests.select(F.col("request").alias("_asked")), F.col("_request") == F.col("_asked"), "left_semi")
         met = requests.join(known, (F.col("request") == F.col("_request")) & (F.col("attempt") < F.col("attempts")), "left")
         status = F.when(F.col("_request").isNull(), F.lit(NOT_FOUND))
         body = F.when(F.col("_request").isNull(), F.lit(""))

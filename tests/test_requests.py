@@ -1,6 +1,7 @@
 """Requests as rows: shaping, transports by name, retries, refusals."""
 
 import json
+import re
 import sys
 import types
 from urllib.parse import parse_qsl, urlencode, urlsplit
@@ -60,6 +61,20 @@ def test_attempts_end_with_the_first_lasting_answer(spark):
                    (7, 401, "")]
 
 
+def test_a_wave_moves_only_the_answers_to_its_requests(spark):
+    source = SourceSpec("api", base_url="https://h.test", headers={"k": "v"})
+    said = spark.range(1, 2001).selectExpr(
+        "concat('https://h.test/v1/x?page=', id) request", "0 attempt", "200 status", "concat('page ', id) body",
+        "cast(null as map<string,string>) headers")
+    transport = TableTransport(said)
+    got = transport.answer(shape_requests(spark, source, spec(), 1000, 1002))
+    assert sorted(tuple(r) for r in got.collect()) == [(p, 200, f"page {p}") for p in (1000, 1001, 1002)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    semi = re.compile(r"BroadcastHashJoin \[_request#\d+\], \[_asked#\d+\], LeftSemi, BuildRight")
+    # every use of the answers is cut to the wave before an exchange deals it out
+    assert len(semi.findall(plan)) >= 2
+
+
 def service(fails=(), last=20):
     def call(url, params, headers, timeout):
         assert (url, headers, timeout) == ("https://h.test/v1/x", {"key": "k-1"}, 2.0)
