@@ -40,7 +40,7 @@ from pagelake.llm.graph import connected_components
 LEAST_CHARS = 0
 SHINGLE = 8
 #: Shingles that one row of the signature's aggregate takes in.
-AT_ONCE = 4
+AT_ONCE = 16
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
 #: Minima, of all, that two candidates share at least.

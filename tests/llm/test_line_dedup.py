@@ -106,6 +106,18 @@ def test_short_lines_are_nodes(spark):
     assert kept[1] == rows[0][1] and kept[2] == " \t\n####"
 
 
+def test_minima_of_lines_around_a_block_of_shingles(spark):
+    ends = {1, 2, line_dedup.SHINGLE - 1, line_dedup.SHINGLE} | {line_dedup.SHINGLE - 1 + blocks * line_dedup.AT_ONCE + k
+                                                                 for blocks in (1, 2) for k in (-1, 0, 1)}
+    rows = [(n, prose(n, 60)[:n - 1] + "z") for n in sorted(ends)]
+    cuts = sorted({cut for _, line in rows for cut in shingles(line)})
+    hashed = spark.createDataFrame([(bytearray(c),) for c in cuts], "cut binary").selectExpr("cut", "xxhash64(cut) h").collect()
+    hashes = {bytes(r.cut): r.h for r in hashed}
+    got = {r._id: [w >> 8 * k & 255 for w in r._low for k in range(8)]
+           for r in line_dedup.signatures(documents(spark, rows)).collect()}
+    assert got == {n: [min(hashes[c] ^ a for c in shingles(line)) & 255 for a in line_dedup._ANCHORS] for n, line in rows}
+
+
 def jaccard(a, b):
     return len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
 
