@@ -242,7 +242,8 @@ def check_pages(parsed: DataFrame, spec: DatasetSpec) -> PageCheck:
     n = row["n"]
     if row["n_distinct"] != n:
         raise PageError(f"{spec.qualified_name}: repeated page numbers before the end of data")
-    if paged and n and (row["lo"] != 1 or row["hi"] != n):
+    expected = n if stop is None else max(0, stop - 1)
+    if paged and (n != expected or (n and (row["lo"] != 1 or row["hi"] != n))):
         raise PageError(f"{spec.qualified_name}: page numbers before the end of data are not 1..{n} without gaps")
     return PageCheck(stop=stop, pages=n, records=row["records"])
 

@@ -85,6 +85,16 @@ def test_merged_summaries_decide_as_the_full_check(spark, data):
         assert kept == (full.stop, full.pages)
 
 
+@pytest.mark.parametrize("pages, end", [([], 32766), ([1, 2, 3], 6)])
+def test_pages_missing_right_before_the_end_fail_both_checks(spark, pages, end):
+    sp = dataset_spec({"responsePath": "data", "pagination": {"enabled": True}, "columns": COLS}, source="f", name="s")
+    staged = pages_frame(spark, [(p, False, False) for p in pages] + [(end, False, True)])
+    with pytest.raises(PageError, match="without gaps"):
+        check_pages(staged, sp)
+    with pytest.raises(PageError, match="without gaps"):
+        check_summary(summary_of(staged.select("page", "bad", "empty")), staged, sp)
+
+
 def test_second_run_reads_the_flags_of_new_files_only(spark, monkeypatch):
     folder, root = tempfile.mkdtemp(prefix="pagelake-feed-"), tempfile.mkdtemp(prefix="pagelake-stream-")
     for page in range(1, 6):
