@@ -14,7 +14,8 @@ line is kept, by document id, then place in the text.
    99.7 % at 0.85.  Only bands that two different lines share go on.  Two lines that share a
    band are candidates if at least :data:`AGREEING` of all 32 minima agree (by eight bits of each),
    which 99.9 % of the pairs at similarity 0.8 do, and few of those below 0.5.
-3. Verification: all candidates of a bucket of up to :data:`BUCKET` lines are compared exactly.
+3. Verification: all candidates of a bucket of up to :data:`BUCKET` lines are compared exactly,
+   by the number of different shingles that both lines have together.
    Larger ones are connected over a central line (:func:`crowded_links`), with the same result.
    Parity sketches of the shingle sets (:func:`sketched`) come first: the bits in which two of them
    differ are never more than the shingles that only one line has, so no similar pair is ruled out.
@@ -65,15 +66,24 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, least_chars: int = LEA
     return parts.filter(counts(F.col("_line"), least_chars))
 
 
-def shingles_of(line: Column) -> Column:
-    """A line's shingles by place: every eight bytes of its UTF-8 form, each byte as one character.
+def hashed(lines: DataFrame, *keys: str) -> DataFrame:
+    """(keys, _h0, _h1, ...): the hashed shingles of ``_raw``, a line's UTF-8 form, :data:`AT_ONCE` to a row.
 
-    One look-ahead pattern cuts them all, many times faster than a lambda over places.
-    A line of fewer bytes is its only shingle.
+    A line of fewer bytes than a shingle is its only shingle.  Beyond a line's end its last shingle repeats.
+    XXH64 is one-to-one on eight bytes, so equal hashes are equal shingles.
     """
-    signs = F.decode(line.cast("binary"), "ISO-8859-1")
-    return F.when(F.octet_length(line) < SHINGLE, F.array(signs)).otherwise(
-        F.regexp_extract_all(signs, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1)))
+    last = F.greatest(F.octet_length("_raw") - (SHINGLE - 1), F.lit(1))
+    places = lines.select(*keys, "_raw", last.alias("_last"), F.explode(F.sequence(F.lit(1), last, F.lit(AT_ONCE))).alias("_i"))
+    return places.select(*keys, *[
+        F.xxhash64(F.substring(F.col("_raw"), F.least(F.col("_i") + k, F.col("_last")), F.lit(SHINGLE))).alias(f"_h{k}")
+        for k in range(AT_ONCE)])
+
+
+def shingle_sets(lines: DataFrame, *keys: str) -> DataFrame:
+    """(keys, _set): the different hashed shingles of all lines ``_line`` of each key; lines dealt out by keys stay where they are."""
+    cut = hashed(lines.select(*keys, F.col("_line").cast("binary").alias("_raw")), *keys)
+    some = cut.select(*keys, F.array(*[f"_h{k}" for k in range(AT_ONCE)]).alias("_some"))
+    return some.groupBy(*keys).agg(F.array_distinct(F.flatten(F.collect_list("_some"))).alias("_set"))
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -85,13 +95,9 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          F.posexplode(F.split(F.col(text_col), "\n")).alias("_at", "_line"))
     lines = lines.filter(counts(F.col("_line"), least_chars)).select(
         "_id", "_row", "_at", F.xxhash64("_line").alias("_node"), F.col("_line").cast("binary").alias("_raw"))
-    last = F.greatest(F.octet_length("_raw") - (SHINGLE - 1), F.lit(1))
-    places = lines.select("*", last.alias("_last"), F.explode(F.sequence(F.lit(1), last, F.lit(AT_ONCE))).alias("_i"))
-    # several shingles a row spare look-ups of the row's group; beyond the end the last one repeats, which changes no minimum
-    hashes = [F.xxhash64(F.substring(F.col("_raw"), F.least(F.col("_i") + k, F.col("_last")), F.lit(SHINGLE)))
-              for k in range(AT_ONCE)]
-    hashed = places.select("_id", "_row", "_at", "_node", *[h.alias(f"_h{k}") for k, h in enumerate(hashes)])
-    least = hashed.groupBy("_id", "_row", "_at", "_node").agg(
+    # several shingles a row spare look-ups of the row's group; a repeated one changes no minimum
+    cut = hashed(lines, "_id", "_row", "_at", "_node")
+    least = cut.groupBy("_id", "_row", "_at", "_node").agg(
         *[F.min(F.least(*[F.col(f"_h{n}").bitwiseXOR(F.lit(a)) for n in range(AT_ONCE)])).alias(f"_m{k}")
           for k, a in enumerate(_ANCHORS)])
     bands = F.array(*[F.xxhash64(F.lit(b), *[f"_m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
@@ -102,12 +108,12 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def alike(a: Column, b: Column) -> Column:
     """Whether enough minima of two lines agree, given their low bytes."""
-    differing = F.lit(0)
+    differing, lanes = F.lit(0), 0x00FF00FF00FF00FF
     for w in range(BANDS * ROWS // 8):
         x = F.get(a, w).bitwiseXOR(F.get(b, w))
-        for step in (4, 2, 1):  # the lowest bit of each byte becomes whether any of its bits is set
-            x = x.bitwiseOR(F.shiftrightunsigned(x, step))
-        differing = differing + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+        for every_other in (x, F.shiftrightunsigned(x, 8)):  # a byte that is not zero carries into the empty one above it
+            carried = every_other.bitwiseAND(F.lit(lanes)) + F.lit(lanes)
+            differing = differing + F.bit_count(carried.bitwiseAND(F.lit(0x0100010001000100)))
     return differing <= BANDS * ROWS - AGREEING
 
 
@@ -116,8 +122,7 @@ def sketched(texts: DataFrame) -> DataFrame:
 
     Each shingle flips one bit of the sketch.  A shingle that two lines share flips the same bit of both.
     """
-    cut = texts.select("_node", F.explode(F.array_distinct(shingles_of(F.col("_line")))).alias("_cut"))
-    cut = cut.select("_node", F.xxhash64("_cut").alias("_h"))
+    cut = shingle_sets(texts.repartition("_node"), "_node").select("_node", F.explode("_set").alias("_h"))
     cut = cut.select("_node", F.col("_h").bitwiseAND(F.lit(WORDS - 1)).alias("_word"),
                      F.expr("shiftleft(1L, cast(shiftright(_h, 32) & 63 as int))").alias("_bit"))
     odd = [F.bit_xor(F.when(F.col("_word") == w, F.col("_bit")).otherwise(F.lit(0).cast("long"))) for w in range(WORDS)]
@@ -136,10 +141,11 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     x = texts.select(F.col("_node").alias("u"), F.col("_line").alias("_x"), F.col("_n").alias("_xn"), F.col("_odd").alias("_xo"))
     y = texts.select(F.col("_node").alias("v"), F.col("_line").alias("_y"), F.col("_n").alias("_yn"), F.col("_odd").alias("_yo"))
     joined = pairs.join(x, "u").join(y, "v").filter(near(F.col("_xo"), F.col("_xn"), F.col("_yo"), F.col("_yn")))
-    # inline() of one row keeps the optimizer from moving this into the join's condition, where it would run twice
-    both = F.size(F.array_intersect(shingles_of(F.col("_x")), shingles_of(F.col("_y"))))
-    counted = joined.select("u", "v", "_xn", "_yn", F.inline(F.array(F.struct(both.alias("_both")))))
-    return counted.filter(F.col("_both") / (F.col("_xn") + F.col("_yn") - F.col("_both")) >= SIMILARITY).select("u", "v")
+    # the lines of a pair are dealt out before they are cut, so that only texts move
+    lines = joined.select("u", "v", "_xn", "_yn", "_x", "_y").repartition("u", "v").select(
+        "u", "v", "_xn", "_yn", F.explode(F.array("_x", "_y")).alias("_line"))
+    counted = shingle_sets(lines, "u", "v", "_xn", "_yn").withColumn("_all", F.size("_set"))
+    return counted.filter((F.col("_xn") + F.col("_yn") - F.col("_all")) / F.col("_all") >= SIMILARITY).select("u", "v")
 
 
 def pairs_within(buckets: DataFrame) -> DataFrame:
@@ -191,7 +197,8 @@ def crowded_links(found: DataFrame, crowded: DataFrame, texts: DataFrame) -> Dat
     bucket would connect.
     """
     own = staged(texts.join(crowded.select("_node").distinct(), "_node", "left_semi"), "lines-crowded")
-    shingles = own.select("_node", F.explode(shingles_of(F.col("_line"))).alias("_shingle"))
+    cut = hashed(own.select("_node", F.col("_line").cast("binary").alias("_raw")), "_node")
+    shingles = cut.select("_node", F.explode(F.array(*[f"_h{k}" for k in range(AT_ONCE)])).alias("_shingle"))
     alone = (shingles.groupBy("_shingle").agg(F.min("_node").alias("_node"), F.max("_node").alias("_other"))
              .filter("_node = _other").groupBy("_node").agg(F.count("*").alias("_alone")))
     counted = own.join(alone, "_node", "left").select(

@@ -1,6 +1,7 @@
 import random
 
 from cases import SF, Union, documents, odd_rows, prose
+from pyspark.sql import functions as F
 
 from pagelake.llm import line_dedup
 from pagelake.llm.common import table
@@ -127,3 +128,31 @@ def test_no_python_in_the_plan(spark):
     for df in (line_dedup.signatures(docs), line_dedup.line_classes(docs), line_dedup.clean_documents(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_candidates_agree_by_bytes_of_their_minima(spark):
+    rnd = random.Random(5)
+    rows = []
+    for k in range(400):
+        a = [rnd.choice([0, -1, -(1 << 63), rnd.getrandbits(64) - (1 << 63)]) for _ in range(4)]
+        masks = [sum(rnd.choice([0, 0, 1, 128, 255]) << 8 * n for n in range(8)) for _ in a]
+        rows.append((k, a, [x ^ (m - (1 << 64) if m >> 63 else m) for x, m in zip(a, masks)]))
+    frame = spark.createDataFrame(rows, "k int, a array<bigint>, b array<bigint>")
+    got = {r.k for r in frame.filter(line_dedup.alike(F.col("a"), F.col("b"))).collect()}
+    differing = {k: sum((x ^ y) >> 8 * n & 255 != 0 for x, y in zip(a, b) for n in range(8)) for k, a, b in rows}
+    assert got == {k for k, n in differing.items() if n <= line_dedup.BANDS * line_dedup.ROWS - line_dedup.AGREEING}
+    assert 0 < len(got) < len(rows)
+
+
+def test_pairs_are_verified_by_hashed_shingles(spark):
+    lines = variants(7, 12, 6) + ["ab", "abc", "aaaaaaaaaaaaaaaaaaaa", "aaaaaaaaa", "é" * 9 + "x", "é" * 10 + "x", "12345678", "123456789"]
+    lines = sorted(set(lines))
+    texts = line_dedup.sketched(spark.createDataFrame(list(enumerate(lines)), "_node long, _line string"))
+    assert {r._node: r._n for r in texts.collect()} == {k: len(shingles(line)) for k, line in enumerate(lines)}
+    pairs = spark.createDataFrame([(u, v) for v in range(len(lines)) for u in range(v)], "u long, v long")
+    found = line_dedup.similar(pairs, texts)
+    got = sorted((r.u, r.v) for r in found.collect())
+    assert got == sorted((u, v) for v in range(len(lines)) for u in range(v) if jaccard(lines[u], lines[v]) >= line_dedup.SIMILARITY)
+    assert 0 < len(got) < len(lines) * (len(lines) - 1) // 2
+    for df in (texts, found):  # patterns cut shingles several times slower
+        assert "regexp_extract_all" not in df._jdf.queryExecution().optimizedPlan().toString()
