@@ -126,13 +126,14 @@ def sketched(texts: DataFrame) -> DataFrame:
     cut = cut.select("_node", F.col("_h").bitwiseAND(F.lit(WORDS - 1)).alias("_word"),
                      F.expr("shiftleft(1L, cast(shiftright(_h, 32) & 63 as int))").alias("_bit"))
     odd = [F.bit_xor(F.when(F.col("_word") == w, F.col("_bit")).otherwise(F.lit(0).cast("long"))) for w in range(WORDS)]
-    made = cut.groupBy("_node").agg(F.count("*").alias("_n"), F.array(*odd).alias("_odd"))
+    words = F.struct(*[word.alias(f"w{w}") for w, word in enumerate(odd)])  # read with less code than an array
+    made = cut.groupBy("_node").agg(F.count("*").alias("_n"), words.alias("_odd"))
     return texts.select("_node", "_line").join(made, "_node")
 
 
 def near(a: Column, a_n: Column, b: Column, b_n: Column) -> Column:
     """Whether two lines can be similar enough, given their sketches and numbers of shingles."""
-    apart = reduce(Column.__add__, [F.bit_count(F.get(a, w).bitwiseXOR(F.get(b, w))) for w in range(WORDS)])
+    apart = reduce(Column.__add__, [F.bit_count(a[f"w{w}"].bitwiseXOR(b[f"w{w}"])) for w in range(WORDS)])
     return F.greatest(apart, F.abs(a_n - b_n)) * (1 + SIMILARITY) <= (a_n + b_n) * (1 - SIMILARITY) + 1e-6
 
 
@@ -150,12 +151,10 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def pairs_within(buckets: DataFrame) -> DataFrame:
     """All candidates (u, v) in each bucket (_band, _node, _low), once."""
-    row = F.struct("_node", "_low")
-    pairs = F.flatten(F.transform("_in", lambda x: F.transform(
-        F.filter("_in", lambda y: (x["_node"] < y["_node"]) & alike(x["_low"], y["_low"])),
-        lambda y: F.struct(x["_node"].alias("u"), y["_node"].alias("v")))))
-    return (buckets.groupBy("_band").agg(F.collect_list(row).alias("_in"))
-            .select(F.explode(pairs).alias("p")).select("p.u", "p.v").distinct())
+    x, y = buckets.select("_band", "_node", "_low").alias("x"), buckets.select("_band", "_node", "_low").alias("y")
+    both = x.join(y, (F.col("x._band") == F.col("y._band")) & (F.col("x._node") < F.col("y._node"))
+                  & alike(F.col("x._low"), F.col("y._low")))
+    return both.select(F.col("x._node").alias("u"), F.col("y._node").alias("v")).distinct()
 
 
 def sized(buckets: DataFrame) -> DataFrame:
@@ -221,23 +220,25 @@ def crowded_links(found: DataFrame, crowded: DataFrame, texts: DataFrame) -> Dat
     of_pivot = placed.filter("_node = _pivot").select(F.col("_band").alias("_b"), F.col("_part").alias("_main"))
     placed = staged(placed.filter("_node <> _pivot").join(of_pivot, F.col("_band") == F.col("_b")).drop("_b"),
                     "lines-placed")
-    of_line = placed.groupBy("_node").agg(F.collect_set("_band").alias("_bands")).withColumnRenamed("_node", "_of")
-    placed = staged(placed.join(of_line, F.col("_node") == F.col("_of")).drop("_of"), "lines-placed")
     out, rest = placed.filter("_part <> _main").alias("o"), placed.alias("m")
-    # once: if both are outside, from the smaller one; of the buckets that they share, in the first
-    once = (((F.col("m._part") == F.col("m._main")) | (F.col("o._node") < F.col("m._node")))
-            & (F.array_min(F.array_intersect("o._bands", "m._bands")) == F.col("o._band")))
-    apart = out.join(rest, (F.col("o._band") == F.col("m._band")) & (F.col("o._part") != F.col("m._part"))
-                     & _possible("o", "m") & once)
+    # once a bucket: if both are outside, from the smaller one; a pair of several buckets is made one afterwards
+    once = (F.col("m._part") == F.col("m._main")) | (F.col("o._node") < F.col("m._node"))
+    apart = out.join(rest, (F.col("o._band") == F.col("m._band")) & (F.col("o._part") != F.col("m._part")) & once
+                     & _possible("o", "m"))
     more = staged(similar(_pairs(apart, "o", "m"), texts), "lines-links")
     return parts.select(F.col("root").alias("u"), F.col("node").alias("v")).unionByName(more)
 
 
 def _possible(a: str, b: str) -> Column:
-    """Whether two lines are candidates, and can be similar enough, given their sketches and the shingles that only one line has."""
+    """Whether two lines are candidates, and can be similar enough, given their sketches and the shingles that only one line has.
+
+    The cheapest test comes first: all pairs of a crowded bucket may get here.  The code that Spark makes of a join with
+    these tests must stay below 8,000 bytes, beyond which the JVM only interprets it.
+    """
     sketch = near(F.col(f"{a}._odd"), F.col(f"{a}._n"), F.col(f"{b}._odd"), F.col(f"{b}._n"))
     most = F.least(f"{a}._common", f"{b}._common")
-    return sketch & alike(F.col(f"{a}._low"), F.col(f"{b}._low")) & (most >= (SIMILARITY - 1e-9) * (F.col(f"{a}._n") + F.col(f"{b}._n") - most))
+    shared = most >= (SIMILARITY - 1e-9) * (F.col(f"{a}._n") + F.col(f"{b}._n") - most)
+    return shared & alike(F.col(f"{a}._low"), F.col(f"{b}._low")) & sketch
 
 
 def _pairs(joined: DataFrame, a: str, b: str) -> DataFrame:

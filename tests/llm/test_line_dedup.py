@@ -1,4 +1,5 @@
 import random
+import re
 
 from cases import SF, Union, documents, odd_rows, prose
 from pyspark.sql import functions as F
@@ -156,3 +157,38 @@ def test_pairs_are_verified_by_hashed_shingles(spark):
     assert 0 < len(got) < len(lines) * (len(lines) - 1) // 2
     for df in (texts, found):  # patterns cut shingles several times slower
         assert "regexp_extract_all" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_joins_of_crowded_buckets_are_compiled(spark, monkeypatch):
+    joined, pairs_of = [], line_dedup._pairs
+
+    def kept(*args):
+        joined.append(pairs_of(*args))
+        return joined[-1]
+
+    monkeypatch.setattr(line_dedup, "_pairs", kept)
+    rows = list(enumerate(variants(1, 60, 3)))
+    assert classes(spark, rows) == brute_force(rows)
+    assert len(joined) == 2  # with the pivots, and of the lines apart from them
+    wanted = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        for df in joined:
+            code = spark._jvm.PythonSQLUtils.explainString(df.select("u", "v")._jdf.queryExecution(), "codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+            assert "SortMergeJoin" in code and 0 < max(sizes) < 8000  # the JVM never compiles larger methods
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_candidates_of_small_buckets(spark):
+    rows = [(b, n, [n * low] * 4) for b, (nodes, low) in enumerate([([1, 2, 3], 0), ([2, 3, 5], 0), ([7, 8], 1), ([9], 0),
+                                                                    ([11, 12], 0x0101010101010101)]) for n in nodes]
+    frame = spark.createDataFrame(rows, "_band long, _node long, _low array<bigint>").withColumn("_n", F.lit(3))
+    got = sorted((r.u, r.v) for r in line_dedup.pairs_within(frame).collect())
+    assert got == [(1, 2), (1, 3), (2, 3), (2, 5), (3, 5), (7, 8)]  # no byte of the minima of 11 and 12 agrees
+    # compared by generated code, not by functions over arrays of rows
+    assert "transform" not in line_dedup.pairs_within(frame)._jdf.queryExecution().optimizedPlan().toString()
