@@ -220,11 +220,14 @@ def crowded_links(found: DataFrame, crowded: DataFrame, texts: DataFrame) -> Dat
     of_pivot = placed.filter("_node = _pivot").select(F.col("_band").alias("_b"), F.col("_part").alias("_main"))
     placed = staged(placed.filter("_node <> _pivot").join(of_pivot, F.col("_band") == F.col("_b")).drop("_b"),
                     "lines-placed")
+    of_line = placed.groupBy("_node").agg(F.collect_set("_band").alias("_bands")).withColumnRenamed("_node", "_of")
+    placed = staged(placed.join(of_line, F.col("_node") == F.col("_of")).drop("_of"), "lines-placed")
     out, rest = placed.filter("_part <> _main").alias("o"), placed.alias("m")
-    # once a bucket: if both are outside, from the smaller one; a pair of several buckets is made one afterwards
+    # once: if both are outside, from the smaller one; of the buckets that they share, in the first (compared last, for few pairs)
     once = (F.col("m._part") == F.col("m._main")) | (F.col("o._node") < F.col("m._node"))
+    first = F.array_min(F.array_intersect("o._bands", "m._bands")) == F.col("o._band")
     apart = out.join(rest, (F.col("o._band") == F.col("m._band")) & (F.col("o._part") != F.col("m._part")) & once
-                     & _possible("o", "m"))
+                     & _possible("o", "m") & first)
     more = staged(similar(_pairs(apart, "o", "m"), texts), "lines-links")
     return parts.select(F.col("root").alias("u"), F.col("node").alias("v")).unionByName(more)
 
